@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixture, readability
+from . import langid, leakage, mixture, readability
 from .common import checkpointed, table
 
 
+def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark_item"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = mixture.sized_documents(table(spark, sf_dir, "documents"))
     plan = mixture.replication_plan(sized, table(spark, sf_dir, "mixture_target"))
@@ -38,7 +46,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
+    f.__name__: f for f in (p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
 }
 
 SQL: dict[str, str] = {}
