@@ -7,10 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, leakage, mixture, readability
+from . import langid, leakage, mixture, readability, scans
 from .common import checkpointed, table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.defects(table(spark, sf_dir, "line_record"))
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.paragraphs(table(spark, sf_dir, "line_record"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, lines = p6_documents(spark, sf_dir), p6_lines(spark, sf_dir)
+    label = langid.label_language(F.col("label"))
+    texts = documents.where((F.col("seg_no") >= 0) | ~label.eqNullSafe(F.col("lang"))).where("lang is not null")
+    texts = texts.select(F.col("doc_id").cast("string").alias("doc_key"), F.lit(-1).alias("page_no"), "seg_no", "lang")
+    lines = lines.where(F.col("page_num").isNotNull() | ~label.eqNullSafe(F.col("lang"))).select(
+        F.col("doc_id").alias("doc_key"), F.coalesce("page_num", F.lit(-1)).alias("page_no"), F.coalesce("line_idx", F.lit(-1)).alias("seg_no"), "lang"
+    )
+    return texts.unionByName(lines)
+
+
+def p6_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.document_languages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "graded_passage"))
+
+
+def p6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of line_record (no page) and their lines in other languages."""
+    text = scans.text_lines(table(spark, sf_dir, "line_record"))
+    docs, lines = langid.line_languages(text, table(spark, sf_dir, "graded_passage"))
+    labels = table(spark, sf_dir, "line_profile").groupBy("doc_id").agg(F.min("corpus_language").alias("label"))
+    docs = docs.join(labels, "doc_id").select("doc_id", F.lit(None).cast("int").alias("page_num"), F.lit(None).cast("int").alias("line_idx"), "lang", "confidence", "label")
+    return docs.unionByName(lines.withColumn("label", F.lit(None).cast("string")))
+
+
 def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark_item"))
 
@@ -46,7 +78,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
+    f.__name__: f for f in (p2_found, p2_paragraphs, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
 }
 
 SQL: dict[str, str] = {}
