@@ -10,10 +10,11 @@ PAGES_PER_BLOCK = 256
 
 
 def carry_last(
-    df: DataFrame, doc: str, page: str, order: list[str], value: Column, name: str, block: int = PAGES_PER_BLOCK
-) -> DataFrame:
-    """Add `name`: the last non-null `value` at or before each row, by page and
-    then `order`, within a document.
+    df: DataFrame, doc: str, page: str, order: list[str], value: Column, name: str, block: int = PAGES_PER_BLOCK,
+    before: bool = False,
+) -> DataFrame:
+    """Add `name`: the last non-null `value` at or before each row (`before`:
+    only before it), by page and then `order`, within a document.
 
     A prefix scan on three levels - rows within a page, pages within a block,
     blocks within a document - so that no window holds more than one page, one
@@ -25,8 +26,8 @@ def carry_last(
     df = df.withColumn("__value", value)
     at = F.when(F.col("__value").isNotNull(), F.struct(*order, F.col("__value").alias("v")))
     pages = df.groupBy(doc, b, p).agg(F.max(at)["v"].alias("__last"))
-    before = Window.partitionBy(doc, b).orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
-    pages = pages.withColumn("__in_block", F.last("__last", True).over(before))
+    earlier = Window.partitionBy(doc, b).orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    pages = pages.withColumn("__in_block", F.last("__last", True).over(earlier))
     blocks = pages.groupBy(doc, b).agg(
         F.max(F.when(F.col("__last").isNotNull(), F.struct(p, F.col("__last").alias("v"))))["v"].alias("__last")
     )
@@ -36,7 +37,7 @@ def carry_last(
         F.col(doc).alias("__d"), F.col(p).alias("__p"), F.coalesce("__in_block", "__before_block").alias("__carried")
     )
     joined = df.join(carried, F.col(doc).eqNullSafe(F.col("__d")) & (F.col(p) == F.col("__p")), "left")
-    here = Window.partitionBy(doc, p).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy(doc, p).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
     return joined.withColumn(name, F.coalesce(F.last("__value", True).over(here), F.col("__carried"))).drop(
         p, b, "__value", "__d", "__p", "__carried"
     )
