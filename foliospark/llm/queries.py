@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, leakage, mixture, readability, scans
+from . import confusables, langid, leakage, mixture, readability, scans, transcripts
 from .common import checkpointed, table
 
 
@@ -19,6 +19,26 @@ def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.paragraphs(table(spark, sf_dir, "line_record"))
 
 
+def p3_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusables.runs_in_form(table(spark, sf_dir, "character_run"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_forms(spark, sf_dir).where("changed").select("run_id")
+
+
+def p3_look_alikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusables.look_alikes(table(spark, sf_dir, "character_run"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcripts.turn_starts(table(spark, sf_dir, "transcript_line"), table(spark, sf_dir, "speaker_mapping"))
+
+
+def p4_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcripts.turns(table(spark, sf_dir, "transcript_line"), table(spark, sf_dir, "speaker_mapping"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, lines = p6_documents(spark, sf_dir), p6_lines(spark, sf_dir)
     label = langid.label_language(F.col("label"))
@@ -78,7 +98,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_paragraphs, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
+    f.__name__: f for f in (p2_found, p2_paragraphs, p3_found, p3_forms, p3_look_alikes, p4_found, p4_turns, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
 }
 
 SQL: dict[str, str] = {}
