@@ -28,6 +28,8 @@ ROLES = frozenset(
     "berichterstatter schriftfuhrer herr frau abgeordneter presidente relatore segretario onorevole signor signora "
     "ministro elnok eloado titkar jegyzo kepviselo ur asszony".split()
 )
+# Words of address, which are no office.
+ADDRESS = frozenset("tovaris tovarisica tov gospod gospa g ga dr mag inz ing prof drug gospodin gdin mr mrs ms sir herr frau onorevole signor signora ur asszony".split())
 #: Roles that stand for the one speaker who holds them.
 CHAIR = frozenset("predsednik predsednica predsedujoci predsjednik predsjednica chairman chairwoman chair president speaker vorsitzender vorsitzende prasident presidente elnok".split())
 # Words that fill pauses.
@@ -35,15 +37,15 @@ FILLERS = ("kaj pa vem", "no ja", "mhm", "hmm", "hm", "eee", "aaa", "em", "ovaj"
 
 TIME = r"(?:[\[<(]\s*)?\d{1,2}[:.]\d{2}(?:[:.]\d{2})?(?:[,.]\d{1,3})?(?:\s*[\]>)])?"
 _LEAD = rf"^\s*(?:{TIME}\s*)*(?:[\[<(]?\s*\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s*-->\s*\S+\s*)?(?:>>\s*)?"
-LABEL = _LEAD + r"(?:<v\s+([^<>]{1,80})>|(?-i:(?=[\p{Lu}]))([^:<>\[\]{}]{1,80}):(?=\s|$))\s*"
+LABEL = _LEAD + r"(?:<v\s+([^<>]{1,80})>|(?=\p{Lu})(?:([^:<>\[\]{}]{1,80}):(?=\s|$)|(\p{Lu}[^\p{Ll}:<>\[\]{}]{1,60}?)\s[–—-](?=\s|$)))\s*"
 _NOTE = r"\[[^\[\]]*\]|\{[^{}]*\}|<[^<>]*>|(?<!\S)\*[^*]+\*|(?<!\S)/[^/]+/|\((?!\s*(?:\p{L}{1,4}\.|\d))[^()]*\)"
 _FILLER = r"(?iu)(?<![\p{L}\d])(?:" + "|".join(FILLERS) + r")(?![\p{L}\d])(?:\s*(?:…|\.{3})|,)?"
 
 
 def label_text(text: Column) -> Column:
     """The label at the line's beginning, without what follows; null if none."""
-    both = F.concat(F.regexp_extract(text, LABEL, 1), F.regexp_extract(text, LABEL, 2))
-    return F.when(F.trim(both) != "", F.trim(both))
+    either = F.concat(F.regexp_extract(text, LABEL, 1), F.regexp_extract(text, LABEL, 2), F.regexp_extract(text, LABEL, 3))
+    return F.when(F.trim(either) != "", F.trim(either))
 
 
 def speech(text: Column) -> Column:
@@ -56,27 +58,27 @@ def speech(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def _names(label: str) -> tuple[list[str], bool]:
-    """(words of the name, whether the label names a chair's office)."""
+def _names(label: str) -> tuple[list[str], list[str]]:
+    """(words of the name, keys of the offices before it)."""
     import re
 
     label = re.sub(r"\([^)]*\)", " ", label or "").split(",")[0]
     label = re.sub(r"(?<!\S)((?:\w\s+){2,}\w)(?!\S)", lambda m: re.sub(r"\s+", "", m[1]), label)
     words = [w for w in (x.strip(".:;,") for x in fold(label).split()) if w]
-    at, chair = 0, False
+    at, offices = 0, []
     while at < len(words) and words[at] in ROLES and len(words[at]) > 1:
-        chair |= words[at] in CHAIR
+        offices.append("@chair" if words[at] in CHAIR else f"@{words[at]}")
         at += 1
-    return words[at:], chair
+    return words[at:], [x for x in offices if x[1:] not in ADDRESS]
 
 
 @F.pandas_udf(ArrayType(StringType()))
 def label_names(labels: pd.Series) -> pd.Series:
-    """Words of a label's name; the chair's office alone gives `@chair`."""
+    """Words of a label's name; an office alone gives its key."""
     out = []
     for label in labels:
-        words, chair = _names(label) if label else ([], False)
-        out.append(words or (["@chair"] if chair else []))
+        words, offices = _names(label) if label else ([], [])
+        out.append(words or offices[:1])
     return pd.Series(out)
 
 
@@ -85,11 +87,11 @@ def speaker_keys(labels: pd.Series) -> pd.Series:
     """What a speaker of the mapping may be called, most telling first."""
     out = []
     for label in labels:
-        words, chair = _names(label) if label else ([], False)
+        words, offices = _names(label) if label else ([], [])
         keys = [" ".join(words), " ".join(reversed(words))] if words else []
         if len(words) > 1:
             keys += [words[-1], f"{words[0][0]} {words[-1]}"]
-        out.append(list(dict.fromkeys(keys)) + (["@chair"] if chair else []))
+        out.append(list(dict.fromkeys(keys + offices)))
     return pd.Series(out)
 
 
