@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.carry import carry_last
+from .common import checkpointed
 
 # What is printed and what is read for it.
 CONFUSIONS = (
@@ -217,10 +218,11 @@ def tokens(df: DataFrame, cut: DataFrame) -> DataFrame:
 
 def analysed(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(classified lines, text lines with neighbours, corrections, broken)."""
-    marked = classified(deduplicated(lines))
-    text = with_next(marked.where("kind = 'text'").select("doc_id", "page_num", "line_idx", "text", "starts"))
-    words = vocabulary(text)
-    return marked, text, corrections(words), broken(text, words)
+    marked = classified(deduplicated(lines)).select("doc_id", "page_num", "line_idx", "text", "kind", "starts")
+    marked = checkpointed(marked)  # read many times below
+    text = checkpointed(with_next(marked.where("kind = 'text'").select("doc_id", "page_num", "line_idx", "text", "starts")))
+    words = checkpointed(vocabulary(text))
+    return marked, text, checkpointed(corrections(words)), checkpointed(broken(text, words))
 
 
 def defects(lines: DataFrame) -> DataFrame:
