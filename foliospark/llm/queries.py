@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import confusables, langid, leakage, mixture, readability, scans, transcripts
+from . import confusables, langid, leakage, mixture, names, readability, scans, transcripts
 from .common import checkpointed, table
 
 
@@ -39,6 +39,14 @@ def p4_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.turns(table(spark, sf_dir, "transcript_line"), table(spark, sf_dir, "speaker_mapping"))
 
 
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.persons(table(spark, sf_dir, "speaker_detail"), "speaker_id", "lookup_name", "organization")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.same_person_pairs(p5_groups(spark, sf_dir), "speaker_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, lines = p6_documents(spark, sf_dir), p6_lines(spark, sf_dir)
     label = langid.label_language(F.col("label"))
@@ -98,7 +106,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_paragraphs, p3_found, p3_forms, p3_look_alikes, p4_found, p4_turns, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
+    f.__name__: f for f in (p2_found, p2_paragraphs, p3_found, p3_forms, p3_look_alikes, p4_found, p4_turns, p5_found, p5_groups, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
 }
 
 SQL: dict[str, str] = {}
