@@ -107,10 +107,22 @@ def name_parts(name: Column) -> Column:
 
 
 def acronyms(bodies: DataFrame, body: str) -> dict[str, str]:
-    """Acronym to full name, of bodies written with both; the most frequent."""
-    both = bodies.select(F.regexp_extract(body, r"^(.*\S)\s*\((\p{Lu}{2,6})\)\s*$", 1).alias("full"), F.regexp_extract(body, r"\((\p{Lu}{2,6})\)\s*$", 1).alias("short"))
-    both = both.where("full <> '' and short <> ''").groupBy("short", "full").agg(F.count("*").alias("n"))
-    best = both.groupBy("short").agg(F.max_by("full", F.struct("n", "full")).alias("full"))
+    """Acronym to full name, of bodies written with both, or of acronyms that
+    stand alone and are the initials of a body not named by kind and place;
+    of several names the most frequent."""
+    forms = bodies.where(F.col(body).isNotNull()).groupBy(F.col(body).alias("t")).agg(F.count("*").alias("n"))
+    both = forms.select(F.regexp_extract("t", r"\((\p{Lu}{2,6})\)\s*$", 1).alias("short"), F.regexp_extract("t", r"^(.*\S)\s*\(\p{Lu}{2,6}\)\s*$", 1).alias("full"), F.col("n") * 1000 + 1000)
+    alone = forms.select(F.replace(F.regexp_extract("t", r"^(?:.*\s)?((?:\p{Lu}\.?){2,6})$", 1), F.lit("."), F.lit("")).alias("short")).where("short <> ''").distinct()
+    kind = r"(?iu)^(" + "|".join(KINDS) + r"|obcinski zbor|zadruzna zveza)\b|,|\.|\("
+    words = F.split(F.trim("t"), r"\s+")
+    long = forms.where(~F.col("t").rlike(kind) & (F.size(words) > 1)).withColumn("w", words)
+    first = lambda w: F.upper(F.left(w, F.lit(1)))
+    long = long.select("t", "n", F.explode(F.array_distinct(F.array(
+        F.array_join(F.transform("w", first), ""), F.array_join(F.transform(F.filter("w", lambda w: F.length(w) > 2), first), ""),
+    ))).alias("short"))
+    named = long.join(alone, "short").select("short", F.col("t").alias("full"), "n")
+    best = both.where("full <> '' and short <> ''").toDF("short", "full", "n").unionByName(named)
+    best = best.groupBy("short", "full").agg(F.sum("n").alias("n")).groupBy("short").agg(F.max_by("full", F.struct("n", "full")).alias("full"))
     return {fold(r["short"]): fold(r["full"]) for r in within(best, MAX_ACRONYMS, "acronyms")}
 
 
@@ -319,6 +331,11 @@ def persons(rows: DataFrame, id: str, name: str, body: str, short: dict[str, str
     short = acronyms(rows, "body") if short is None else short
     rows = bodies(rows, "body", short).withColumn("parts", name_parts(F.coalesce("name", F.lit(""))))
     rows = checkpointed(rows.select(id, "org", "parts.first", "parts.last"))
+    return linked(rows, id)
+
+
+def linked(rows: DataFrame, id: str) -> DataFrame:
+    """As persons(), of rows (id, org, first, last) that are parsed."""
     # by initial too: a block holds the last names of one body's forenames of that letter
     forms = rows.where("last <> ''").groupBy("first", "last", "org").agg(F.count("*").alias("n"))
     forms = forms.withColumn("id", F.xxhash64("first", "last", "org"))
@@ -326,6 +343,9 @@ def persons(rows: DataFrame, id: str, name: str, body: str, short: dict[str, str
     homeless = forms.where("org = ''").select("id", F.concat_ws("|", F.lit("f"), "first").alias("block"), F.col("last").alias("text"))
     homes = forms.where("org <> ''").select("id", F.concat_ws("|", F.lit("f"), "first").alias("block"), F.col("last").alias("text"))
     found = similar(homeless, homes, w, NAME).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home")), "b")
+    found = found.groupBy("a", "home").agg(F.max("cosine").alias("c"))
+    nearest = found.groupBy("a").agg(F.max("c").alias("most"))
+    found = found.join(nearest, "a").where("c >= most - 0.02")
     only = found.groupBy("a").agg(F.min("home").alias("home"), F.max("home").alias("other")).where("home = other")
     forms = forms.join(only.select(F.col("a").alias("id"), "home"), "id", "left")
     forms = checkpointed(forms.withColumn("home", F.when(F.col("org") == "", F.coalesce("home", F.lit(""))).otherwise(F.col("org"))))

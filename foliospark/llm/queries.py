@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import confusables, langid, leakage, mixture, names, readability, scans, transcripts
+from . import confusables, langid, leakage, matching, mixture, names, readability, scans, transcripts
 from .common import checkpointed, table
 
 
+def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.matches(table(spark, sf_dir, "speaker_detail"), table(spark, sf_dir, "person_binding"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_matches(spark, sf_dir).select("speaker_id", "binding_id")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.defects(table(spark, sf_dir, "line_record"))
 
@@ -106,7 +114,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_paragraphs, p3_found, p3_forms, p3_look_alikes, p4_found, p4_turns, p5_found, p5_groups, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
+    f.__name__: f for f in (p1_found, p1_matches, p2_found, p2_paragraphs, p3_found, p3_forms, p3_look_alikes, p4_found, p4_turns, p5_found, p5_groups, p6_found, p6_documents, p6_lines, p7_found, p7_leaks, p8_found, p8_shares, p8_mixture, p9_found, p9_levels)
 }
 
 SQL: dict[str, str] = {}
