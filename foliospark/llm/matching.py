@@ -87,7 +87,8 @@ def confidence() -> Column:
         F.col("r_born").isNull() | F.col("l_from").isNull(), 0.7
     ).otherwise(1.0)
     value = LAST * last + FIRST * same_first + BODY * body + YEARS * years
-    return F.when((same_first > 0) & (last >= 0.72) & (body > 0) & (years > 0), value).otherwise(0.0)
+    near = (F.levenshtein("l_last", "r_last") <= 2) | (last >= 0.95)
+    return F.when((same_first > 0) & near & (body > 0) & (years > 0), value).otherwise(0.0)
 
 
 def assign(cost: np.ndarray) -> np.ndarray:
@@ -177,7 +178,7 @@ def matches(speakers: DataFrame, register: DataFrame) -> DataFrame:
     years = entries.groupBy("person").agg(F.min("born").alias("y0"), F.max("born").alias("y1"))
     entries = entries.join(years, "person").withColumn("born", F.coalesce("born", F.when(F.col("y0") == F.col("y1"), F.col("y0"))))
     entries = checkpointed(entries.withColumn("entity", F.xxhash64("person", F.coalesce("born", F.lit(0)))))
-    often = lambda c: F.mode(F.struct(F.length(c).alias("n"), F.col(c).alias("v")), True)["v"]
+    often = lambda c: F.coalesce(F.mode(F.when(F.length(c) > 1, F.col(c)), True), F.min(c))
     left = people.groupBy("person").agg(
         often("first").alias("first"), often("last").alias("last"), F.max("org").alias("org"), F.min("at").alias("from"), F.max("at").alias("until"),
     ).select(F.xxhash64(F.lit(0), "person").alias("id"), F.lit(0).alias("side"), "first", "last", "org", "from", "until", F.lit(None).cast("int").alias("born"), F.lit(None).cast("int").alias("died"), F.col("person").alias("source"))
