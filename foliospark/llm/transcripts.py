@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..operators.carry import carry_last
-from .common import fold
+from .common import checkpointed, fold
 
 #: Lines per block of a forward fill, and lines of text per part of a turn.
 LINES = 64
@@ -104,7 +104,7 @@ def one_speaker(mapping: DataFrame) -> DataFrame:
     ref of the lowest entry of the same speaker of the document - the same
     first name and a last name at most two letters off (in six or more)."""
     m = mapping.where("doc_id is not null and label is not null and speaker_ref is not null").groupBy("doc_id", "ord", "label").agg(F.min("speaker_ref").alias("ref"))
-    m = m.withColumn("name", label_names("label")).withColumn("last", F.try_element_at("name", F.lit(-1))).withColumn("first", F.try_element_at("name", F.lit(1)))
+    m = checkpointed(m.withColumn("name", label_names("label"))).withColumn("last", F.try_element_at("name", F.lit(-1))).withColumn("first", F.try_element_at("name", F.lit(1)))
     low = m.select("doc_id", "first", F.col("last").alias("l2"), F.col("ord").alias("o2"), F.col("ref").alias("r2"), F.reverse("name").alias("turned"))
     near = (F.col("last") == F.col("l2")) | ((F.levenshtein("last", "l2", 2) >= 0) & (F.length("last") >= 6))
     pairs = m.join(low, ["doc_id", "first"]).where(near & (F.col("o2") <= F.col("ord")))
@@ -119,8 +119,9 @@ def resolved(labels: DataFrame, mapping: DataFrame) -> DataFrame:
     of the document - other text before a colon - are dropped."""
     speakers = one_speaker(mapping)
     keys = speakers.select("doc_id", "ord", "speaker_ref", F.posexplode(speaker_keys("label")).alias("p", "key"))
-    keys = keys.groupBy("doc_id", "key").agg(F.min_by("speaker_ref", F.struct("ord", "p")).alias("speaker_ref"))
+    keys = checkpointed(keys.groupBy("doc_id", "key").agg(F.min_by("speaker_ref", F.struct("ord", "p")).alias("speaker_ref")))
     named = labels.withColumn("key", _name(F.col("label"))).where("key <> ''")
+    named = checkpointed(named)
     asked = named.select("doc_id", "key").distinct()
     exact = asked.join(keys, ["doc_id", "key"])
     left = asked.join(exact, ["doc_id", "key"], "left_anti").where(F.length("key") >= 6)
@@ -143,18 +144,21 @@ def lines_in_turns(lines: DataFrame, mapping: DataFrame) -> DataFrame:
     one = lines.where("doc_id is not null and line_idx is not null").groupBy("doc_id", "line_idx").agg(
         F.min_by("text", F.struct(F.coalesce("received_at", F.lit("9999-12-31").cast("timestamp_ntz")), F.coalesce("text", F.lit("")))).alias("text")
     )
-    one = one.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("label", label_text(F.col("text")))
+    one = one.withColumn("text", F.coalesce("text", F.lit("")))
+    one = checkpointed(one.withColumn("label", label_text(F.col("text"))))
     labels = resolved(one.where("label is not null").select("doc_id", "line_idx", "label"), mapping)
     one = one.join(labels, ["doc_id", "line_idx"], "left")
     told = F.when(F.col("speaker_ref").isNotNull(), F.regexp_replace("text", LABEL, "").alias("t")).otherwise(F.col("text"))
     told = F.when(F.col("speaker_ref").isNotNull(), F.regexp_replace(told, r"^\s*\((?:nadaljuje)\)\s*:?", "")).otherwise(told)
     one = one.select("doc_id", "line_idx", speech(told).alias("text"), "speaker_ref", F.floor(F.col("line_idx") / LINES).alias("block"))
+    one = checkpointed(one)  # the fill reads it twice
     mark = F.when(F.col("speaker_ref").isNotNull(), F.struct("line_idx", "speaker_ref"))
     one = carry_last(one, "doc_id", "block", ["line_idx"], mark, "section")
-    said = one.where("section is not null").where(F.col("text").rlike(r"[\p{L}\d]"))
+    said = checkpointed(one.where("section is not null").where(F.col("text").rlike(r"[\p{L}\d]")))
     sections = said.select("doc_id", F.col("section.line_idx").alias("line_idx"), F.col("section.speaker_ref").alias("ref")).distinct()
-    sections = sections.withColumn("block", F.floor(F.col("line_idx") / LINES))
+    sections = checkpointed(sections.withColumn("block", F.floor(F.col("line_idx") / LINES)))
     sections = carry_last(sections, "doc_id", "block", ["line_idx"], F.col("ref"), "ref_before", before=True)
+    sections = checkpointed(sections)
     begin = F.when(~F.col("ref").eqNullSafe(F.col("ref_before")), F.col("line_idx"))
     sections = carry_last(sections, "doc_id", "block", ["line_idx"], begin, "turn")
     sections = sections.select("doc_id", F.col("line_idx").alias("s"), "turn", F.col("ref").alias("speaker_ref"))
