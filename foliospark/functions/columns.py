@@ -221,15 +221,22 @@ def first_date(text: Column) -> Column:
     figures = r"(?<!\d)(\d{1,2})\.\s*(\d{1,2})\.\s*((?:18|19|20)\d{2})(?!\d)"
     named = rf"(?iu)(?<!\d)(\d{{1,2}})\.?(?:\s*[-–]\s*\d{{1,2}}\.?)?\s*({_NAMED})\b\.?\s*((?:18|19|20)\d{{2}})?"
     month = F.create_map(*[F.lit(x) for n, i in MONTHS.items() for x in (n, str(i))])
-    later = F.regexp_extract(F.regexp_extract(text, named + r"(.{0,64})", 4), r"(?<!\d)((?:18|19|20)\d{2})(?!\d)", 1)
-    g = lambda p, i: F.regexp_extract(text, p, i)
-    year = F.coalesce(F.nullif(g(named, 3), F.lit("")), F.nullif(later, F.lit("")))
-    found = [
-        (iso, _date(g(iso, 1), g(iso, 2), g(iso, 3))), (figures, _date(g(figures, 3), g(figures, 2), g(figures, 1))),
-        (named, _date(year, month[F.lower(g(named, 2))], g(named, 1))),
-    ]
-    ranked = [F.when(d.isNotNull() & (F.regexp_instr(text, F.lit(p)) > 0), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(i).alias("kind"), d.alias("date"))) for i, (p, d) in enumerate(found)]
-    return F.array_min(F.array_compact(F.array(*ranked)))["date"]
+    every = lambda p, i: F.regexp_extract_all(text, F.lit(p), F.lit(i))
+
+    def dates(kind: int, pattern: str, year: int, month_: int, day: int) -> Column:
+        found = F.arrays_zip(every(pattern, 0).alias("all"), every(pattern, year).alias("y"), every(pattern, month_).alias("m"), every(pattern, day).alias("d"))
+
+        def place(f: Column) -> Column:
+            at = F.instr(text, f["all"])
+            rest = F.substring(text, at + F.length(f["all"]), F.lit(64))
+            later = F.regexp_extract(rest, r"(?<!\d)((?:18|19|20)\d{2})(?!\d)", 1)
+            y = F.coalesce(F.nullif(f["y"], F.lit("")), later) if kind == 2 else f["y"]
+            m = F.try_element_at(month, F.lower(f["m"])) if kind == 2 else f["m"]
+            return F.struct(at.alias("at"), F.lit(kind).alias("kind"), _date(y, m, f["d"]).alias("date"))
+
+        return F.filter(F.transform(found, place), lambda x: x["date"].isNotNull())
+
+    return F.array_min(F.concat(dates(0, iso, 1, 2, 3), dates(1, figures, 3, 2, 1), dates(2, named, 3, 2, 1)))["date"]
 
 
 # --- speakers ------------------------------------------------------------------

@@ -93,7 +93,9 @@ def column_edges(df: DataFrame, by: list[str], x: str, gap: Column, support: flo
     new = F.coalesce(F.col(x) - F.lag(x).over(w) > F.col("__gap"), F.lit(False)).cast("int")
     df = df.withColumn("__new", new).withColumn("cluster", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     c = Window.partitionBy(*by, "cluster")
-    df = df.withColumn("__near", F.count("*").over(c.orderBy(x).rangeBetween(0, support))).withColumn("__n", F.count("*").over(c))
+    keys = ", ".join(f"`{k}`" for k in [*by, "cluster"])
+    near = f"count(*) OVER (PARTITION BY {keys} ORDER BY `{x}` RANGE BETWEEN CURRENT ROW AND {float(support)}D FOLLOWING)"
+    df = df.withColumn("__near", F.expr(near)).withColumn("__n", F.count("*").over(c))
     enough = F.col("__near") >= F.greatest(F.lit(least), F.floor(F.col("__n") / part))
     return df.groupBy(*by, "cluster").agg(
         F.coalesce(F.min(F.when(enough, F.col(x))), F.min(x)).alias("edge"), F.count("*").alias("n")

@@ -1,5 +1,669 @@
-"""The queries over the core operators, and their SQL."""
+"""The queries over the core operators, and their SQL.
 
-QUERIES: dict = {}
+Every query runs over its whole tables. SQL is DuckDB's; queries that SQL can't
+express have none and are tested against brute force.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..operators import corpus, layout, pages, speakers, structure
+from ..streaming.incremental import sessions, windowed_counts
+from . import rules
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-FLAGSHIP = ""
+FLAGSHIP = "speech_extents"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """line_record, of repeated lines the one extracted first; only the
+    columns asked for are read."""
+    key = ["doc_id", "page_num", "line_idx"]
+    df = table(spark, sf_dir, "line_record").select(*key, "extracted_at", *dict.fromkeys(("text", *columns)))
+    return corpus.first_wins(df, key, ["extracted_at", "text"])
+
+
+LINES = "L AS (SELECT * FROM line_record QUALIFY row_number() OVER (PARTITION BY doc_id, page_num, line_idx ORDER BY extracted_at, text) = 1)"
+
+
+def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "transcript_line").select("doc_id", "line_idx", "received_at", "text", "page_num")
+    return corpus.first_wins(df, ["doc_id", "line_idx"], ["received_at", "text"])
+
+
+SPOKEN = "T AS (SELECT * FROM transcript_line QUALIFY row_number() OVER (PARTITION BY doc_id, line_idx ORDER BY received_at, text) = 1)"
+
+
+def character_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "character_run").dropDuplicates(["run_id"])
+
+
+RUNS = "R AS (SELECT * FROM character_run QUALIFY row_number() OVER (PARTITION BY run_id) = 1)"
+
+
+# --- records and selectors ------------------------------------------------------
+
+
+@query("""SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_idx, x AS text FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+  WHERE length(trim(x)) > 0""")
+def line_records(spark, sf_dir):
+    return layout.text_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query(f"""WITH {LINES} SELECT doc_id, count(*) FILTER (starts_with(text, 'Predsednik')) AS n_starts, count(*) FILTER (ends_with(text, '.')) AS n_ends,
+  count(*) FILTER (regexp_matches(text, '[0-9]{{4}}')) AS n_pattern, count(*) FILTER (trim(regexp_replace(text, '\\s+', ' ', 'g')) = 'V imenu odbora') AS n_equal,
+  count(*) FILTER (starts_with(text, 'V') AND NOT ends_with(text, '.') AND (contains(text, 'odbor') OR contains(text, 'zbor'))) AS n_all FROM L GROUP BY doc_id""")
+def text_selectors(spark, sf_dir):
+    t, n = F.col("text"), lambda c: F.count_if(c)
+    both = C.all_of(C.text_matches(t, starts="V"), C.negated(C.text_matches(t, ends=".")), C.any_of(t.contains("odbor"), t.contains("zbor")))
+    return lines(spark, sf_dir).groupBy("doc_id").agg(
+        n(C.text_matches(t, starts="Predsednik")).alias("n_starts"), n(C.text_matches(t, ends=".")).alias("n_ends"),
+        n(C.text_matches(t, pattern="[0-9]{4}")).alias("n_pattern"), n(C.text_matches(t, equals="V imenu odbora", normalize=True)).alias("n_equal"), n(both).alias("n_all"),
+    )
+
+
+@query("""SELECT l_returnflag, count(*) FILTER (l_quantity > 10 AND l_quantity < 20) AS n_open, count(*) FILTER (l_quantity BETWEEN 10 AND 20) AS n_closed,
+  count(*) FILTER (l_discount > 0.05) AS n_above, count(*) FILTER (l_linestatus = 'O' AND NOT (l_tax > 0.04)) AS n_both FROM lineitem GROUP BY l_returnflag""")
+def between_selectors(spark, sf_dir):
+    q = F.col("l_quantity")
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        F.count_if(C.between(q, 10, 20)).alias("n_open"), F.count_if(C.between(q, 10, 20, True)).alias("n_closed"), F.count_if(C.between(F.col("l_discount"), 0.05)).alias("n_above"),
+        F.count_if(C.all_of(C.attribute(F.col("l_linestatus"), "O"), C.negated(C.between(F.col("l_tax"), 0.04)))).alias("n_both"),
+    )
+
+
+@query("""SELECT event_type, coalesce(json_extract_string(props, '$.k'), 'none') AS k, count(*) AS n FROM events GROUP BY ALL""")
+def metadata_default(spark, sf_dir):
+    values = F.from_json("props", "map<string,string>")
+    return table(spark, sf_dir, "events").groupBy("event_type", C.metadata(values, "k", "none").alias("k")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {LINES}, D AS (SELECT doc_id, CAST(max(page_num) + 1 AS BIGINT) AS n FROM L GROUP BY doc_id), P AS (SELECT *, least(4, n) AS k FROM D),
+  X AS (SELECT *, unnest(generate_series(0, k - 1)) AS i FROM P)
+  SELECT doc_id, i AS worker, (n // k) * i + least(i, n % k) AS start, (n // k) * (i + 1) + least(i + 1, n % k) AS "end" FROM X""")
+def page_ranges(spark, sf_dir):
+    docs = table(spark, sf_dir, "line_record").groupBy("doc_id").agg((F.max("page_num") + 1).cast("long").alias("n"))
+    runs = layout.page_ranges(F.lit(0).cast("long"), F.col("n"), 4)
+    return docs.select("doc_id", F.posexplode(runs).alias("worker", "r")).select("doc_id", F.col("worker").cast("long").alias("worker"), "r.start", "r.end")
+
+
+@query(f"""WITH {LINES} SELECT doc_id, count(*) AS n_lines, count(DISTINCT page_num) AS n_pages FROM L WHERE page_num >= 1 AND page_num < 5 GROUP BY doc_id""")
+def page_range_filter(spark, sf_dir):
+    return lines(spark, sf_dir).where(layout.in_range(F.col("page_num"), 1, 5)).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_distinct("page_num").alias("n_pages"))
+
+
+@query("""SELECT user_id, event_id, event_type FROM (SELECT *, max(CAST(event_type = 'error' AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM events) WHERE s = 0""")
+def take_while(spark, sf_dir):
+    df = layout.take_while(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+    return df.select("user_id", "event_id", "event_type")
+
+
+# --- rules -----------------------------------------------------------------------
+
+
+def line_rules() -> rules.RuleGroup:
+    t = F.col("text")
+    return rules.RuleGroup([
+        rules.Rule("NUMBER", t.rlike(r"^\W*\d+\W*$")), rules.Rule("HEAD", C.is_upper(t) & (F.length(t) <= 100) & ~t.endswith(":")),
+        rules.Rule("SPEAKER", t.rlike(r"^\p{Lu}[^:]{2,72}:(\s|$)")), rules.Rule("NOTE", t.rlike(r"^\(.*\)$")),
+        rules.Rule("SENTENCE", t.rlike(r"^\p{Lu}")), rules.Rule("REST", rules.FALLBACK),
+    ])
+
+
+RULE = """CASE WHEN text IS NULL OR text IN ('', chr(10)) THEN NULL WHEN regexp_matches(text, '^[^\\p{L}0-9_]*[0-9]+[^\\p{L}0-9_]*$') THEN 'NUMBER'
+  WHEN regexp_matches(text, '\\p{Lu}') AND NOT regexp_matches(text, '[\\p{Ll}\\p{Lt}]') AND length(text) <= 100 AND NOT ends_with(text, ':') THEN 'HEAD'
+  WHEN regexp_matches(text, '^\\p{Lu}[^:]{2,72}:(\\s|$)') THEN 'SPEAKER' WHEN regexp_matches(text, '^\\(.*\\)$') THEN 'NOTE' WHEN regexp_matches(text, '^\\p{Lu}') THEN 'SENTENCE' ELSE 'REST' END"""
+
+
+@query(f"WITH {LINES} SELECT doc_id, coalesce({RULE}, 'UNMATCHED') AS rule, count(*) AS n FROM L GROUP BY ALL")
+def rule_first_match(spark, sf_dir):
+    df = lines(spark, sf_dir).withColumn("rule", line_rules().first_match(F.col("text")))
+    return rules.rule_counts(df, ["doc_id"], "rule")
+
+
+@query(f"""WITH {SPOKEN}, M AS (SELECT *, {RULE} AS rule FROM T)
+  SELECT doc_id, line_idx, rule, last_value(CASE WHEN rule = 'SPEAKER' THEN line_idx END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_idx) AS opened FROM M""")
+def rule_fallback(spark, sf_dir):
+    df = transcript(spark, sf_dir).withColumn("rule", line_rules().first_match(F.col("text")))
+    df = rules.carried(df, ["doc_id"], ["line_idx"], F.when(F.col("rule") == "SPEAKER", F.col("line_idx")), "opened")
+    return df.select("doc_id", "line_idx", "rule", "opened")
+
+
+@query("""SELECT CASE WHEN c > 4550 AND c < 6560 THEN 'center' WHEN c > 2500 AND c < 3660 THEN 'left' WHEN c > 7820 AND c < 8460 THEN 'right' ELSE '_else' END AS alignment,
+  count(*) AS n FROM (SELECT l_extendedprice / 10 + l_quantity * 10 / 2 AS c FROM lineitem) GROUP BY 1""")
+def alignment_router(spark, sf_dir):
+    group = rules.aligned(F.col("l_extendedprice") / 10, F.col("l_quantity") * 10)
+    return table(spark, sf_dir, "lineitem").groupBy(group.alias("alignment")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {LINES}, M AS (SELECT doc_id, {RULE} AS rule, font_name, font_size, page_num FROM L)
+  SELECT doc_id, 'rule' AS key, rule AS value, count(*) AS n FROM M GROUP BY ALL UNION ALL SELECT doc_id, 'font_name', font_name, count(*) FROM M GROUP BY ALL
+  UNION ALL SELECT doc_id, 'font_size', CAST(font_size AS VARCHAR), count(*) FROM M GROUP BY ALL UNION ALL SELECT doc_id, 'page_num', CAST(page_num AS VARCHAR), count(*) FROM M GROUP BY ALL""")
+def diagnostics(spark, sf_dir):
+    df = lines(spark, sf_dir, "font_name", "font_size").withColumn("rule", line_rules().first_match(F.col("text")))
+    return rules.diagnostics(df, "doc_id", ["rule", "font_name", "font_size", "page_num"])
+
+
+@query(f"""WITH {LINES} SELECT doc_id, page_num, line_idx, text, sample FROM (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_num, line_idx) AS INTEGER) AS sample
+  FROM L WHERE {RULE} = 'REST') WHERE sample <= 25""")
+def unmatched_samples(spark, sf_dir):
+    df = lines(spark, sf_dir).where(line_rules().first_match(F.col("text")) == "REST")
+    return rules.samples(df, ["doc_id"], ["page_num", "line_idx"]).select("doc_id", "page_num", "line_idx", "text", "sample")
+
+
+# --- layout --------------------------------------------------------------------------
+
+
+@query(f"""WITH {LINES}, D AS (SELECT *, lag(y) OVER (PARTITION BY doc_id, page_num ORDER BY line_idx) - y AS d FROM L)
+  SELECT doc_id, page_num, count(*) AS n, CAST(sum(CAST(coalesce(abs(d) > 2.5, false) AS INTEGER)) AS BIGINT) + 1 AS n_lines FROM D GROUP BY ALL""")
+def line_grouping(spark, sf_dir):
+    df = layout.line_groups(lines(spark, sf_dir, "y"), ["doc_id", "page_num"], ["line_idx"], "y", 2.5)
+    return df.groupBy("doc_id", "page_num").agg(F.count("*").alias("n"), (F.max("line_id") + 1).alias("n_lines"))
+
+
+@query(f"""WITH {LINES}, D AS (SELECT *, lag(y) OVER (PARTITION BY doc_id, page_num ORDER BY line_idx) - y AS d FROM L)
+  SELECT doc_id, page_num, count(*) AS n, CAST(sum(CAST(coalesce(d > 2.5 OR abs(d) > 12.5, false) AS INTEGER)) AS BIGINT) + 1 AS n_lines FROM D GROUP BY ALL""")
+def line_grouping_downward(spark, sf_dir):
+    df = layout.line_groups(lines(spark, sf_dir, "y"), ["doc_id", "page_num"], ["line_idx"], "y", 2.5, downward=True)
+    return df.groupBy("doc_id", "page_num").agg(F.count("*").alias("n"), (F.max("line_id") + 1).alias("n_lines"))
+
+
+@query("""WITH C AS (SELECT *, event_type IS DISTINCT FROM lag(event_type) OVER w AND row_number() OVER w > 1 AS c FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  I AS (SELECT *, CAST(sum(CAST(c AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS island FROM C)
+  SELECT user_id, island, min(event_type) AS event_type, count(*) AS n, min(event_id) AS first_id FROM I GROUP BY user_id, island""")
+def run_islands(spark, sf_dir):
+    df = layout.islands(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], ["event_type"])
+    return df.groupBy("user_id", "island").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"))
+
+
+@query(f"""WITH {RUNS}, C AS (SELECT *, row_number() OVER w > 1 AND (font_name IS DISTINCT FROM lag(font_name) OVER w OR font_size IS DISTINCT FROM lag(font_size) OVER w OR coalesce(abs(x0 - lag(x0) OVER w) >= 200, false)) AS c
+  FROM R WINDOW w AS (PARTITION BY doc_id, page_num ORDER BY seq, run_id)) SELECT doc_id, page_num, count(*) AS n, CAST(sum(CAST(c AS INTEGER)) AS BIGINT) + 1 AS n_runs FROM C GROUP BY ALL""")
+def run_grouping(spark, sf_dir):
+    df = layout.run_groups(character_runs(spark, sf_dir), ["doc_id", "page_num"], ["seq", "run_id"], "font_name", "font_size", "x0", 200.0)
+    return df.groupBy("doc_id", "page_num").agg(F.count("*").alias("n"), (F.max("run_id") + 1).alias("n_runs"))
+
+
+@query(f"""WITH {RUNS}, C AS (SELECT *, coalesce(x0 - lag(x1) OVER (PARTITION BY doc_id, page_num, y0 ORDER BY seq, run_id) > 1.7, false) AS s FROM R)
+  SELECT doc_id, page_num, y0, string_agg(CASE WHEN s THEN ' ' ELSE '' END || text, '' ORDER BY seq, run_id) AS text FROM C WHERE text IS NOT NULL GROUP BY ALL""")
+def gap_spacing(spark, sf_dir):
+    by = ["doc_id", "page_num", "y0"]
+    df = layout.spaced(character_runs(spark, sf_dir), by, ["seq", "run_id"], "x0", "x1", 1.7)
+    return layout.joined_text(df.where("text is not null"), by, ["seq", "run_id"], "text", F.col("space_before"))
+
+
+@query(f"""WITH {LINES} SELECT doc_id, page_num, line_idx, coalesce(NOT lag(ends_with(text, ' ')) OVER (PARTITION BY doc_id ORDER BY page_num, line_idx), false) AS space_before FROM L""")
+def pending_space(spark, sf_dir):
+    df = layout.pending_space(lines(spark, sf_dir), ["doc_id"], ["page_num", "line_idx"], F.col("text").endswith(" "))
+    return df.select("doc_id", "page_num", "line_idx", "space_before")
+
+
+@query(f"""WITH {LINES}, O AS (SELECT *, y < 50 OR page_height - y < 45 AS o, regexp_matches(rtrim(text), '[-‐‑]$') AND NOT (y < 50 OR page_height - y < 45) AS h FROM L)
+  SELECT doc_id, page_num, line_idx, CASE WHEN h THEN regexp_replace(rtrim(text), '[-‐‑]$', '') ELSE text END AS text_joined,
+  CASE WHEN row_number() OVER w = 1 THEN false ELSE NOT coalesce(last_value(CASE WHEN NOT o THEN h END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY page_num, line_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) END AS space_before
+  FROM O WINDOW w AS (PARTITION BY doc_id ORDER BY page_num, line_idx)""")
+def dehyphenate(spark, sf_dir):
+    out = (F.col("y") < 50) | (F.col("page_height") - F.col("y") < 45)
+    df = layout.dehyphenated(lines(spark, sf_dir, "y", "page_height"), ["doc_id"], ["page_num", "line_idx"], "text", out)
+    return df.select("doc_id", "page_num", "line_idx", "text_joined", "space_before")
+
+
+@query(f"""WITH {LINES}, G AS (SELECT *, CAST(coalesce(x - lag(x) OVER (PARTITION BY doc_id, page_num ORDER BY x) > 0.18 * page_width, false) AS INTEGER) AS g FROM L WHERE x IS NOT NULL),
+  K AS (SELECT *, CAST(sum(g) OVER (PARTITION BY doc_id, page_num ORDER BY x ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cluster FROM G),
+  N AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page_num, cluster ORDER BY x RANGE BETWEEN CURRENT ROW AND 3.0 FOLLOWING) AS near, count(*) OVER (PARTITION BY doc_id, page_num, cluster) AS k FROM K)
+  SELECT doc_id, page_num, cluster, coalesce(min(x) FILTER (near >= greatest(3, k // 20)), min(x)) AS edge, count(*) AS n FROM N GROUP BY ALL""")
+def column_clusters(spark, sf_dir):
+    df = lines(spark, sf_dir, "x", "page_width").where("x is not null")
+    return layout.column_edges(df, ["doc_id", "page_num"], "x", F.col("page_width") * 0.18)
+
+
+@query(f"""WITH {LINES} SELECT doc_id, page_num, line_idx, coalesce(list_max(list_filter([72.0, 84.0, 230.0, 330.0], lambda c: c <= x + 2)), x) AS col,
+  list_min(list_transform([72.0, 84.0, 230.0, 330.0], lambda c: abs(x - c))) AS distance FROM L""")
+def nearest_column(spark, sf_dir):
+    known = F.array(*[F.lit(c) for c in (72.0, 84.0, 230.0, 330.0)])
+    return lines(spark, sf_dir, "x").select("doc_id", "page_num", "line_idx", layout.nearest_column(F.col("x"), known).alias("col"), layout.column_distance(F.col("x"), known).alias("distance"))
+
+
+@query()
+def anchor_clusters(spark, sf_dir):
+    """Clusters of x on each page, by distance from a cluster's first."""
+    return layout.anchor_clusters(lines(spark, sf_dir, "x"), ["doc_id", "page_num"], "x", "line_idx", 6.0)
+
+
+@query()
+def merged_runs(spark, sf_dir):
+    """Runs of each line before and after nearby ones are merged."""
+    df = lines(spark, sf_dir, "runs").select("doc_id", "page_num", "line_idx", F.size("runs").alias("n_before"), layout.merged_runs(F.col("runs")).alias("merged"))
+    return df.select("doc_id", "page_num", "line_idx", "n_before", F.size("merged").alias("n_after"), F.to_json("merged").alias("runs"))
+
+
+@query("""SELECT user_id, event_id, last_value(CASE WHEN event_type <> 'error' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM events""")
+def previous_in_flow(spark, sf_dir):
+    df = layout.previous_in_flow(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_id", F.col("event_type") == "error")
+    return df.select("user_id", "event_id", "previous")
+
+
+@query(f"""WITH {LINES} SELECT a.doc_id, a.page_num, a.line_idx FROM L a WHERE EXISTS (SELECT 1 FROM L b WHERE a.doc_id = b.doc_id AND a.page_num = b.page_num AND a.line_idx <> b.line_idx
+  AND abs(a.y - b.y) <= 2.5 AND b.x >= a.x + 0.15 * a.page_width)""")
+def band_semi_join(spark, sf_dir):
+    df = layout.band_semi_join(lines(spark, sf_dir, "x", "y", "page_width"), ["doc_id", "page_num"], "line_idx", "y", "x", F.col("page_width"))
+    return df.select("doc_id", "page_num", "line_idx")
+
+
+@query(f"""WITH {LINES}, K AS (SELECT *, nullif(regexp_extract(text, '^\\s*(\\S+)', 1), '') AS k FROM L) SELECT a.doc_id, a.page_num, a.line_idx FROM K a WHERE EXISTS (SELECT 1 FROM K b
+  WHERE a.doc_id = b.doc_id AND a.page_num = b.page_num AND a.line_idx <> b.line_idx AND a.k = b.k AND abs(a.x - b.x) <= 1.5)""")
+def peer_semi_join(spark, sf_dir):
+    key = F.nullif(F.regexp_extract("text", r"^\s*(\S+)", 1), F.lit(""))
+    df = layout.peer_semi_join(lines(spark, sf_dir, "x"), ["doc_id", "page_num"], "line_idx", key, "x", 1.5)
+    return df.select("doc_id", "page_num", "line_idx")
+
+
+# --- pages and profiles -----------------------------------------------------------------
+
+
+@query(f"""WITH {LINES}, U AS (SELECT doc_id, page_num, line_idx, unnest(runs) AS r FROM L), W AS (SELECT doc_id, r.font_name AS f, sum(greatest(1, length(r.text))) AS w, min((page_num, line_idx)) AS o FROM U WHERE r.font_name IS NOT NULL GROUP BY ALL)
+  SELECT doc_id, f AS font_name FROM W QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, o) = 1""")
+def weighted_mode(spark, sf_dir):
+    runs = lines(spark, sf_dir, "runs").select("doc_id", "page_num", "line_idx", F.explode("runs").alias("r")).select("doc_id", "page_num", "line_idx", "r.text", F.col("r.font_name").alias("font"))
+    return pages.weighted_mode(runs, ["doc_id"], "font", F.greatest(F.lit(1), F.length("text")), F.struct("page_num", "line_idx"), "font_name")
+
+
+@query(f"""WITH {LINES}, U AS (SELECT doc_id, page_num, line_idx, unnest(runs) AS r FROM L),
+  S AS (SELECT doc_id, coalesce(sum(length(r.text)), 0) AS n, coalesce(sum(length(r.text) - length(replace(r.text, ' ', ''))), 0) AS b,
+    coalesce(bool_or(regexp_matches(lower(r.font_name), 'invisible|ocr')), false) AS ocr, coalesce(bool_or(regexp_matches(lower(r.font_name), 'bold|italic')), false) AS fancy FROM U GROUP BY doc_id),
+  H AS (SELECT doc_id, round_even(r.font_size * 2, 0) / 2 AS h, sum(length(trim(r.text))) AS w, min((page_num, line_idx)) AS o FROM U WHERE length(trim(r.text)) > 0 AND r.font_size IS NOT NULL GROUP BY ALL),
+  B AS (SELECT doc_id, h FROM H QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, o) = 1)
+  SELECT S.doc_id, coalesce(h, 10.0) AS body_size, b / greatest(n, 1) AS space_ratio, CASE WHEN ocr OR n = 0 THEN 'ocr' WHEN b / greatest(n, 1) < 0.05 THEN 'char-break' ELSE 'char-preserve' END AS mode,
+  NOT (ocr OR n = 0) AND fancy AS styled FROM S LEFT JOIN B USING (doc_id)""")
+def doc_profile(spark, sf_dir):
+    runs = lines(spark, sf_dir, "runs").select("doc_id", "page_num", "line_idx", F.explode("runs").alias("r")).select("doc_id", "page_num", "line_idx", "r.text", "r.font_name", "r.font_size")
+    return pages.document_profile(runs, "doc_id", "text", "font_name", "font_size", F.struct("page_num", "line_idx"))
+
+
+MARKS = r"""M AS (SELECT doc_id, page_num, coalesce(bool_or(regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])[0-9]{1,3}\.\s*((iz)?redn\p{L}+\s+|skupn\p{L}+\s+|zajedn\p{L}+\s+)?(sej|sednic|sjednic|zasedanj|zasjedanj)\p{L}*')), false) AS session,
+  coalesce(bool_or(regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])[0-9]{1,3}\.\s*((iz)?redn\p{L}+\s+|skupn\p{L}+\s+|zajedn\p{L}+\s+)?(sej|sednic|sjednic)\p{L}*')), false) AS debate,
+  coalesce(bool_or(regexp_matches(text, '^\p{Lu}(?i:redsed\p{L}+|redsjed\p{L}+|odpredsed\p{L}+)([^\p{L}:][^:]{0,69})?:')), false) AS cue,
+  coalesce(bool_or(regexp_matches(text, '^SEZNAM GOVORNIKOV([^\p{L}]|$)')), false) AS "index", coalesce(bool_or(regexp_matches(text, '^PRILOG[EIA]?([^\p{L}\p{N}_]|$)')), false) AS appendix,
+  coalesce(bool_or(regexp_matches(text, '\p{Lu}') AND NOT regexp_matches(text, '[\p{Ll}\p{Lt}]') AND regexp_matches(text, '(?i)^\s*[0-9]{1,3}\.\s*(točka dnevnega reda|točka dnevnog reda|tačka dnevnog reda)')), false) AS agenda FROM L GROUP BY ALL)"""
+
+
+@query(f"WITH {LINES}, {MARKS} SELECT * FROM M")
+def page_marks(spark, sf_dir):
+    return pages.page_marks(lines(spark, sf_dir), ["doc_id", "page_num"], "text")
+
+
+@query(f"""WITH {LINES}, {MARKS}, A AS (SELECT *, bool_or(session) OVER w AS seen, debate AND cue AS strong, coalesce(last_value(CASE WHEN appendix THEN true WHEN debate AND cue THEN false END IGNORE NULLS) OVER w, false) AS back_matter FROM M
+    WINDOW w AS (PARTITION BY doc_id ORDER BY page_num)),
+  B AS (SELECT *, CASE WHEN lag(back_matter, 1, false) OVER (PARTITION BY doc_id ORDER BY page_num) THEN strong ELSE debate OR (seen AND cue) END AS resume FROM A),
+  C AS (SELECT *, bool_or(resume) OVER w AS seen_session, coalesce(last_value(CASE WHEN "index" THEN true WHEN resume THEN false END IGNORE NULLS) OVER w, false) AS speaker_index FROM B WINDOW w AS (PARTITION BY doc_id ORDER BY page_num))
+  SELECT doc_id, page_num, seen_session, back_matter, speaker_index, seen_session AND NOT speaker_index AND NOT back_matter AS structure_active, (seen_session AND NOT speaker_index AND NOT back_matter) OR session AS heading_active FROM C""")
+def page_automaton(spark, sf_dir):
+    df = pages.page_automaton(pages.page_marks(lines(spark, sf_dir), ["doc_id", "page_num"], "text"), "doc_id", "page_num")
+    return df.select("doc_id", "page_num", "seen_session", "back_matter", "speaker_index", "structure_active", "heading_active")
+
+
+def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = table(spark, sf_dir, "line_profile").groupBy("doc_id").agg(F.coalesce(F.max("body_size"), F.lit(pages.DEFAULT_SIZE)).alias("body"))
+    df = lines(spark, sf_dir, "y", "font_size", "page_height").join(profile, "doc_id", "left")
+    kind = pages.artifact_kind(F.col("text"), F.col("y"), F.col("font_size"), F.col("page_height"), F.coalesce("body", F.lit(pages.DEFAULT_SIZE)))
+    return df.withColumn("kind", kind).where("kind is not null")
+
+
+ARTIFACTS = r"""P AS (SELECT doc_id, coalesce(max(body_size), 10.0) AS body FROM line_profile GROUP BY doc_id), J AS (SELECT L.*, coalesce(body, 10.0) AS b FROM L LEFT JOIN P USING (doc_id)),
+  Q AS (SELECT *, y > page_height * 0.915 AND (font_size <= b - 1 OR length(trim(text)) <= 4) AS top FROM J),
+  K AS (SELECT doc_id, page_num, line_idx, text, CASE WHEN regexp_matches(text, '^SEZNAM GOVORNIKOV([^\p{L}]|$)') THEN 'speakerIndex' WHEN top AND regexp_matches(trim(text), '^[0-9]+$') THEN 'pageNumber' WHEN top THEN 'runningHeader'
+    WHEN y < page_height * 0.085 AND font_size <= b - 1 AND regexp_matches(text, '(?i)^\s*[0-9]*\s*[s5]t\.\s*(beležk|zapi[s5])\p{L}*') THEN 'runningFooter' END AS kind FROM Q)"""
+
+
+@query(f"WITH {LINES}, {ARTIFACTS} SELECT doc_id, page_num, line_idx, kind FROM K WHERE kind IS NOT NULL")
+def source_artifacts(spark, sf_dir):
+    return artifacts(spark, sf_dir).select("doc_id", "page_num", "line_idx", "kind")
+
+
+@query(f"""WITH {LINES}, {ARTIFACTS}, N AS (SELECT doc_id, kind, page_num, string_agg(text, chr(10) ORDER BY line_idx) AS text, min(line_idx) AS f FROM K WHERE kind IS NOT NULL GROUP BY ALL)
+  SELECT doc_id, kind, page_num, text, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_num, f) AS INTEGER) AS ord FROM N""")
+def artifact_notes(spark, sf_dir):
+    return pages.artifact_notes(artifacts(spark, sf_dir), ["doc_id"], "kind", "page_num", "line_idx", "text")
+
+
+@query(f"""WITH {LINES}, P AS (SELECT doc_id, max(body_size) AS body FROM line_profile GROUP BY doc_id)
+  SELECT doc_id, count(*) AS n, count(*) FILTER (coalesce(abs(font_size - body) <= 1.6, false)) AS n_body,
+  count(*) FILTER (abs(x - (page_width - coalesce(x_end, x + length(text) * font_size * 0.48))) <= greatest(18.0, page_width * 0.06)) AS n_centered FROM L LEFT JOIN P USING (doc_id) GROUP BY doc_id""")
+def line_geometry(spark, sf_dir):
+    profile = table(spark, sf_dir, "line_profile").groupBy("doc_id").agg(F.max("body_size").alias("body"))
+    df = lines(spark, sf_dir, "x", "x_end", "font_size", "page_width").join(profile, "doc_id", "left")
+    mid = pages.is_centered(F.col("x"), F.col("x_end"), F.col("text"), F.col("font_size"), F.col("page_width"))
+    return df.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(pages.is_body_size(F.col("font_size"), F.col("body"))).alias("n_body"), F.count_if(mid).alias("n_centered"))
+
+
+# --- trees ------------------------------------------------------------------------------
+
+
+#: What the rules of transcripts do to the stack of open elements.
+ACTIONS = {
+    "SPEAKER": (("pop_to", "div", "body"), ("push", "note", {"type": "speaker"}), ("append",), ("pop",), ("push", "u", {"n": "{line_idx}"})),
+    "HEAD": (("pop_to", "body"), ("push", "div", {"type": "section"}), ("push", "head"), ("append",), ("pop",)),
+    "NOTE": (("push", "note"), ("append",), ("pop",)),
+    "NUMBER": (("comment",),),
+}
+
+
+def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = transcript(spark, sf_dir).withColumn("rule", line_rules().first_match(F.col("text")))
+    return structure.build_trees(chunks, "doc_id", ["line_idx"], "rule", ACTIONS)
+
+
+@query()
+def stack_tree(spark, sf_dir):
+    """Nodes of the trees of transcripts, from the stack automaton."""
+    return trees(spark, sf_dir).withColumn("attrs", F.to_json("attrs"))
+
+
+@query()
+def serialize_xml(spark, sf_dir):
+    return structure.serialized(trees(spark, sf_dir), "doc_id")
+
+
+_TEXT = "regexp_matches(text, '\\S')"
+
+
+@query(f"""WITH {SPOKEN}, M AS (SELECT *, {RULE} AS rule FROM T) SELECT doc_id, count(*) FILTER (rule = 'SPEAKER') AS speeches,
+  CAST(sum(CASE WHEN rule IS DISTINCT FROM 'NUMBER' THEN len(regexp_extract_all(text, '\\S+')) ELSE 0 END) AS BIGINT) AS words FROM M GROUP BY doc_id""")
+def speech_extents(spark, sf_dir):
+    return structure.extents(trees(spark, sf_dir), "doc_id")
+
+
+@query(f"""WITH {SPOKEN}, M AS (SELECT *, {RULE} AS rule FROM T) SELECT doc_id, tag, count(*) AS n FROM (SELECT DISTINCT doc_id, 'body' AS tag, 0 AS i FROM M UNION ALL SELECT doc_id, 'note', line_idx FROM M WHERE rule IN ('SPEAKER', 'NOTE')
+  UNION ALL SELECT doc_id, 'u', line_idx FROM M WHERE rule = 'SPEAKER' UNION ALL SELECT doc_id, 'div', line_idx FROM M WHERE rule = 'HEAD' UNION ALL SELECT doc_id, 'head', line_idx FROM M WHERE rule = 'HEAD') GROUP BY ALL""")
+def tag_usage(spark, sf_dir):
+    return structure.tag_usage(trees(spark, sf_dir), "doc_id")
+
+
+@query(f"""WITH {SPOKEN}, M AS (SELECT doc_id, CAST(line_idx AS BIGINT) AS seq, CASE {RULE} WHEN 'HEAD' THEN 1 WHEN 'SPEAKER' THEN 2 ELSE 3 END AS lv FROM T)
+  SELECT doc_id, seq, lv, greatest(CASE WHEN lv > 1 THEN max(CASE WHEN lv = 1 THEN seq END) OVER w END, CASE WHEN lv > 2 THEN max(CASE WHEN lv = 2 THEN seq END) OVER w END) AS parent_seq FROM M
+  WINDOW w AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def level_tree(spark, sf_dir):
+    rule = line_rules().first_match(F.col("text"))
+    df = transcript(spark, sf_dir).select("doc_id", F.col("line_idx").cast("long").alias("seq"), F.when(rule == "HEAD", 1).when(rule == "SPEAKER", 2).otherwise(3).alias("lv"))
+    return structure.level_tree(df, "doc_id", "seq", "lv")
+
+
+@query("""SELECT p_partkey, p_type || '.' || p_brand || row_number() OVER (PARTITION BY p_type, p_brand ORDER BY p_partkey) AS id FROM part""")
+def sequential_ids(spark, sf_dir):
+    df = structure.sequential_ids(table(spark, sf_dir, "part"), ["p_type"], ["p_partkey"], F.col("p_brand"), F.col("p_type"))
+    return df.select("p_partkey", "id")
+
+
+@query("""SELECT p_partkey, CASE WHEN n = 1 THEN b ELSE b || '-' || n END AS id FROM (SELECT p_partkey, replace(p_name, ' ', '-') AS b, row_number() OVER (PARTITION BY replace(p_name, ' ', '-') ORDER BY p_partkey) AS n FROM part)""")
+def unique_ids(spark, sf_dir):
+    return structure.unique_ids(table(spark, sf_dir, "part"), [], ["p_partkey"], C.xml_id(F.col("p_name"))).select("p_partkey", "id")
+
+
+_NOTES = """N AS (SELECT o_custkey AS doc, o_orderkey AS seq, CAST(o_orderkey % 5 + 1 AS INTEGER) AS number, CAST(o_orderkey % 7 AS INTEGER) AS page FROM orders)"""
+
+
+def _definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), k.alias("seq"), (k % 5 + 1).cast("int").alias("number"), (k % 7).cast("int").alias("page"))
+
+
+_NOTE_IDS = """I AS (SELECT *, row_number() OVER (PARTITION BY doc, number ORDER BY seq) AS rd, row_number() OVER (PARTITION BY doc, number, page ORDER BY seq) - CAST(page = first_value(page) OVER (PARTITION BY doc, number ORDER BY seq) AS INTEGER) AS k FROM N),
+  F AS (SELECT doc, seq, number, page, CASE WHEN rd = 1 THEN 'note' || number WHEN k <= 1 THEN 'note' || number || '-p' || (page + 1) ELSE 'note' || number || '-p' || (page + 1) || '-' || k END AS id FROM I)"""
+
+
+@query(f"WITH {_NOTES}, {_NOTE_IDS} SELECT doc, seq, id FROM F")
+def footnote_ids(spark, sf_dir):
+    return structure.footnote_ids(_definitions(spark, sf_dir), "doc", "number", "page", ["seq"]).select("doc", "seq", "id")
+
+
+@query(f"""WITH {_NOTES}, {_NOTE_IDS}, G AS (SELECT doc, page, number, min(id) AS id FROM F GROUP BY ALL), X AS (SELECT l_orderkey, l_linenumber, o_custkey AS doc, CAST(l_orderkey % 7 AS INTEGER) AS page, l_linenumber AS number FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+  SELECT X.l_orderkey, X.l_linenumber, '#' || id AS target, CASE WHEN id IS NULL THEN 'superscript' END AS rend FROM X LEFT JOIN G USING (doc, page, number)""")
+def footnote_link(spark, sf_dir):
+    ids = structure.footnote_ids(_definitions(spark, sf_dir), "doc", "number", "page", ["seq"])
+    refs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("doc")), "l_orderkey")
+    refs = refs.withColumn("page", (F.col("l_orderkey") % 7).cast("int")).withColumn("number", F.col("l_linenumber"))
+    return structure.linked_footnotes(refs, ids, ["doc", "page", "number"]).select("l_orderkey", "l_linenumber", "target", "rend")
+
+
+@query("""WITH T AS (SELECT c_custkey, unnest(['CUST' || c_custkey, '#NATION_' || c_nationkey, '#' || c_mktsegment]) AS t, unnest([0, 1, 2]) AS p FROM customer)
+  SELECT c_custkey, string_agg(CASE WHEN n_nationkey IS NULL THEN t ELSE '#nation.' || n_nationkey END, ' ' ORDER BY p) AS refs FROM T LEFT JOIN nation ON n_name = regexp_replace(t, '^#', '') GROUP BY c_custkey""")
+def reference_rewrite(spark, sf_dir):
+    refs = F.concat_ws(" ", F.concat(F.lit("CUST"), "c_custkey"), F.concat(F.lit("#NATION_"), "c_nationkey"), F.concat(F.lit("#"), "c_mktsegment"))
+    ids = table(spark, sf_dir, "nation").select(F.col("n_name").alias("raw"), F.concat(F.lit("nation."), "n_nationkey").alias("id"))
+    return structure.rewritten_references(table(spark, sf_dir, "customer").select("c_custkey", refs.alias("refs")), ["c_custkey"], "refs", ids)
+
+
+# --- names and identifiers -----------------------------------------------------------------
+
+
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.first_wins(table(spark, sf_dir, "batch_job"), ["job_source"], ["started_at", "status", "fingerprint"])
+
+
+JOBS = "B AS (SELECT * FROM batch_job WHERE job_source IS NOT NULL QUALIFY row_number() OVER (PARTITION BY job_source ORDER BY started_at NULLS FIRST, status NULLS FIRST, fingerprint NULLS FIRST) = 1)"
+_PLAIN = f"translate(title, '{C.MARKED}', '{C.PLAIN}')"
+
+
+@query(f"""WITH {JOBS} SELECT job_source, coalesce(nullif(lower(regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), ''), 'untitled') AS slug,
+  regexp_matches(job_group, '^[A-Za-z][A-Za-z0-9]*([._-][A-Za-z0-9]+)*$') AS good_prefix, replace(replace(title, '\\', '\\\\'), chr(10), '\\n') AS seen FROM B""")
+def identifiers(spark, sf_dir):
+    return jobs(spark, sf_dir).where("job_source is not null").select("job_source", C.ascii_slug(F.col("title")).alias("slug"), C.valid_prefix(F.col("job_group")).alias("good_prefix"), C.visible(F.col("title"), 10_000).alias("seen"))
+
+
+@query()
+def component_stems(spark, sf_dir):
+    """Names of documents in a corpus, with ids and safe file names."""
+    t = F.col("title")
+    return jobs(spark, sf_dir).select(
+        "job_source", C.component_stem("Corpus", "sl", F.col("job_source"), C.first_date(t)).alias("stem"), C.short_slug(F.col("job_source")).alias("slug"),
+        C.xml_id(t).alias("id"), C.safe_component(t).alias("file"), C.xml_safe(t).alias("text"),
+    )
+
+
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders""")
+def first_date(spark, sf_dir):
+    """Dates written in four ways, found in text."""
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 4
+    names = ["januar", "februarja", "ožujka", "april", "maja", "lipnja", "julija", "august", "septembra", "listopada", "november", "decembra"]
+    named = F.concat_ws(" ", F.concat(F.dayofmonth(d), F.lit(".")), F.element_at(F.array(*map(F.lit, names)), F.month(d)), F.year(d).cast("string"))
+    ways = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "d. M. yyyy")).when(k == 2, named).otherwise(F.concat(F.lit("31. 2. 1950 / "), F.date_format(d, "d.M.yyyy")))
+    text = F.concat(F.lit("Zapisnik 12 seje dne "), ways, F.lit(", potem 1.1.2001"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", C.first_date(text).alias("date"))
+
+
+@query(f"""WITH {JOBS} SELECT job_source, CASE WHEN contains(job_source, '/../') THEN NULL ELSE 'a/' || regexp_replace(job_source, '/+', '/', 'g') END AS path FROM B""")
+def menu_path(spark, sf_dir):
+    url = F.concat(F.lit("https://menu.example.org/x/menu/a/"), F.replace(F.col("job_source"), F.lit(" "), F.lit("%20")))
+    df = jobs(spark, sf_dir).where("job_source is not null").select("job_source", C.menu_path(url, "menu.example.org").alias("path"))
+    return df.withColumn("path", F.replace("path", F.lit("%20"), F.lit(" ")))
+
+
+# --- speakers -------------------------------------------------------------------------------
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "speaker_detail").select("label").where("label is not null").distinct()
+
+
+_OFFICES = "podpredsedni|predsedni|predsedujoč|predsjedni|minist|sekretar|poročeval|poslan|delegat|tajni|zastopni|član"
+_BEFORE = "^(?:pod)?(?:predsednik|predsednica|predsedujoči|predsedujoča|predsjednik|predsednikov[0-9A-Za-z_]*|tajnik|minister|poročevalec|sekretar)\\s+"
+DETAILS = rf"""A AS (SELECT DISTINCT label FROM speaker_detail WHERE label IS NOT NULL), A1 AS (SELECT label, regexp_replace(label, '\s*\([^()]*\)\s*:?\s*$|:\s*$', '') AS bare,
+    nullif(regexp_extract(label, '\(([^()]+)\)\s*:?\s*$', 1), '') AS organization FROM A),
+  A2 AS (SELECT *, trim(regexp_extract(bare, ',\s*(.+)$', 1)) AS tail, nullif(trim(regexp_extract(bare, '(?i){_BEFORE}')), '') AS before FROM A1),
+  A3 AS (SELECT *, coalesce(before, CASE WHEN regexp_matches(tail, '(?i)({_OFFICES})') THEN tail END) AS role, CASE WHEN regexp_matches(regexp_extract(bare, ',\s*(.+)$', 1), '(?i)({_OFFICES})') THEN regexp_replace(bare, ',.*$', '') ELSE bare END AS b2 FROM A2),
+  A4 AS (SELECT label, role, organization, trim(regexp_replace(regexp_replace(regexp_replace(b2, '(?i){_BEFORE}', ''), '(?i)^(?:(?:mag|dr|prof|inž|ing|tov|mr)\.\s*)+', ''), '\s+', ' ', 'g')) AS lookup_name FROM A3)"""
+
+
+@query(f"""WITH {DETAILS} SELECT label, role, organization, lookup_name, CASE WHEN contains(lookup_name, ' ') THEN split_part(lookup_name, ' ', 1) ELSE '' END AS forename,
+  CASE WHEN contains(lookup_name, ' ') THEN regexp_replace(lookup_name, '^\\S+\\s+', '') ELSE lookup_name END AS surname FROM A4""")
+def speaker_details(spark, sf_dir):
+    return speakers.details(labels(spark, sf_dir), "label").select("label", "role", "organization", "lookup_name", "forename", "surname")
+
+
+@query(f"""WITH {DETAILS} SELECT coalesce(nullif(regexp_replace(lower(CASE WHEN regexp_extract(role, '(?i)({_OFFICES})\\p{{L}}*') <> '' THEN regexp_extract(role, '(?i)({_OFFICES})\\p{{L}}*') ELSE regexp_extract(role, '^\\s*(\\S+)', 1) END), '[^\\p{{L}}\\p{{N}}.\\-]', '', 'g'), ''), 'member') AS role_value,
+  count(*) AS n FROM A4 GROUP BY 1""")
+def role_values(spark, sf_dir):
+    return labels(spark, sf_dir).groupBy(C.role_value(C.label_role(F.col("label"))).alias("role_value")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH S AS (SELECT DISTINCT * FROM speaker_mapping WHERE speaker_ref IS NOT NULL AND label IS NOT NULL), N AS (SELECT *, length(regexp_replace(label, '[\\p{L}\\s.,()\\-:'']', '', 'g')) AS noise,
+    regexp_matches(label, '\\([^()]+\\)\\s*:?\\s*$') OR regexp_matches(regexp_replace(label, '\\s*\\([^()]*\\)\\s*:?\\s*$|:\\s*$', ''), '(?i)^(?:pod)?(?:predsednik|predsednica|predsedujoči|predsedujoča|predsjednik|tajnik|minister|poročevalec|sekretar)\\s+') AS has FROM S)
+  SELECT doc_id, speaker_ref, label, n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, speaker_ref) AS n, row_number() OVER (PARTITION BY doc_id, speaker_ref ORDER BY noise, has DESC, length(label), ord) AS r FROM N) WHERE r = 1""")
+def merge_speakers(spark, sf_dir):
+    mapping = table(spark, sf_dir, "speaker_mapping").distinct()
+    return speakers.merged_mapping(mapping, "speaker_ref", "label", F.col("ord"), ["doc_id"])
+
+
+@query()
+def merge_speakers_similarity(spark, sf_dir):
+    """As merge_speakers, the label most like the ref first."""
+    return speakers.merged_mapping(table(spark, sf_dir, "speaker_mapping").distinct(), "speaker_ref", "label", F.col("ord"), ["doc_id"], similar=True)
+
+
+@query()
+def alias_clusters(spark, sf_dir):
+    """Refs of each transcript grouped by similar spelling."""
+    return speakers.alias_clusters(table(spark, sf_dir, "speaker_mapping"), "doc_id", "speaker_ref", "ord")
+
+
+_ORG = """CASE WHEN organization IS NULL THEN 'org.UnknownOrganization' ELSE 'org.' || (SELECT CASE WHEN z = '' THEN 'UnknownOrganization' WHEN regexp_matches(z, '^[\\p{L}_]') THEN z ELSE 'UnknownOrganization-' || z END
+  FROM (SELECT regexp_replace(regexp_replace(regexp_replace(trim(organization), '[^\\p{L}\\p{N}_.\\-]', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g') AS z)) END"""
+
+
+@query(f"""SELECT org_id, arg_min(coalesce(organization, 'Unknown organization'), speaker_id) AS name FROM (SELECT *, {_ORG} AS org_id FROM (SELECT speaker_id, min(organization) AS organization FROM speaker_detail GROUP BY 1)) GROUP BY org_id""")
+def list_org(spark, sf_dir):
+    rows = table(spark, sf_dir, "speaker_detail").groupBy("speaker_id").agg(F.min("organization").alias("organization"))
+    return speakers.list_org(rows, "organization", F.col("speaker_id"))
+
+
+@query("""WITH S AS (SELECT DISTINCT doc_id, speaker_ref, label FROM speaker_mapping) SELECT doc_id, regexp_replace(speaker_ref, '^#', '') AS id, trim(regexp_replace(split_part(label, ':', 1), '\\s+', ' ', 'g')) AS name,
+  nullif(regexp_extract(label, '\\(([^()]+)\\)\\s*:?\\s*$', 1), '') AS organization FROM S""")
+def list_person(spark, sf_dir):
+    mapping = table(spark, sf_dir, "speaker_mapping").select("doc_id", "speaker_ref", "label").distinct()
+    return speakers.list_person(mapping, ["doc_id"], "speaker_ref", "label").select("doc_id", "id", "name", "organization")
+
+
+@query("""WITH B AS (SELECT DISTINCT * FROM person_binding WHERE p IS NOT NULL) SELECT p, arg_max(p_label, (length(p_label), p_label)) AS name, min(CASE WHEN lower(sex_label) IN ('moški', 'male', 'muški') THEN 'M' WHEN lower(sex_label) IN ('ženski', 'female', 'ženska') THEN 'F' ELSE 'U' END) AS sex,
+  array_to_string(list_sort(list(DISTINCT split_part(birth, 'T', 1)) FILTER (birth IS NOT NULL)), '|') AS births, array_to_string(list_sort(list(DISTINCT occ_label) FILTER (occ_label IS NOT NULL)), '|') AS occupations, count(*) AS n FROM B GROUP BY p""")
+def person_records(spark, sf_dir):
+    df = speakers.person_records(table(spark, sf_dir, "person_binding").distinct())
+    text = lambda c: F.when(F.size(c) > 0, F.array_join(c, "|"))
+    return df.select("p", "name", "sex", text("births").alias("births"), text("occupations").alias("occupations"), "n")
+
+
+@query(f"""WITH {SPOKEN}, M AS (SELECT doc_id, line_idx, CASE WHEN {RULE} = 'SPEAKER' THEN split_part(text, ':', 1) END AS s FROM T)
+  SELECT doc_id, line_idx, nullif(count(s) OVER w, 0) AS utterance, last_value(s IGNORE NULLS) OVER w AS who FROM M WINDOW w AS (PARTITION BY doc_id ORDER BY line_idx)""")
+def utterances(spark, sf_dir):
+    rule = line_rules().first_match(F.col("text"))
+    df = speakers.utterances(transcript(spark, sf_dir), "doc_id", ["line_idx"], F.when(rule == "SPEAKER", F.substring_index("text", ":", 1)))
+    return df.select("doc_id", "line_idx", "utterance", "who")
+
+
+# --- corpora ----------------------------------------------------------------------------------
+
+
+def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "documents").select("doc_id", "job_source", "n_chars", F.regexp_count("text", F.lit(r"\S+")).cast("long").alias("words"))
+    return df.where("job_source is not null")
+
+
+_FOLDERS = "X AS (SELECT job_source, n_chars, len(regexp_extract_all(text, '\\S+')) AS w, regexp_extract(job_source, '^(.*)/[^/]*$', 1) AS own FROM documents WHERE job_source IS NOT NULL)"
+
+
+@query(f"""WITH {_FOLDERS}, Y AS (SELECT *, list_filter(string_split(own, '/'), lambda p: p <> '') AS parts FROM X), Z AS (SELECT *, unnest(generate_series(0, len(parts))) AS i FROM Y)
+  SELECT CASE WHEN i = 0 THEN '' ELSE array_to_string(parts[1:i], '/') END AS folder, CAST(i AS INTEGER) AS depth, count(*) AS texts, CAST(sum(n_chars) AS BIGINT) AS n_chars, CAST(sum(w) AS BIGINT) AS words FROM Z GROUP BY ALL""")
+def subtree_rollup(spark, sf_dir):
+    return corpus.rollup(sized(spark, sf_dir), "job_source", ["n_chars", "words"])
+
+
+@query(f"""WITH {_FOLDERS}, Y AS (SELECT DISTINCT list_filter(string_split(own, '/'), lambda p: p <> '') AS parts FROM X), Z AS (SELECT DISTINCT array_to_string(parts[1:i], '/') AS folder, i AS depth FROM (SELECT parts, unnest(generate_series(1, len(parts))) AS i FROM Y)),
+  P AS (SELECT folder, depth, regexp_extract(folder, '^(.*)/[^/]*$', 1) AS parent FROM Z) SELECT a.folder, a.parent, CAST(a.depth AS INTEGER) AS depth, count(b.folder) AS n_children FROM P a LEFT JOIN P b ON b.parent = a.folder GROUP BY ALL""")
+def folder_tree(spark, sf_dir):
+    return corpus.folder_tree(table(spark, sf_dir, "documents").where("job_source is not null"), "job_source")
+
+
+@query("""SELECT n.n_name AS nation, r.r_name AS region, count(*) AS texts, CAST(sum(o.o_totalprice * 100) AS BIGINT) AS cents FROM orders o JOIN customer c ON o_custkey = c_custkey JOIN nation n ON c_nationkey = n_nationkey JOIN region r ON n_regionkey = r_regionkey GROUP BY ALL""")
+def region_rollup(spark, sf_dir):
+    """Totals of orders by nation and region; the small tables are broadcast
+    by their size, orders are summed by customer before the join."""
+    sums = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("texts"), F.sum(F.col("o_totalprice") * 100).alias("cents"))
+    df = sums.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    df = df.groupBy("c_nationkey").agg(F.sum("texts").alias("texts"), F.sum("cents").alias("cents"))
+    df = df.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return df.select(F.col("n_name").alias("nation"), F.col("r_name").alias("region"), "texts", F.round("cents").cast("long").alias("cents"))
+
+
+@query(f"""WITH {JOBS}, C AS (SELECT *, CASE status WHEN 'success' THEN 'ok' ELSE status END AS s FROM B) SELECT job_group, count(*) FILTER (s = 'ok') AS ok, count(*) FILTER (s = 'recovered') AS recovered, count(*) FILTER (s = 'failed') AS failed,
+  count(*) FILTER (s = 'skipped') AS skipped, count(*) AS total FROM C GROUP BY job_group""")
+def manifest_counts(spark, sf_dir):
+    df = jobs(spark, sf_dir).where("job_source is not null").withColumn("status", F.when(F.col("status") == "success", "ok").otherwise(F.col("status")))
+    return corpus.manifest(df, ["job_group"])
+
+
+@query(f"""WITH {JOBS}, W AS (SELECT job_source, fingerprint FROM B WHERE status = 'success') SELECT DISTINCT d.job_source FROM documents d WHERE d.job_source IS NOT NULL AND NOT EXISTS (SELECT 1 FROM W WHERE W.job_source = d.job_source)""")
+def incremental_skip(spark, sf_dir):
+    done = jobs(spark, sf_dir).select("job_source", F.lit("x").alias("fingerprint"), "status")
+    wanted = table(spark, sf_dir, "documents").select("job_source", F.lit("x").alias("fingerprint")).where("job_source is not null").distinct()
+    return corpus.pending(wanted, done, "job_source", ("success",)).select("job_source")
+
+
+@query(f"""WITH {JOBS} SELECT job_source FROM B WHERE job_source NOT IN (SELECT job_source FROM documents WHERE job_source IS NOT NULL) AND status IS DISTINCT FROM 'failed'""")
+def stale_outputs(spark, sf_dir):
+    every = jobs(spark, sf_dir).where("job_source is not null")
+    wanted = table(spark, sf_dir, "documents").select("job_source").where("job_source is not null").distinct()
+    return corpus.stale(every.select("job_source"), wanted, every.where("status = 'failed'"), "job_source")
+
+
+@query(f"""WITH {JOBS} SELECT job_source, status, fingerprint FROM B""")
+def dedup_first_wins(spark, sf_dir):
+    return jobs(spark, sf_dir).where("job_source is not null").select("job_source", "status", "fingerprint")
+
+
+@query("""SELECT source, lang, CAST(row_number() OVER (PARTITION BY source ORDER BY f, lang) AS INTEGER) AS ord FROM (SELECT source, lang, min(doc_id) AS f FROM documents WHERE lang IS NOT NULL GROUP BY ALL)""")
+def ordered_unique(spark, sf_dir):
+    return corpus.ordered_unique(table(spark, sf_dir, "documents").select("source", "lang", "doc_id"), ["source"], "lang", "doc_id")
+
+
+@query(f"""WITH {JOBS} SELECT job_group, count(*) AS n, string_agg('<xi:include href="' || job_source || '"/>', chr(10) ORDER BY job_source) AS body FROM B GROUP BY job_group""")
+def xinclude_list(spark, sf_dir):
+    return corpus.includes(jobs(spark, sf_dir).where("job_source is not null"), "job_group", "job_source", F.col("job_source"))
+
+
+@query(f"""WITH {JOBS}, M AS (SELECT job_source, list_filter(group_labels, lambda x: regexp_matches(lower(x), 'sklic|mandat|zasedanj|sej|sednic|sjednic|session')) AS f FROM B), N AS (SELECT job_source, f[len(f)] AS label FROM M) SELECT job_source, label, nullif(regexp_extract(label, '^\\s*([0-9]+)', 1), '') AS number FROM N""")
+def meeting_labels(spark, sf_dir):
+    df = jobs(spark, sf_dir).where("job_source is not null").select("job_source", corpus.meeting_label(F.col("group_labels")).alias("label"))
+    return df.withColumn("number", corpus.meeting_number(F.col("label")))
+
+
+# --- events -------------------------------------------------------------------------------------
+
+
+@query("""SELECT event_type, date_trunc('hour', ts) AS start, count(*) AS n FROM events GROUP BY ALL""")
+def event_windows(spark, sf_dir):
+    return windowed_counts(table(spark, sf_dir, "events"), "ts", ["event_type"])
+
+
+@query("""WITH G AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 30 MINUTE, false) AS g FROM events), S AS (SELECT *, sum(CAST(g AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM G)
+  SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM S GROUP BY user_id, s""")
+def event_sessions(spark, sf_dir):
+    return sessions(table(spark, sf_dir, "events"), "ts", "user_id")
