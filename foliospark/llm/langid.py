@@ -28,6 +28,9 @@ MAX_CHARS_PER_LANGUAGE = 200_000
 #: this share fewer phrases, and at least this many fewer.
 MIN_GAIN, MIN_PHRASES = 0.12, 2.5
 
+#: Letters that are parsed without a cut.
+PIECE = 1024
+
 # The letters told apart; all else parts words.
 LETTERS = " abcdefghijklmnopqrstuvwxyzčšžćđäöüßáéíóúőűàèìòù"
 
@@ -127,6 +130,7 @@ class CrossParser:
             go = np.where(t >= 0, t, 0)
             restart = np.maximum(t[0], 0)  # a new phrase begins with the character that ended the last
             step = np.where(t >= 0, go * 2, restart[None, :] * 2 + 1)
+            step[0] = restart * 2 + 1  # from the root every letter begins a phrase, known or not
             tables.append(step.astype(np.int32))
         self.tables = [t.ravel() for t in tables]
 
@@ -138,6 +142,12 @@ class CrossParser:
         if not texts:
             return out
         ids, starts, sizes = _ids(texts)
+        # a long text is cut into pieces that step side by side; a cut adds at most one phrase
+        pieces = np.maximum(-(-sizes // PIECE), 1)
+        whole = np.repeat(np.arange(len(texts)), pieces)
+        nth = np.arange(len(whole)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts, sizes = starts[whole] + nth * PIECE, np.minimum(sizes[whole] - nth * PIECE, PIECE)
+        part = np.zeros((len(whole), k), np.int32)
         order = np.argsort(-sizes, kind="stable")
         for at in range(0, len(order), lanes):
             rows = order[at : at + lanes]
@@ -153,7 +163,7 @@ class CrossParser:
             live = np.searchsorted(-size, -np.arange(int(size[0])), side="left").tolist()
             for lang, table in enumerate(self.tables):
                 state = np.zeros(len(rows), np.int32)
-                count = np.ones(len(rows), np.int32)
+                count = np.zeros(len(rows), np.int32)
                 v = np.zeros(len(rows), np.int32)
                 for t, n in enumerate(live):
                     s, w = state[:n], v[:n]
@@ -163,7 +173,8 @@ class CrossParser:
                     count[:n] += s
                     w >>= 1
                     np.multiply(w, a, out=s)
-                out[rows, lang] = count
+                part[rows, lang] = count
+        np.add.at(out, whole, part)
         return out
 
 

@@ -33,10 +33,11 @@ _WORD = r"^[\p{P}\p{S}&&[^@■§£*^~|\\\-]]+|[\p{P}\p{S}&&[^@■§£*^~|\\!]]+$
 
 
 def deduplicated(lines: DataFrame) -> DataFrame:
-    """One row per (doc_id, page_num, line_idx): of repeated rows the earliest
-    extracted. Rows without a document are dropped."""
+    """One row per (doc_id, page_num, line_idx) with text, x, y, font_size and
+    page_height: of repeated rows the earliest extracted. Rows without a
+    document are dropped; other columns are left behind."""
     key = ["doc_id", "page_num", "line_idx"]
-    kept = [c for c in lines.columns if c not in (*key, "extracted_at", "runs")]
+    kept = ["text", "x", "y", "font_size", "page_height"]
     first = F.min_by(F.struct(*kept), F.struct(F.coalesce("extracted_at", F.lit("9999-12-31").cast("timestamp_ntz")), F.coalesce("text", F.lit(""))))
     return lines.where("doc_id is not null").groupBy(*key).agg(first.alias("r")).select(*key, "r.*")
 
@@ -176,7 +177,7 @@ def misread_form(word: Column) -> Column:
 
 def torn(text: Column) -> Column:
     """Whether letters of a word stand apart."""
-    return text.rlike(r"(^|\s)(\p{L}\s){3,}\p{L}(?!\p{L})")
+    return text.rlike(r"(^|\s)(\p{L}\s){3}\p{L}(?!\p{L})")
 
 
 def broken(df: DataFrame, words: DataFrame) -> DataFrame:

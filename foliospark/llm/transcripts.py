@@ -36,7 +36,7 @@ CHAIR = frozenset("predsednik predsednica predsedujoci predsjednik predsjednica
 FILLERS = ("kaj pa vem", "no ja", "mhm", "hmm", "hm", "eee", "aaa", "em", "ovaj", "ähm", "äh", "uhm", "uh", "öö", "ööö")
 
 TIME = r"(?:[\[<(]\s*)?\d{1,2}[:.]\d{2}(?:[:.]\d{2})?(?:[,.]\d{1,3})?(?:\s*[\]>)])?"
-_LEAD = rf"^\s*(?:{TIME}\s*)*(?:[\[<(]?\s*\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s*-->\s*\S+\s*)?(?:>>\s*)?"
+_LEAD = rf"^\s*(?:{TIME}\s*){{0,4}}(?:[\[<(]?\s*\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s*-->\s*\S+\s*)?(?:>>\s*)?"
 LABEL = _LEAD + r"(?:<v\s+([^<>]{1,80})>|(?=\p{Lu})(?:([^:<>\[\]{}]{1,80}):(?=\s|$)|(\p{Lu}[^\p{Ll}:<>\[\]{}]{1,60}?)\s[–—-](?=\s|$)))\s*"
 _NOTE = r"\[[^\[\]]*\]|\{[^{}]*\}|<[^<>]*>|(?<!\S)\*[^*]+\*|(?<!\S)/[^/]+/|\((?!\s*(?:\p{L}{1,4}\.|\d))[^()]*\)"
 _FILLER = r"(?iu)(?<![\p{L}\d])(?:" + "|".join(FILLERS) + r")(?![\p{L}\d])(?:\s*(?:…|\.{3})|,)?"
@@ -54,8 +54,11 @@ def speech(text: Column) -> Column:
     text = F.regexp_replace(text, _NOTE, " ")
     text = F.regexp_replace(text, rf"^\s*(?:{TIME}\s+|{TIME}$)", " ")
     text = F.regexp_replace(text, _FILLER, " ")
-    text = F.regexp_replace(text, r"(?iu)(?<![\p{L}\d])(\p{L}+[.,]?)(\s+\1)+(?![\p{L}\d])", "$1")
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    words = F.split(F.trim(text), r"\s+")
+    pairs = F.arrays_zip(words.alias("w"), F.concat(F.array(F.lit("")), words).alias("before"))
+    again = lambda p: (F.lower(p["w"]) == F.lower(p["before"])) & p["w"].rlike(r"\p{L}")
+    kept = F.filter(pairs, lambda p: F.coalesce(~again(p), F.lit(False)))
+    return F.array_join(F.transform(kept, lambda p: p["w"]), " ")
 
 
 def _names(label: str) -> tuple[list[str], list[str]]:
