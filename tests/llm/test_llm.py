@@ -313,7 +313,7 @@ def test_similar_equals_brute_force(spark):
 
 def speakers(spark):
     data = [
-        (1, "Ana Keliranelj", "GBM", None), (2, "KELIRANELJ, ANA", "Gibanje Beli most (GBM)", None), (3, "Anica Kelirnaelj", None, None), (4, "Ana Keliranelj", "KS Zaplana", None),
+        (1, "Ana Keliranelj", "GBM", datetime(1960, 1, 1).date()), (2, "KELIRANELJ, ANA", "Gibanje Beli most (GBM)", None), (3, "Anica Kelirnaelj", None, None), (4, "Ana Keliranelj", "KS Zaplana", None),
         (5, None, None, None), (6, "", "GBM", None), (7, "Ana Keliranelj", "GBM", datetime(1850, 1, 1).date()), (1, "Ana Keliranelj", "GBM", None), (8, "x" * 20_000, "y" * 20_000, None),
     ]
     return with_clashes(spark.createDataFrame(data, "speaker_id long, lookup_name string, organization string, session_date date"))
