@@ -92,3 +92,23 @@ def meeting_label(labels: Column) -> Column:
 
 def meeting_number(label: Column) -> Column:
     return F.nullif(F.regexp_extract(label, r"^\s*(\d+)", 1), F.lit(""))
+
+
+def extent_header(totals: DataFrame, key: str, measures: dict[str, str], always: tuple[str, ...] = ("texts",)) -> DataFrame:
+    """key, header: the extent of a corpus file, one measure for each column
+    (unit by column); measures of nothing are left out unless always given."""
+    parts = []
+    for column, unit in measures.items():
+        value = F.coalesce(F.col(column), F.lit(0))
+        part = F.concat(F.lit(f'<measure unit="{unit}" quantity="'), value.cast("string"), F.lit('"/>'))
+        parts.append(part if column in always else F.when(value != 0, part))
+    body = F.array_join(F.array_compact(F.array(*parts)), "")
+    return totals.select(key, F.concat(F.lit("<extent>"), body, F.lit("</extent>")).alias("header"))
+
+
+def localized(df: DataFrame, key: str, tag: str, texts: Column) -> DataFrame:
+    """key, xml: one element for each language of a map of texts, ordered."""
+    pairs = F.array_sort(F.map_entries(texts))
+    escaped = lambda t: F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    one = lambda p: F.concat(F.lit(f'<{tag} xml:lang="'), p["key"], F.lit('">'), escaped(p["value"]), F.lit(f"</{tag}>"))
+    return df.select(key, F.coalesce(F.array_join(F.transform(pairs, one), ""), F.lit("")).alias("xml"))

@@ -196,3 +196,31 @@ def peer_semi_join(df: DataFrame, by: list[str], id: str, key: Column, x: str, s
     df = df.withColumn("__key", key)
     near = F.least(F.col(x) - F.lag(x).over(w), F.lead(x).over(w) - F.col(x)) <= slack
     return df.withColumn("__near", F.coalesce(near, F.lit(False))).where("__near and __key is not null").drop("__key", "__near")
+
+
+def word_lines(words: DataFrame, by: list[str], order: str, top: str, size: str, tolerance: float = 3.2, least: float = 9.0) -> DataFrame:
+    """by..., order, line: words in reading order gathered into lines. A word
+    further than the tolerance from the line's anchor begins a line; the
+    anchor is the top of the line's first word and moves with words of at
+    least the given size. A fold over the words of a page."""
+    kind = dict(words.dtypes)[order]
+    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(top).cast("double").alias("t"), F.col(size).cast("double").alias("s"))))
+    start = F.expr(f"named_struct('anchor', cast(null as double), 'line', -1, 'rows', cast(array() as array<struct<o:{kind},line:int>>))")
+
+    def step(a: Column, w: Column) -> Column:
+        new = a["anchor"].isNull() | (F.abs(w["t"] - a["anchor"]) > tolerance)
+        line = F.when(new, a["line"] + 1).otherwise(a["line"])
+        anchor = F.when(new | (w["s"] >= least), w["t"]).otherwise(a["anchor"])
+        return F.struct(anchor.alias("anchor"), line.alias("line"), F.concat(a["rows"], F.array(F.struct(w["o"].alias("o"), line.alias("line")))).alias("rows"))
+
+    folded = words.where(F.col(top).isNotNull()).groupBy(*by).agg(listed.alias("__w"))
+    return folded.select(*by, F.explode(F.aggregate("__w", start, step)["rows"]).alias("r")).select(*by, F.col("r.o").alias(order), F.col("r.line").alias("line"))
+
+
+def numeric_groups(runs: DataFrame, by: list[str], order: str, text: str, small: Column) -> DataFrame:
+    """by..., order (of the first run), number: neighbouring runs of small
+    figures read as one number, as where a mark is split into its digits."""
+    df = islands(runs.withColumn("__digit", F.coalesce(small & F.trim(F.col(text)).rlike(r"^\d+$"), F.lit(False))), by, [order], ["__digit"])
+    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.trim(F.col(text)).alias("t"))))
+    groups = df.where("__digit").groupBy(*by, "island").agg(F.min(order).alias(order), F.array_join(F.transform(listed, lambda r: r["t"]), "").alias("number"))
+    return groups.drop("island")

@@ -278,6 +278,20 @@ def peer_semi_join(spark, sf_dir):
     return df.select("doc_id", "page_num", "line_idx")
 
 
+@query()
+def word_lines(spark, sf_dir):
+    """Runs of characters gathered into lines by a moving anchor."""
+    return layout.word_lines(character_runs(spark, sf_dir), ["doc_id", "page_num"], "run_id", "y0", "font_size")
+
+
+@query(f"""WITH {LINES}, U AS (SELECT doc_id, page_num, line_idx, unnest(runs) AS r, generate_subscripts(runs, 1) - 1 AS i FROM L), D AS (SELECT *, coalesce(regexp_matches(trim(r.text), '^[0-9]+$'), false) AS d FROM U),
+  C AS (SELECT *, d IS DISTINCT FROM lag(d) OVER w AND row_number() OVER w > 1 AS c FROM D WINDOW w AS (PARTITION BY doc_id, page_num, line_idx ORDER BY i)), S AS (SELECT *, sum(CAST(c AS INTEGER)) OVER (PARTITION BY doc_id, page_num, line_idx ORDER BY i) AS g FROM C)
+  SELECT doc_id, page_num, line_idx, CAST(min(i) AS INTEGER) AS i, string_agg(trim(r.text), '' ORDER BY i) AS number FROM S WHERE d GROUP BY doc_id, page_num, line_idx, g""")
+def numeric_groups(spark, sf_dir):
+    runs = lines(spark, sf_dir, "runs").select("doc_id", "page_num", "line_idx", F.posexplode("runs").alias("i", "r")).select("doc_id", "page_num", "line_idx", "i", "r.text")
+    return layout.numeric_groups(runs, ["doc_id", "page_num", "line_idx"], "i", "text", F.lit(True))
+
+
 # --- pages and profiles -----------------------------------------------------------------
 
 
@@ -596,6 +610,12 @@ def subtree_rollup(spark, sf_dir):
     return corpus.rollup(sized(spark, sf_dir), "job_source", ["n_chars", "words"])
 
 
+@query(f"""WITH {_FOLDERS} SELECT own AS folder, '<extent><measure unit="texts" quantity="' || count(*) || '"/>' || CASE WHEN sum(w) > 0 THEN '<measure unit="words" quantity="' || CAST(sum(w) AS BIGINT) || '"/>' ELSE '' END || '</extent>' AS header FROM X GROUP BY own""")
+def corpus_headers(spark, sf_dir):
+    totals = sized(spark, sf_dir).groupBy(corpus.folder_of(F.col("job_source")).alias("folder")).agg(F.count("*").alias("texts"), F.sum("words").alias("words"))
+    return corpus.extent_header(totals, "folder", {"texts": "texts", "words": "words"})
+
+
 @query(f"""WITH {_FOLDERS}, Y AS (SELECT DISTINCT list_filter(string_split(own, '/'), lambda p: p <> '') AS parts FROM X), Z AS (SELECT DISTINCT array_to_string(parts[1:i], '/') AS folder, i AS depth FROM (SELECT parts, unnest(generate_series(1, len(parts))) AS i FROM Y)),
   P AS (SELECT folder, depth, regexp_extract(folder, '^(.*)/[^/]*$', 1) AS parent FROM Z) SELECT a.folder, a.parent, CAST(a.depth AS INTEGER) AS depth, count(b.folder) AS n_children FROM P a LEFT JOIN P b ON b.parent = a.folder GROUP BY ALL""")
 def folder_tree(spark, sf_dir):

@@ -38,3 +38,20 @@ def write_files(df: DataFrame, name: str, text: str, folder: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["name", "bytes"])
 
     return df.select(name, text).mapInPandas(write, "name string, bytes long")
+
+
+def package(root: str, out: str, suffixes: tuple[str, ...] = (".xml",), audit: str | None = None) -> int:
+    """A ZIP of the files below a finished corpus, in order, each once;
+    members are streamed from disk. Returns how many."""
+    import zipfile
+
+    top, n = os.path.realpath(root), 0
+    with zipfile.ZipFile(out + ".part", "w", zipfile.ZIP_DEFLATED) as z:
+        for base, keep in ((top, suffixes), (audit and os.path.realpath(audit), None)):
+            found = sorted(os.path.join(d, f) for d, _, names in os.walk(base or "") for f in names)
+            for path in found:
+                if os.path.realpath(path) == path and (keep is None or path.endswith(keep)):
+                    z.write(path, os.path.relpath(path, top if keep else os.path.dirname(base)))
+                    n += 1
+    os.replace(out + ".part", out)
+    return n

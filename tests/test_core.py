@@ -250,3 +250,30 @@ def test_streams(spark, tmp_path):
     events = spark.createDataFrame([("2024-01-01 00:00:00", 1), ("2024-01-01 00:20:00", 1), ("2024-01-01 02:00:00", 1)], "at string, u int").withColumn("at", F.to_timestamp("at"))
     assert values(sessions(events, "at", "u"), "n") == [(1,), (2,)]
     assert values(windowed_counts(events, "at", ["u"]), "n") == [(1,), (2,)]
+
+
+def test_word_lines_equal_a_loop(spark):
+    random.seed(8)
+    words = [("p", i, random.choice([0.0, 2.0, 4.0, 12.0, 14.0]), random.choice([7.0, 10.0])) for i in range(40)]
+    df = spark.createDataFrame([*words, ("p", 99, None, 1.0)], "page string, i int, top double, size double")
+    got = dict(values(layout.word_lines(df, ["page"], "i", "top", "size"), "i", "line"))
+    anchor, line = None, -1
+    for _, i, top, size in words:
+        if anchor is None or abs(top - anchor) > 3.2:
+            anchor, line = top, line + 1
+        elif size >= 9:
+            anchor = top
+        assert got[i] == line
+    assert 99 not in got
+
+
+def test_headers_and_packages(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2, 0), ("b", None, 5)], "k string, texts int, words int")
+    assert values(corpus.extent_header(df, "k", {"texts": "texts", "words": "words"}), "header")[0] == ('<extent><measure unit="texts" quantity="0"/><measure unit="words" quantity="5"/></extent>',)
+    maps = spark.createDataFrame([("a", {"sl": "A&B", "en": "C"}), ("b", None)], "k string, m map<string,string>")
+    assert values(corpus.localized(maps, "k", "title", F.col("m")), "k", "xml") == [("a", '<title xml:lang="en">C</title><title xml:lang="sl">A&amp;B</title>'), ("b", "")]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/a.xml").write_text("<a/>")
+    (tmp_path / "c/b.json").write_text("{}")
+    assert writers.package(str(tmp_path / "c"), str(tmp_path / "c.zip")) == 1
+    assert zipfile.ZipFile(tmp_path / "c.zip").namelist() == ["a.xml"]
