@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .carry import carry_last
+
 BREAK = "absolute"
 
 
@@ -65,23 +67,24 @@ def joined_text(df: DataFrame, by: list[str], order: list[str], text: str, space
     return df.groupBy(*by).agg(F.array_join(F.transform(listed, lambda p: p["piece"]), "").alias("text"))
 
 
-def pending_space(df: DataFrame, by: list[str], order: list[str], broke: Column) -> DataFrame:
+def pending_space(df: DataFrame, doc: str, page: str, order: list[str], broke: Column) -> DataFrame:
     """Add `space_before` of a segment's first run: unless the segment before
-    it ended at a literal space; never for the first."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("__broke", broke).withColumn("space_before", F.coalesce(~F.lag("__broke").over(w), F.lit(False))).drop("__broke")
+    it ended at a literal space; never for a document's first."""
+    df = carry_last(df, doc, page, order, F.coalesce(broke, F.lit(False)), "__broke", before=True)
+    return df.withColumn("space_before", F.coalesce(~F.col("__broke"), F.lit(False))).drop("__broke")
 
 
-def dehyphenated(df: DataFrame, by: list[str], order: list[str], text: str, out_of_flow: Column) -> DataFrame:
+def dehyphenated(df: DataFrame, doc: str, page: str, order: list[str], text: str, out_of_flow: Column) -> DataFrame:
     """Add `text_joined` without a hyphen at the line's end, and
-    `space_before`: not after a line in the flow that ended in one. Lines out
-    of the flow neither lose a hyphen nor matter to what follows."""
+    `space_before`: not after a line in the flow that ended in one, nor for a
+    document's first line. Lines out of the flow neither lose a hyphen nor
+    matter to what follows. Filled forward by pages, not by documents."""
     ends = F.coalesce(F.rtrim(F.col(text)).rlike("[-‐‑]$"), F.lit(False)) & ~out_of_flow
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn("__hyphen", F.when(~out_of_flow, ends))
-    last = F.last("__hyphen", True).over(w)
-    df = df.withColumn("space_before", F.when(F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1, False).otherwise(~F.coalesce(last, F.lit(False))))
-    return df.withColumn("text_joined", F.when(ends, F.regexp_replace(F.rtrim(F.col(text)), "[-‐‑]$", "")).otherwise(F.col(text))).drop("__hyphen")
+    firsts = df.groupBy(doc).agg(F.min(F.struct(page, *order)).alias("__first"))
+    df = carry_last(df.join(firsts, doc, "left"), doc, page, order, F.when(~out_of_flow, ends), "__hyphen", before=True)
+    first = F.struct(page, *order).eqNullSafe(F.col("__first"))
+    df = df.withColumn("space_before", F.when(first, False).otherwise(~F.coalesce("__hyphen", F.lit(False))))
+    return df.withColumn("text_joined", F.when(ends, F.regexp_replace(F.rtrim(F.col(text)), "[-‐‑]$", "")).otherwise(F.col(text))).drop("__hyphen", "__first")
 
 
 def column_edges(df: DataFrame, by: list[str], x: str, gap: Column, support: float = 3.0, least: int = 3, part: int = 20) -> DataFrame:

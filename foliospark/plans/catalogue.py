@@ -146,7 +146,7 @@ def rule_first_match(spark, sf_dir):
   SELECT doc_id, line_idx, rule, last_value(CASE WHEN rule = 'SPEAKER' THEN line_idx END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_idx) AS opened FROM M""")
 def rule_fallback(spark, sf_dir):
     df = transcript(spark, sf_dir).withColumn("rule", line_rules().first_match(F.col("text")))
-    df = rules.carried(df, ["doc_id"], ["line_idx"], F.when(F.col("rule") == "SPEAKER", F.col("line_idx")), "opened")
+    df = rules.carried(df.withColumn("block", F.floor(F.col("line_idx") / 64)), "doc_id", "block", ["line_idx"], F.when(F.col("rule") == "SPEAKER", F.col("line_idx")), "opened")
     return df.select("doc_id", "line_idx", "rule", "opened")
 
 
@@ -214,7 +214,7 @@ def gap_spacing(spark, sf_dir):
 
 @query(f"""WITH {LINES} SELECT doc_id, page_num, line_idx, coalesce(NOT lag(ends_with(text, ' ')) OVER (PARTITION BY doc_id ORDER BY page_num, line_idx), false) AS space_before FROM L""")
 def pending_space(spark, sf_dir):
-    df = layout.pending_space(lines(spark, sf_dir), ["doc_id"], ["page_num", "line_idx"], F.col("text").endswith(" "))
+    df = layout.pending_space(lines(spark, sf_dir), "doc_id", "page_num", ["line_idx"], F.col("text").endswith(" "))
     return df.select("doc_id", "page_num", "line_idx", "space_before")
 
 
@@ -224,7 +224,7 @@ def pending_space(spark, sf_dir):
   FROM O WINDOW w AS (PARTITION BY doc_id ORDER BY page_num, line_idx)""")
 def dehyphenate(spark, sf_dir):
     out = (F.col("y") < 50) | (F.col("page_height") - F.col("y") < 45)
-    df = layout.dehyphenated(lines(spark, sf_dir, "y", "page_height"), ["doc_id"], ["page_num", "line_idx"], "text", out)
+    df = layout.dehyphenated(lines(spark, sf_dir, "y", "page_height"), "doc_id", "page_num", ["line_idx"], "text", out)
     return df.select("doc_id", "page_num", "line_idx", "text_joined", "space_before")
 
 

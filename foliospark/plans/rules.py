@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.carry import carry_last
+
 FALLBACK = "_else"
 
 
@@ -71,10 +73,10 @@ def rule_counts(df: DataFrame, by: list[str], rule: str) -> DataFrame:
     return df.groupBy(*by, F.coalesce(rule, F.lit("UNMATCHED")).alias("rule")).agg(F.count("*").alias("n"))
 
 
-def carried(df: DataFrame, by: list[str], order: list[str], opened: Column, name: str = "open_rule") -> DataFrame:
-    """Add what is open at each row: the last thing opened, at or before it."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("__o", opened).withColumn(name, F.last("__o", True).over(w)).drop("__o")
+def carried(df: DataFrame, doc: str, block: str, order: list[str], opened: Column, name: str = "open_rule") -> DataFrame:
+    """Add what is open at each row: the last thing opened, at or before it.
+    Filled forward by blocks of rows (pages, say), not by documents."""
+    return carry_last(df, doc, block, order, opened, name)
 
 
 def samples(df: DataFrame, by: list[str], order: list[str], limit: int = 25) -> DataFrame:

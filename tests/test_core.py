@@ -120,7 +120,7 @@ def test_merged_runs(spark):
 
 def test_dehyphenated(spark):
     rows = [("d", 0, "be-", False), ("d", 1, "12", True), ("d", 2, "seda", False), ("d", 3, None, False)]
-    df = layout.dehyphenated(spark.createDataFrame(rows, "doc string, i int, t string, out boolean"), ["doc"], ["i"], "t", F.col("out")).orderBy("i")
+    df = layout.dehyphenated(spark.createDataFrame(rows, "doc string, i int, t string, out boolean").withColumn("page", F.floor(F.col("i") / 2)), "doc", "page", ["i"], "t", F.col("out")).orderBy("i")
     assert [(r.text_joined, r.space_before) for r in df.collect()] == [("be", False), ("12", False), ("seda", False), (None, True)]
 
 
