@@ -340,12 +340,21 @@ def linked(rows: DataFrame, id: str) -> DataFrame:
     forms = rows.where("last <> ''").groupBy("first", "last", "org").agg(F.count("*").alias("n"))
     forms = forms.withColumn("id", F.xxhash64("first", "last", "org"))
     w = weights(forms, "last")
-    homeless = forms.where("org = ''").select("id", F.concat_ws("|", F.lit("f"), "first").alias("block"), F.col("last").alias("text"))
-    homes = forms.where("org <> ''").select("id", F.concat_ws("|", F.lit("f"), "first").alias("block"), F.col("last").alias("text"))
-    found = similar(homeless, homes, w, NAME).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home")), "b")
-    found = found.groupBy("a", "home").agg(F.max("cosine").alias("c"))
-    nearest = found.groupBy("a").agg(F.max("c").alias("most"))
-    found = found.join(nearest, "a").where("c >= most - 0.02")
+    # forenames alike, an initial and a full one too, meet in a block; two full ones only if they are equal
+    full, initial = F.concat("first", F.lit("|f")), F.concat(F.left("first", F.lit(1)), F.lit("|i"))
+    short_only = F.concat(F.left("first", F.lit(1)), F.lit("|s"))
+    is_initial = F.length("first") == 1
+    meets = F.when(is_initial, F.array(initial)).otherwise(F.array(full, short_only))
+    met = F.when(is_initial, F.array(initial, short_only)).otherwise(F.array(full, initial))
+    homeless = forms.where("org = ''").select("id", F.explode(meets).alias("block"), F.col("last").alias("text"))
+    homes = forms.where("org <> ''").select("id", F.explode(met).alias("block"), F.col("last").alias("text"))
+    found = similar(homeless, homes, w, NAME).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home"), F.col("first").alias("fb")), "b")
+    found = found.join(forms.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a")
+    # a full forename's own bodies come before those of an initial
+    found = found.withColumn("own", (F.col("fa") == F.col("fb")) & (F.length("fa") > 1)).groupBy("a", "home").agg(F.max(F.struct("own", "cosine")).alias("m"))
+    found = found.select("a", "home", "m.own", F.col("m.cosine").alias("c"))
+    nearest = found.groupBy("a").agg(F.max(F.struct("own", "c")).alias("most"))
+    found = found.join(nearest, "a").where((F.col("own") == F.col("most.own")) & (F.col("c") >= F.col("most.c") - 0.02))
     only = found.groupBy("a").agg(F.min("home").alias("home"), F.max("home").alias("other")).where("home = other")
     forms = forms.join(only.select(F.col("a").alias("id"), "home"), "id", "left")
     forms = checkpointed(forms.withColumn("home", F.when(F.col("org") == "", F.coalesce("home", F.lit(""))).otherwise(F.col("org"))))

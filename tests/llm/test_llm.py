@@ -328,6 +328,25 @@ def test_persons(spark):
     assert names.persons(df.limit(0), "speaker_id", "lookup_name", "organization").count() == 0
 
 
+def test_initials_without_body(spark):
+    schema = "speaker_id long, lookup_name string, organization string, session_date date"
+
+    def pairs(*data):
+        df = spark.createDataFrame([(*r, None) for r in data], schema)
+        return rows(names.same_person_pairs(names.persons(df, "speaker_id", "lookup_name", "organization"), "speaker_id"))
+
+    helena, herman = (1, "Helena Keliranelj", "KS Zaplana"), (2, "Herman Keliranelj", "KS Slivnica")
+    assert pairs(helena, (3, "H. Keliranelj", None), (4, "A. Keliranelj", None)) == [(1, 3)]
+    assert pairs((1, "H Keliranelj", "KS Zaplana"), (3, "Keliranelj, Helena", None)) == [(1, 3)]
+    # in two bodies: to none of them; a full forename comes before an initial
+    assert pairs(helena, herman, (3, "H. Keliranelj", None)) == []
+    assert pairs(helena, (2, "H. Keliranelj", "KS Slivnica"), (3, "Helena Keliranelj", None)) == [(1, 3)]
+    columns = "binding_id long, search_name string, p_label string, given_label string, family_label string, birth string, death string, party_label string"
+    register = spark.createDataFrame([(1, None, None, "Helena", "Keliranelj", None, None, "KS Zaplana")], columns)
+    df = spark.createDataFrame([(*r, None) for r in (helena, (3, "H. Keliranelj", None))], schema)
+    assert rows(matching.matches(df, register), "speaker_id", "binding_id") == [(1, 1), (3, 1)]
+
+
 def test_matches(spark):
     columns = "binding_id long, search_name string, p_label string, given_label string, family_label string, birth string, death string, party_label string"
     register = [
