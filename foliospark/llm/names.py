@@ -23,7 +23,9 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType
 from .common import checkpointed, fold, within
 
 # Titles before names.
-TITLES = frozenset("tov tovaris tovarisica dr mag inz ing prof gospod gospa g ga dipl".split())
+TITLES = frozenset("tov tovaris tovarisica dr mag inz ing prof gospod gospa ga dipl".split())
+#: Titles that may be an initial too.
+INITIAL_TITLES = frozenset("g".split())
 
 # Forenames and their familiar forms.
 FAMILIAR = """
@@ -71,16 +73,29 @@ def _close(a: str, b: str, most: int = 2) -> bool:
     return one[-1] <= most
 
 
+def _untitled(words: list[str]) -> list[str]:
+    """The words of a name, hyphens taken apart, without titles. What may be an
+    initial is a title only before another title or two more words of a name."""
+    out, named = [], 0
+    for i, w in reversed(list(enumerate(words))):
+        title = w in TITLES or w in INITIAL_TITLES and (named > 1 or words[i + 1 : i + 2] and words[i + 1] in TITLES)
+        if not title:
+            out.append(w)
+            named += w != "-"
+    return [x for w in reversed(out) for x in w.replace("-", " ").split() if x not in TITLES]
+
+
 @functools.lru_cache(200_000)
 def parse_name(text: str) -> tuple[str, str]:
     """(forename in its formal form or an initial, last names) of a typed name."""
     text = _SPACED.sub(lambda m: re.sub(r"\s+", "", m[1]), text)
     swapped = "," in text
-    parts = [re.sub(r"[^\w\s\-]", " ", fold(p)).replace("-", " ").split() for p in text.split(",")]
-    parts = [[w for w in p if w not in TITLES] for p in parts]
-    words = [w for p in (reversed(parts) if swapped else parts) for w in p]
+    parts = [re.sub(r"[^\w\s\-]", " ", fold(p)).split() for p in text.split(",")]
+    words = _untitled([w for p in (reversed(parts) if swapped else parts) for w in p])
     if not words:
         return "", ""
+    if not swapped and words[-1] in INITIAL_TITLES and len(words) > 1 and words[0] not in _KNOWN:
+        words = [words[-1], *words[:-1]]
     if not swapped and len(words) > 1 and words[0] not in _KNOWN and words[-1] in _KNOWN:
         words = [words[-1], *words[:-1]]
     elif not swapped and len(words) > 1 and words[0] not in _KNOWN and len(words[0]) > 1:

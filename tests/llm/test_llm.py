@@ -286,6 +286,24 @@ def test_parse_name(typed, parsed):
     assert names.parse_name(typed) == parsed
 
 
+@pytest.mark.parametrize(
+    ("typed", "parsed"),
+    [
+        ("G Keliranelj", ("g", "keliranelj")), ("G. Mešislanič-Stala", ("g", "mesislanic stala")), ("Keliranelj, G.", ("g", "keliranelj")), ("Keliranelj G.", ("g", "keliranelj")),
+        ("tov. G. Keliranelj", ("g", "keliranelj")), ("Gustav G. Keliranelj", ("gustav", "keliranelj")),
+        ("g. Ana Keliranelj", ("ana", "keliranelj")), ("g. dr. Keliranelj", ("", "keliranelj")), ("Keliranelj, g. Ana", ("ana", "keliranelj")),
+    ],
+)
+def test_g_is_title_or_initial(typed, parsed):
+    assert names.parse_name(typed) == parsed
+
+
+def test_initial_g_is_linked(spark):
+    data = [(1, "G Keliranelj", "KS Zaplana"), (2, "GUSTAV KELIRANELJ", "KS Zaplana"), (3, "g. Ana Keliranelj", "KS Zaplana")]
+    df = spark.createDataFrame(data, "speaker_id long, lookup_name string, organization string")
+    assert rows(names.same_person_pairs(names.persons(df, "speaker_id", "lookup_name", "organization"), "speaker_id")) == [(1, 2)]
+
+
 def test_body_key():
     short = {"gbm": "gibanje beli most"}
     for text in ("GBM", "G.B.M.", "Gibanje Beli most (GBM)", "Posl. skupina GBM", "Gib. Beli most", "Gibanje Bleli most"):
