@@ -201,6 +201,12 @@ def broken(df: DataFrame, words: DataFrame) -> DataFrame:
     return cut.where(~own).select("doc_id", "page_num", "line_idx", "joined", "a", "b")
 
 
+def cut_forms(cut: DataFrame, words: DataFrame) -> DataFrame:
+    """word, n: cut words that stand whole nowhere, as rare words."""
+    forms = cut.where("joined <> ''").groupBy(F.col("joined").alias("word")).agg(F.count("*").alias("n"))
+    return forms.join(words.select("word"), "word", "left_anti").select("word", F.least("n", F.lit(FREQUENT - 1)).alias("n"))
+
+
 def words_with_hyphens(text: DataFrame) -> DataFrame:
     """First halves of paired words (as in `pre- and post-`), which keep their
     hyphen when standing within a line; word, n."""
@@ -223,7 +229,8 @@ def analysed(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFra
     marked = checkpointed(marked)  # read many times below
     text = checkpointed(with_next(marked.where("kind = 'text'").select("doc_id", "page_num", "line_idx", "text", "starts")))
     words = checkpointed(vocabulary(text))
-    return marked, text, checkpointed(corrections(words)), checkpointed(broken(text, words))
+    cut = checkpointed(broken(text, words))
+    return marked, text, checkpointed(corrections(words.unionByName(cut_forms(cut, words)))), cut
 
 
 def defects(lines: DataFrame) -> DataFrame:

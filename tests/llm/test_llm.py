@@ -244,6 +244,12 @@ def test_defects(spark):
     assert "predlogu zakona in kulturno-prosvetni odbor zavrača predlog zakona odbor" in text and "SEJA" not in text
 
 
+def test_misread_word_cut_by_the_line(spark):
+    page = ["kamara obravnava odbor"] * 12 + ["tukaj govori ka-", "rnara in od-", "bor zavrača"]
+    got = {(r.line_idx, r.defect) for r in scans.defects(scan(spark, [page])).where("defect <> 'furniture'").collect()}
+    assert got == {(12, "hyphen"), (13, "hyphen"), (13, "glyph")}
+
+
 def test_corrections_equal_brute_force(spark):
     words = [("predlog", 100), ("pred1og", 2), ("odbor", 90), ("0db0r", 1), ("kamara", 80), ("karnara", 3), ("zakon", 50), ("drugo", 2), ("sol", 40), ("s0l", 30)]
     df = spark.createDataFrame(words, "word string, n long")
