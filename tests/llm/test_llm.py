@@ -157,6 +157,16 @@ def test_items_go_round_by_round(spark, monkeypatch):
     assert rows(leakage.leaks(spark.createDataFrame([(1, "a b " + text)], "doc_id long, text string"), items), "doc_id", "item_id") == [(1, 7)]
 
 
+def test_usual_phrases_do_not_depend_on_ids_or_rounds(spark, monkeypatch):
+    text, phrase = " ".join(f"w{i}" for i in range(40)), " ".join(f"u{i}" for i in range(30))
+    data = [(i, text) for i in range(5)] + [(i, f"{phrase} x{i} y{i} z{i}") for i in range(10, 15)]
+    items = spark.createDataFrame(data, "item_id long, text string")
+    df = spark.createDataFrame([(1, "a b " + text), (2, "a b " + phrase)], "doc_id long, text string")
+    for n in (100, 3):
+        monkeypatch.setattr(leakage, "ITEMS_PER_ROUND", n)
+        assert rows(leakage.leaks(df, items), "doc_id", "item_id") == [(1, i) for i in range(5)]
+
+
 # --- mixture -----------------------------------------------------------------------
 
 
