@@ -8,6 +8,8 @@ the one-to-one assignment with the highest total confidence is taken.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +39,7 @@ def ranked(df: DataFrame, key: Column) -> DataFrame:
     """Add `rank`, the place of each row by `key`, by sorting in ranges; only
     the number of rows of each range comes to the driver."""
     part = df.withColumn("__key", key)
-    part = part.repartitionByRange(df.sparkSession.sparkContext.defaultParallelism, "__key", "id").sortWithinPartitions("__key", "id")
+    part = part.repartitionByRange("__key", "id").sortWithinPartitions("__key", "id")
     part = part.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     part = checkpointed(part)
     sizes = {r["__part"]: r["n"] for r in part.groupBy("__part").agg(F.count("*").alias("n")).collect()}
@@ -91,42 +93,59 @@ def confidence() -> Column:
     return F.when((same_first > 0) & near & (body > 0) & (years > 0), value).otherwise(0.0)
 
 
-def assign(cost: np.ndarray) -> np.ndarray:
-    """Row to column (-1: none) with the highest total of a matrix of
-    non-negative values, by shortest augmenting paths."""
-    rows, cols = cost.shape
-    n = max(rows, cols)
-    c = np.zeros((n + 1, n + 1))
-    c[1 : rows + 1, 1 : cols + 1] = -cost
-    u, v, p, way = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1, int), np.zeros(n + 1, int)
-    for i in range(1, n + 1):
-        p[0], j0 = i, 0
-        least, used = np.full(n + 1, np.inf), np.zeros(n + 1, bool)
+def assign(left: np.ndarray, right: np.ndarray, value: np.ndarray) -> dict[int, int]:
+    """Left to right with the highest total of positive values of the given
+    pairs, by shortest augmenting paths over these pairs alone (a left one may
+    stay single at value 0)."""
+    edges: dict[int, dict[int, float]] = {}
+    for i, j, x in zip(left.tolist(), right.tolist(), value.tolist()):
+        if x > 0:
+            edges.setdefault(i, {})[j] = max(x, edges.get(i, {}).get(j, 0.0))
+    top = max((x for e in edges.values() for x in e.values()), default=0.0)
+    pi, pj, to, back = dict.fromkeys(edges, 0.0), {}, {}, {}
+    for start in edges:
+        # staying single is a right one of its own, at value 0
+        best, seen, came = {}, {}, {}
+        heap: list = [(0.0, 0, start)]
+        goal, end = None, np.inf
+        while heap:
+            d, side, n = heapq.heappop(heap)
+            if d >= end:
+                break
+            if side == 0:
+                if (single := d + top - pi[n]) < end:
+                    goal, end = ("single", n), single
+                for j, x in edges[n].items():
+                    nd = d + (top - x) - pi[n] - pj.get(j, 0.0)
+                    if j not in seen and nd < best.get(j, np.inf) - 1e-12:
+                        best[j], came[j] = nd, n
+                        heapq.heappush(heap, (nd, 1, j))
+            elif n not in seen:
+                seen[n] = d
+                if n not in back:
+                    goal, end = ("free", n), d
+                    break
+                heapq.heappush(heap, (d, 0, back[n]))
+        reached = {start: 0.0} | {back[j]: d for j, d in seen.items() if j in back}
+        for i, d in reached.items():
+            pi[i] += end - d if d < end else 0.0
+        for j, d in seen.items():
+            if d < end:
+                pj[j] = pj.get(j, 0.0) - (end - d)
+        kind, n = goal
+        i = came[n] if kind == "free" else n
+        j = n if kind == "free" else to.pop(i, None)
+        if kind == "single" and i == start:
+            continue
+        if kind == "single":
+            i, j = came[j], j
         while True:
-            used[j0] = True
-            i0 = p[j0]
-            now = c[i0] - u[i0] - v
-            better = ~used & (now < least)
-            better[0] = False
-            least[better], way[better] = now[better], j0
-            open_ = np.where(used, np.inf, least)
-            open_[0] = np.inf
-            j1 = int(open_.argmin())
-            d = open_[j1]
-            np.add.at(u, p[used], d)
-            v[used] -= d
-            least[~used] -= d
-            j0 = j1
-            if p[j0] == 0:
+            before = to.get(i)
+            to[i], back[j] = j, i
+            if i == start:
                 break
-        while j0:
-            p[j0] = p[way[j0]]
-            j0 = way[j0]
-    out = np.full(rows, -1)
-    for j in range(1, cols + 1):
-        if 0 < p[j] <= rows and cost[p[j] - 1, j - 1] > 0:
-            out[p[j] - 1] = j - 1
-    return out
+            i, j = came[before], before
+    return to
 
 
 def assigned(pairs: DataFrame) -> DataFrame:
@@ -136,12 +155,10 @@ def assigned(pairs: DataFrame) -> DataFrame:
     parts = pairs.join(names.components(edges).withColumnRenamed("id", "left"), "left")
 
     def best(part: pd.DataFrame) -> pd.DataFrame:
-        left, right = np.unique(part["left"]), np.unique(part["right"])
-        value = np.zeros((len(left), len(right)))
-        value[np.searchsorted(left, part["left"]), np.searchsorted(right, part["right"])] = part["confidence"]
-        to = assign(value)
-        has = to >= 0
-        return pd.DataFrame({"left": left[has], "right": right[to[has]], "confidence": value[np.flatnonzero(has), to[has]]})
+        part = part.sort_values(["left", "right"])
+        to = assign(part["left"].to_numpy(), part["right"].to_numpy(), part["confidence"].to_numpy())
+        kept = part[[to.get(i) == j for i, j in zip(part["left"], part["right"])]]
+        return kept[["left", "right", "confidence"]]
 
     return parts.groupBy("component").applyInPandas(best, "left long, right long, confidence double")
 
@@ -154,9 +171,6 @@ def matches(speakers: DataFrame, register: DataFrame) -> DataFrame:
     without a name match nothing; a missing body or date neither helps nor
     excludes; a speaker's row outside the life years isn't matched.
     """
-    # one set of acronyms for both sources
-    written = speakers.select(F.col("organization").alias("b")).unionByName(register.select(F.col("party_label").alias("b")))
-    short = names.acronyms(written, "b")
     given = F.concat_ws(" ", "given_label", "family_label")
     full = F.when(F.col("given_label").isNotNull() & F.col("family_label").isNotNull(), given).otherwise(F.coalesce("p_label", "search_name"))
     register = register.withColumn("name", full)
@@ -165,15 +179,12 @@ def matches(speakers: DataFrame, register: DataFrame) -> DataFrame:
     rows = rows.select(F.concat(F.lit("s"), F.col("speaker_id").cast("string")).alias("row"), F.col("r.lookup_name").alias("name"), F.col("r.organization").alias("body"))
     others = register.groupBy("binding_id").agg(F.min(F.struct("name", "party_label")).alias("r"))
     others = others.select(F.concat(F.lit("b"), F.col("binding_id").cast("string")).alias("row"), F.col("r.name").alias("name"), F.col("r.party_label").alias("body"))
-    # bodies' spellings are learned from both sources; persons from each alone
-    parsed = names.bodies(rows.unionByName(others), "body", short).withColumn("parts", names.name_parts(F.coalesce("name", F.lit(""))))
-    parsed = checkpointed(parsed.select("row", "org", "parts.first", "parts.last"))
-    people = names.linked(parsed.where("row like 's%'"), "row")
-    people = people.select(F.expr("cast(substring(row, 2) as long)").alias("speaker_id"), "first", "last", "org", "person")
+    # spellings are learned from both sources; persons are linked within each
+    both = names.parsed(rows.unionByName(others), "name", "body")
+    both = checkpointed(names.linked(both, "row", F.left("row", F.lit(1))).where("last <> ''").withColumn("key", F.expr("cast(substring(row, 2) as long)")))
     dates = speakers.groupBy("speaker_id").agg(F.year(F.min("session_date")).alias("at"))
-    people = checkpointed(people.join(dates, "speaker_id").where("last <> ''"))
-    entries = names.linked(parsed.where("row like 'b%'"), "row")
-    entries = entries.select(F.expr("cast(substring(row, 2) as long)").alias("binding_id"), "first", "last", "org", "person").join(lives, "binding_id").where("last <> ''")
+    people = checkpointed(both.where("row like 's%'").withColumnRenamed("key", "speaker_id").drop("row").join(dates, "speaker_id"))
+    entries = both.where("row like 'b%'").withColumnRenamed("key", "binding_id").drop("row").join(lives, "binding_id")
     # one year of birth for a person's entries: another is a namesake
     years = entries.groupBy("person").agg(F.min("born").alias("y0"), F.max("born").alias("y1"))
     entries = entries.join(years, "person").withColumn("born", F.coalesce("born", F.when(F.col("y0") == F.col("y1"), F.col("y0"))))

@@ -1,76 +1,63 @@
 """Variant spellings of names, linked by weighted character n-grams.
 
-Names and bodies are compared as vectors of character n-grams weighted by
-rarity; pairs above a cosine come from an exact prefix-filtered join on shared
-rare n-grams, without a limit on partners; linked spellings are grouped by
-average linkage. Everything works on distinct spellings, rows are attached at
-the end.
+Names and bodies are vectors of character n-grams, weighted by rarity over all
+distinct spellings. Pairs above a cosine come from an exact distributed join on
+the rarest n-grams of each vector (a prefix that any vector of that cosine must
+share), n of the top-n being unbounded: every partner above the threshold is
+kept. Linked spellings are grouped by average linkage on these cosines.
+
+Nothing about names or bodies is known beforehand. Which word of a name is the
+forename, which forenames stand for each other (familiar forms) and what an
+acronym stands for are learned from how they occur together in the rows.
 """
 
 from __future__ import annotations
 
-import functools
+import heapq
 import math
 import re
-from collections import Counter
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from .common import checkpointed, fold, within
+from .common import checkpointed, fold
 
 # Titles before names.
 TITLES = frozenset("tov tovaris tovarisica dr mag inz ing prof gospod gospa ga dipl".split())
 #: Titles that may be an initial too.
 INITIAL_TITLES = frozenset("g".split())
 
-# Forenames and their familiar forms.
-FAMILIAR = """
-aleksander: sandi aco sašo; alojz: lojze slavko; ana: anica nuša; andrej: drejc; anton: tone tonček; antonija: tončka;
-barbara: barba; blaž: blaže; bogomir: bogo; borislav: boro; cecilija: cilka; ciril: cirko; damijan: damjo damjan;
-dorotea: teja; edvard: edi; elizabeta: beta špela; emil: milo; ferdinand: nande ferdo; filip: lipe; franc: france feri;
-frančiška: fani francka; gregor: grega; gustav: gusti; helena: jelka lena; henrik: riko; herman: manko; ignacij: nace;
-ivana: ivanka; jakob: jaka; janez: janko ivek; jožef: joža pepi; jožefa: pepca; karel: drago; katarina: katra tinca;
-kristina: kristi; leopold: polde; ljudmila: milka; ludvik: lude; luka: luko; magdalena: magda lenka; marija: micka mara;
-martin: tine; matija: matic matjo; mihael: miha mišo; neža: nežka; nikolaj: niko miklavž; oskar: oki; pavel: pavle;
-peter: pero; radoslav: rado; rudolf: rudi; stanislav: stane slavc; štefan: štef pišta; terezija: rezka; tomaž: tomo;
-urban: urbi; uršula: urša; valentin: zdravko; vida: vidka; viktor: viki; vladimir: vlado lado; vojteh: vojko;
-zofija: zofka; zvonimir: zvone miro
-"""
-_FORMAL = {
-    fold(short): fold(name.strip()) for entry in FAMILIAR.split(";") for name, _, shorts in [entry.partition(":")] for short in shorts.split()
-}
-_KNOWN = frozenset(_FORMAL.values()) | frozenset(_FORMAL)
-
-#: Kinds of bodies named by a kind and a place, by their usual initials.
-# Fixed values.
-KINDS = {"krajevni svet": "ks", "okrajni odbor": "oo", "občinski zbor": "oz", "zadružna zveza": "zz"}
-_KIND = {fold(k): v for k, v in KINDS.items()}
+#: n-grams are counted in so many buckets by their hash, which bounds what the
+#: driver gets and broadcasts, whatever the number of names.
+BUCKETS = 1 << 18
+#: Share of all spellings added to the count of each n-gram of names: slips
+#: make rare n-grams, which would else rule a vector.
+SMOOTH = 0.02
+#: Shares of the vector of a name that its last names, and the initial within
+#: its forename, make up.
+LAST_SHARE, INITIAL_SHARE = 0.62, 0.35
+#: Least cosine of pairs that are kept, and mean cosine at which groups merge.
+BODY, BODY_LINKAGE = 0.5, 0.4
+NAME, NAME_LINKAGE = 0.58, 0.55
+#: Least cosine at which a name without a body takes a name's body.
+HOME = 0.7
+#: A forename stands for another if the two meet in one body under one last
+#: name in this share of the groups it stands in.
+FAMILIAR_SHARE = 0.3
+#: A forename met in fewer rows is a slip of the nearest one met in as many,
+#: if their cosine is so high.
+RARE, SPELLING = 8, 0.55
+#: Spellings sharing an n-gram beyond which the join splits it over SALTS tasks.
+HOT, SALTS = 512, 16
+
 _SPACED = re.compile(r"(?<!\S)((?:\w\s+){2,}\w)(?!\S)")
-#: n-grams of folded text: their number is bounded by the alphabet.
-MAX_GRAMS = 200_000
-MAX_ACRONYMS = 100_000
-
-
-def _close(a: str, b: str, most: int = 2) -> bool:
-    """At most so many letters added, lost, changed, or neighbours swapped."""
-    if a == b:
-        return True
-    if abs(len(a) - len(b)) > most:
-        return False
-    two, one = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        now = [i]
-        for j, y in enumerate(b, 1):
-            d = min(one[j] + 1, now[-1] + 1, one[j - 1] + (x != y))
-            if two and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, two[j - 2] + 1)
-            now.append(d)
-        two, one = one, now
-    return one[-1] <= most
+
+
+# --- names into words -------------------------------------------------------------
 
 
 def _untitled(words: list[str]) -> list[str]:
@@ -85,177 +72,180 @@ def _untitled(words: list[str]) -> list[str]:
     return [x for w in reversed(out) for x in w.replace("-", " ").split() if x not in TITLES]
 
 
-@functools.lru_cache(200_000)
-def parse_name(text: str) -> tuple[str, str]:
-    """(forename in its formal form or an initial, last names) of a typed name."""
-    text = _SPACED.sub(lambda m: re.sub(r"\s+", "", m[1]), text)
-    swapped = "," in text
+def name_words(text: str) -> tuple[list[str], bool]:
+    """(folded words without titles, forename first as far as a comma tells;
+    whether a comma told)."""
+    text = _SPACED.sub(lambda m: re.sub(r"\s+", "", m[1]), text or "")
+    comma = "," in text
     parts = [re.sub(r"[^\w\s\-]", " ", fold(p)).split() for p in text.split(",")]
-    words = _untitled([w for p in (reversed(parts) if swapped else parts) for w in p])
-    if not words:
-        return "", ""
-    if not swapped and words[-1] in INITIAL_TITLES and len(words) > 1 and words[0] not in _KNOWN:
-        words = [words[-1], *words[:-1]]
-    if not swapped and len(words) > 1 and words[0] not in _KNOWN and words[-1] in _KNOWN:
-        words = [words[-1], *words[:-1]]
-    elif not swapped and len(words) > 1 and words[0] not in _KNOWN and len(words[0]) > 1:
-        # a slip in the forename, at either end
-        if not any(_close(words[0], k, 2) for k in _KNOWN if len(k) > 4) and any(_close(words[-1], k, 2) for k in _KNOWN if len(k) > 4):
-            words = [words[-1], *words[:-1]]
-    first = _FORMAL.get(words[0], words[0])
-    if first not in _KNOWN and len(first) > 3:
-        near = sorted({_FORMAL.get(k, k) for k in _KNOWN if len(k) > 3 and k[0] == first[0] and _close(first, k, 1)})
-        near = near or sorted({_FORMAL.get(k, k) for k in _KNOWN if len(k) > 4 and _close(first, k, 2)})
-        first = near[0] if len(near) == 1 else first
-    last = [w for w in words[1:] if len(w) > 1 and (w not in _KNOWN or len(words) == 2)] or [w for w in words[1:] if len(w) > 1]
-    if len(words) == 1:
-        return "", words[0]
-    return first, " ".join(last)
-
-
-def _parsed(names: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parse_name(n) if n else ("", "") for n in names], columns=["first", "last"])
-
-
-def name_parts(name: Column) -> Column:
-    return F.pandas_udf(_parsed, "first string, last string")(name)
-
-
-def acronyms(bodies: DataFrame, body: str) -> dict[str, str]:
-    """Acronym to full name, of bodies written with both, or of acronyms that
-    stand alone and are the initials of a body not named by kind and place;
-    of several names the most frequent."""
-    forms = bodies.where(F.col(body).isNotNull()).groupBy(F.col(body).alias("t")).agg(F.count("*").alias("n"))
-    both = forms.select(F.regexp_extract("t", r"\((\p{Lu}{2,6})\)\s*$", 1).alias("short"), F.regexp_extract("t", r"^(.*\S)\s*\(\p{Lu}{2,6}\)\s*$", 1).alias("full"), F.col("n") * 1000 + 1000)
-    alone = forms.select(F.replace(F.regexp_extract("t", r"^(?:.*\s)?((?:\p{Lu}\.?){2,6})$", 1), F.lit("."), F.lit("")).alias("short")).where("short <> ''").distinct()
-    kind = r"(?iu)^(" + "|".join(KINDS) + r"|obcinski zbor|zadruzna zveza)\b|,|\.|\("
-    words = F.split(F.trim("t"), r"\s+")
-    long = forms.where(~F.col("t").rlike(kind) & (F.size(words) > 1)).withColumn("w", words)
-    first = lambda w: F.upper(F.left(w, F.lit(1)))
-    long = long.select("t", "n", F.explode(F.array_distinct(F.array(
-        F.array_join(F.transform("w", first), ""), F.array_join(F.transform(F.filter("w", lambda w: F.length(w) > 2), first), ""),
-    ))).alias("short"))
-    named = long.join(alone, "short").select("short", F.col("t").alias("full"), "n")
-    best = both.where("full <> '' and short <> ''").toDF("short", "full", "n").unionByName(named)
-    best = best.groupBy("short", "full").agg(F.sum("n").alias("n")).groupBy("short").agg(F.max_by("full", F.struct("n", "full")).alias("full"))
-    return {fold(r["short"]): fold(r["full"]) for r in within(best, MAX_ACRONYMS, "acronyms")}
-
-
-def body_key(text: str | None, short: dict[str, str]) -> str:
-    """A body's acronym, if known, or its kind's initials and its place."""
-    if not text:
-        return ""
-    text = fold(re.sub(r"\([^)]*\)\s*$", "", text)).strip()
-    text = re.sub(r"^posl\w*\.?\s+(skupina|klub)\s+", "", text)
-    if "," in text:
-        a, _, b = text.partition(",")
-        text = f"{b.strip()} {a.strip()}"
-    solid = re.sub(r"[^\w]", "", text)
-    if solid in short:
-        return solid
-    words = re.sub(r"[^\w\s.]", " ", text).split()
-    bare = [w.strip(".") for w in words]
-    if len(bare) >= 3:
-        for kind, key in _KIND.items():
-            k = kind.split()
-            if all(_close(w, x, 1) or (len(w) > 1 and x.startswith(w)) for w, x in zip(bare, k)):
-                return f"{key} {' '.join(bare[2:])}"
-    if len(bare) >= 2 and bare[0] in _KIND.values():
-        return f"{bare[0]} {' '.join(bare[1:])}"
-    for acronym, full in short.items():
-        other = full.split()
-        if len(other) == len(bare) and all(_close(w, x, 2 if len(x) > 4 else 1) or (len(w) > 1 and x.startswith(w)) for w, x in zip(bare, other)):
-            return acronym
-    return " ".join(bare)
-
-
-def body_keys(short: dict[str, str]):
-    def keys(s: pd.Series) -> pd.Series:
-        known = {t: body_key(t, short) for t in set(s) if t}
-        return pd.Series([known.get(t, "") for t in s], dtype=object)
-
-    return F.pandas_udf(keys, StringType())
-
-
-def grams(text: str) -> Counter:
-    padded = f" {text} "
-    return Counter(padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1))
-
-
-class Weights:
-    """Vectors of texts, by the rarity of their n-grams."""
-
-    def __init__(self, counts: dict[str, int], texts: int):
-        self.idf = {g: math.log(1 + texts / n) for g, n in counts.items()}
-        self.default = math.log(1 + texts)
-        self.kept: dict[str, dict[str, float]] = {}
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"kept": {}}
-
-    def vector(self, text: str) -> dict[str, float]:
-        if text not in self.kept:
-            if len(self.kept) > 100_000:
-                self.kept.clear()
-            self.kept[text] = self._vector(text)
-        return self.kept[text]
-
-    def _vector(self, text: str) -> dict[str, float]:
-        v = {g: n * self.idf.get(g, self.default) for g, n in grams(text).items()}
-        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
-        return {g: x / norm for g, x in v.items()}
-
-    def prefix(self, text: str, least: float) -> list[str]:
-        """The rarest n-grams: a text of that cosine at least shares one."""
-        v = self.vector(text)
-        out, rest = [], 1.0
-        for g in sorted(v, key=lambda g: (-self.idf.get(g, self.default), g)):
-            if math.sqrt(max(rest, 0)) < least:
-                break
-            out.append(g)
-            rest -= v[g] ** 2
-        return out
-
-    def cosine(self, a: str, b: str) -> float:
-        x, y = self.vector(a), self.vector(b)
-        return sum(w * y[g] for g, w in x.items() if g in y)
-
-
-def weights(texts: DataFrame, text: str) -> Weights:
-    """N-gram statistics over all distinct texts of a column."""
-    explode = F.pandas_udf(lambda s: pd.Series([list(grams(t)) if t else [] for t in s]), ArrayType(StringType()))
-    distinct = texts.select(text).distinct()
-    counts = distinct.select(F.explode(explode(text)).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
-    rows = within(counts, MAX_GRAMS, "distinct n-grams")
-    return Weights({r["g"]: r["n"] for r in rows}, distinct.count())
-
-
-def similar(left: DataFrame, right: DataFrame, w: Weights, least: float, most_off: int = 2) -> DataFrame:
-    """a, b, cosine: pairs of ids of left and right (id, block, text) of one
-    block whose texts have that cosine and differ by few letters, or of which
-    one has all the words of the other."""
-    prefix = F.pandas_udf(lambda s: pd.Series([w.prefix(t, least) if t else [] for t in s]), ArrayType(StringType()))
-    a = left.select(F.col("id").alias("a"), "block", F.col("text").alias("ta"), F.explode(prefix("text")).alias("g"))
-    b = right.select(F.col("id").alias("b"), "block", F.col("text").alias("tb"), F.explode(prefix("text")).alias("g"))
-    pairs = a.join(b, ["block", "g"]).where("a <> b").groupBy("a", "b", "ta", "tb").agg(F.lit(1).alias("one"))
-
-    def cosine(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for s, t in zip(x, y):
-            p, q = s.split(), t.split()
-            few, many = (p, q) if len(p) <= len(q) else (q, p)
-            part = len(few) < len(many) and all(any(_close(f, m, min(most_off, 2)) for m in many) for f in few)
-            c = w.cosine(s, t)
-            out.append(max(c, least) if part else c if c >= least and _close(s, t, most_off) else 0.0)
-        return pd.Series(out)
+    return _untitled([w for p in (reversed(parts) if comma else parts) for w in p]), comma
+
 
-    return pairs.withColumn("cosine", F.pandas_udf(cosine, DoubleType())("ta", "tb")).where("cosine > 0").select("a", "b", "cosine")
+def oriented(names: DataFrame, name: str) -> DataFrame:
+    """name, first, last of the distinct names: which end is the forename.
+
+    A comma tells, an initial is a forename; else the ends are compared by how
+    often they stand first and last in all names and with how many different
+    words they stand: forenames stand first, and with many.
+    """
+
+    def words(s: pd.Series) -> pd.DataFrame:
+        both = [name_words(t) for t in s]
+        return pd.DataFrame({"words": [w for w, _ in both], "comma": [c for _, c in both]})
+
+    distinct = names.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
+    split = F.pandas_udf(words, "words array<string>, comma boolean")(F.col(name))
+    df = distinct.select(name, "n", split.alias("s")).select(name, "n", "s.words", "s.comma").where("size(words) > 0")
+    a, z = F.col("words")[0], F.element_at("words", -1)
+    df = checkpointed(df.withColumn("a", a).withColumn("z", F.when(F.size("words") > 1, z)))
+    ends = df.where("z is not null and length(a) > 1 and length(z) > 1")
+    stood = ends.select(F.explode(F.array(
+        F.struct(F.col("a").alias("w"), F.col("z").alias("with"), F.lit(1).alias("f"), F.col("n")),
+        F.struct(F.col("z").alias("w"), F.col("a").alias("with"), F.lit(0).alias("f"), F.col("n")),
+    )).alias("s"))
+    stood = stood.groupBy("s.w", "s.with").agg(F.sum(F.col("s.f") * F.col("s.n")).alias("f"), F.sum("s.n").alias("n"))
+    score = F.log((F.sum("f") + 0.5) / (F.sum("n") - F.sum("f") + 0.5)) + F.log(F.count("*") + 1)
+    scores = stood.groupBy("w").agg(score.alias("score"))
+    df = df.join(scores.select(F.col("w").alias("a"), F.col("score").alias("sa")), "a", "left")
+    df = df.join(scores.select(F.col("w").alias("z"), F.col("score").alias("sz")), "z", "left")
+    turned = ~F.col("comma") & F.col("z").isNotNull() & F.when(F.length("a") == 1, False).when(F.length("z") == 1, True).otherwise(F.coalesce(F.col("sz") > F.col("sa"), F.lit(False)))
+    n = F.size("words")
+    rest = F.when(turned, F.slice("words", 1, n - 1)).otherwise(F.slice("words", 2, F.greatest(n - 1, F.lit(0))))
+    rest = F.when(n == 1, F.col("words")).otherwise(rest)
+    long = F.filter(rest, lambda w: F.length(w) > 1)
+    first = F.when(n == 1, "").when(turned, F.col("z")).otherwise(F.col("a"))
+    return df.select(name, first.alias("first"), F.array_join(long, " ").alias("last"))
+
+
+# --- vectors and the cosine join ----------------------------------------------------
+
+
+def pairs_of_letters(word: str) -> list[str]:
+    """Pairs of neighbouring letters, and of letters one apart."""
+    padded = f"^{word}$"
+    return [padded[i : i + 2] for i in range(len(padded) - 1)] + [f"{a}.{b}" for a, b in zip(padded, padded[2:])]
+
+
+def pairs_and_triples(word: str) -> list[str]:
+    """Stretches of two and three letters."""
+    padded = f"^{word}$"
+    return [padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1)]
+
+
+def hashed(fields: list[str], grams) -> list[int]:
+    """Buckets of the n-grams of the words of every field; fields apart."""
+    return [zlib.crc32(f"{k}{g}".encode()) % BUCKETS for k, t in enumerate(fields) for w in t.split() for g in grams(w)]
+
+
+def word_vector(idf: np.ndarray, text: str, grams=pairs_of_letters) -> tuple[np.ndarray, np.ndarray]:
+    at, n = np.unique(np.array(hashed([text], grams), np.int64), return_counts=True)
+    w = n * idf[at]
+    return at, w / (np.sqrt((w**2).sum()) or 1)
+
+
+def body_vector(idf: np.ndarray, body: str) -> tuple[np.ndarray, np.ndarray]:
+    return word_vector(idf, body, pairs_and_triples)
+
+
+def name_vector(idf: np.ndarray, first: str, last: str) -> tuple[np.ndarray, np.ndarray]:
+    """A forename's vector is its initial and its n-grams, an initial's the
+    initial alone; forename and last names have fixed shares of the whole."""
+    parts = []
+    if last:
+        at, n = np.unique(np.array(hashed(["", last], pairs_of_letters), np.int64), return_counts=True)
+        w = n * idf[at]
+        parts.append((at, w / np.sqrt((w**2).sum()) * math.sqrt(LAST_SHARE if first else 1)))
+    if first:
+        share = 1 - LAST_SHARE if last else 1.0
+        initial = zlib.crc32(f"i{first[0]}".encode()) % BUCKETS
+        parts.append((np.array([initial]), np.array([math.sqrt(share * (INITIAL_SHARE if len(first) > 1 else 1))])))
+        if len(first) > 1:
+            at, n = np.unique(np.array(hashed([first], pairs_of_letters), np.int64), return_counts=True)
+            w = n * idf[at]
+            parts.append((at, w / np.sqrt((w**2).sum()) * math.sqrt(share * (1 - INITIAL_SHARE))))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0)
+    at, back = np.unique(np.concatenate([a for a, _ in parts]), return_inverse=True)
+    w = np.zeros(len(at))
+    np.add.at(w, back, np.concatenate([x for _, x in parts]))
+    return at, w / np.sqrt((w**2).sum())
+
+
+def vectors(df: DataFrame, fields: list[str], vector, grams, least: float, smooth: float = 0.0) -> DataFrame:
+    """Add `at` and `w`, the vector of the fields with its rarest n-grams
+    first, and `k`, how many of these a vector of cosine `least` must share
+    one of. Rarity is counted over all rows of df, in BUCKETS buckets."""
+    spark = df.sparkSession
+
+    def buckets(*s: pd.Series) -> pd.Series:
+        return pd.Series([sorted(set(hashed([t or "" for t in row], grams))) for row in zip(*s)])
+
+    counted = df.select(F.explode(F.pandas_udf(buckets, "array<int>")(*fields)).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+    rows = counted.toPandas()  # at most BUCKETS rows
+    n = np.zeros(BUCKETS)
+    n[rows["g"].to_numpy(np.int64)] = rows["n"]
+    total = max(float(n.max()) if len(rows) else 1.0, 1.0)
+    shared = spark.sparkContext.broadcast(np.log(1 + total / np.maximum(n + smooth * total, 1)).astype(np.float32))
+
+    def build(*s: pd.Series) -> pd.DataFrame:
+        idf, out = shared.value, []
+        for row in zip(*s):
+            at, w = vector(idf, *[t or "" for t in row])
+            order = np.lexsort((at, -idf[at]))
+            at, w = at[order], w[order]
+            left = 1 - np.concatenate([[0], np.cumsum(w**2)[:-1]])
+            out.append((at.astype(np.int32), w.astype(np.float32), int((left >= (least - 1e-6) ** 2).sum())))
+        return pd.DataFrame(out, columns=["at", "w", "k"])
+
+    made = F.pandas_udf(build, "at array<int>, w array<float>, k int")(*fields)
+    return df.withColumn("__v", made).select(*df.columns, "__v.at", "__v.w", "__v.k")
+
+
+def _cosines(at_a: pd.Series, w_a: pd.Series, at_b: pd.Series, w_b: pd.Series) -> pd.Series:
+    """Products of pairs of sparse vectors, all pairs of a batch at once."""
+    if not len(at_a):
+        return pd.Series([], dtype="float64")
+
+    def flat(at, w):
+        size = np.fromiter(map(len, at), np.int64, len(at))
+        key = np.repeat(np.arange(len(at)), size) * BUCKETS + np.concatenate(at.to_numpy()).astype(np.int64)
+        return key, np.concatenate(w.to_numpy()).astype(float)
+
+    (ka, wa), (kb, wb) = flat(at_a, w_a), flat(at_b, w_b)
+    order = np.argsort(kb)
+    kb, wb = kb[order], wb[order]
+    to = np.minimum(np.searchsorted(kb, ka), max(len(kb) - 1, 0))
+    met = kb[to] == ka if len(kb) else np.zeros(len(ka), bool)
+    return pd.Series(np.bincount(ka[met] // BUCKETS, wa[met] * wb[to[met]], len(at_a)))
+
+
+def similar(left: DataFrame, right: DataFrame | None, least: float) -> DataFrame:
+    """a, b, cosine of all pairs of one block whose cosine is at least `least`,
+    from tables (id, block, at, w, k), an id being in as many blocks as it has
+    rows; without `right` the pairs a < b within `left`. N-grams in more than HOT rows are spread
+    over SALTS tasks."""
+    prefix = lambda df, name: df.select(F.col("id").alias(name), "block", F.explode(F.slice("at", 1, F.col("k"))).alias("g"))
+    a, b = prefix(left, "a"), prefix(left if right is None else right, "b")
+    hot = b.groupBy("block", "g").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("block", "g", F.lit(SALTS).alias("salts"))
+    salted = lambda df: df.join(hot, ["block", "g"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    a = salted(a).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).drop("salts")
+    b = salted(b).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    pairs = a.join(b, ["block", "g", "salt"]).where("a < b" if right is None else "a <> b").select("a", "b").distinct()
+    once = lambda df: df.select("id", "at", "w").dropDuplicates(["id"])
+    va = once(left).toDF("a", "at_a", "w_a")
+    vb = once(left if right is None else right).toDF("b", "at_b", "w_b")
+    pairs = pairs.join(va, "a").join(vb, "b")
+    cosine = F.pandas_udf(_cosines, "double")("at_a", "w_a", "at_b", "w_b")
+    return pairs.select("a", "b", cosine.alias("cosine")).where(F.col("cosine") >= least)
+
+
+# --- groups ---------------------------------------------------------------------------
 
 
 def components(edges: DataFrame) -> DataFrame:
     """id, component (the least id) of all nodes of the edges (a, b); labels
     spread to neighbours and on to their labels until none changes."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b").distinct()
     both = checkpointed(both)
     labels = checkpointed(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")))
     while True:
@@ -278,8 +268,6 @@ def average_linkage(n: int, a: np.ndarray, b: np.ndarray, s: np.ndarray, least:
         if i != j:
             sums[i][j] = sums[j][i] = max(x, sums[i].get(j, 0.0))
     size, of, alive = [1] * n, list(range(n)), set(range(n))
-    import heapq
-
     heap = [(-x, i, j, 1, 1) for i in range(n) for j, x in sums[i].items() if i < j]
     heapq.heapify(heap)
     while heap:
@@ -309,80 +297,176 @@ def grouped(edges: DataFrame, least: float) -> DataFrame:
     ids, by average linkage within connected components of spellings."""
     edges = checkpointed(edges)
     parts = edges.join(components(edges).withColumnRenamed("id", "a"), "a")
+    parts = parts.repartition(F.col("component")).sortWithinPartitions("component")
 
-    def link(part: pd.DataFrame) -> pd.DataFrame:
-        ids = np.unique(np.concatenate([part["a"], part["b"]]))
-        of = average_linkage(len(ids), np.searchsorted(ids, part["a"]), np.searchsorted(ids, part["b"]), part["cosine"].to_numpy(), least)
-        return pd.DataFrame({"id": ids, "group": pd.Series(ids).groupby(of).transform("min")})
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # components stream by; one is held at a time
+        def finish(part: pd.DataFrame) -> pd.DataFrame:
+            ids = np.unique(np.concatenate([part["a"], part["b"]]))
+            of = average_linkage(len(ids), np.searchsorted(ids, part["a"]), np.searchsorted(ids, part["b"]), part["cosine"].to_numpy(), least)
+            return pd.DataFrame({"id": ids, "group": ids[of]})
 
-    return checkpointed(parts.groupBy("component").applyInPandas(link, "id long, group long"))
+        rest = None
+        for b in batches:
+            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            ends = np.flatnonzero(np.diff(b["component"].to_numpy())) + 1
+            whole = np.split(np.arange(len(b)), ends)
+            rest = b.iloc[whole[-1]]
+            if done := [finish(b.iloc[at]) for at in whole[:-1]]:
+                yield pd.concat(done, ignore_index=True)
+        if rest is not None and len(rest):
+            yield finish(rest)
 
+    return checkpointed(parts.mapInPandas(link, "id long, group long"))
 
-#: Cosine of linked spellings, and mean similarity of a group's merge.
-BODY, NAME, LINKAGE = 0.35, 0.3, 0.25
 
+# --- bodies ---------------------------------------------------------------------------
 
-def bodies(rows: DataFrame, body: str, short: dict[str, str]) -> DataFrame:
-    """Add `org`: one key for all spellings of a body; empty for none."""
-    rows = rows.withColumn("key", body_keys(short)(F.col(body)))
-    forms = rows.where("key <> ''").groupBy("key").agg(F.count("*").alias("n")).withColumn("id", F.xxhash64("key"))
-    forms = checkpointed(forms.withColumn("block", F.substring_index("key", " ", 1)).withColumn("text", F.col("key")))
-    pairs = similar(forms, forms, weights(forms, "text"), BODY).where("a < b")
-    groups = grouped(pairs, LINKAGE).join(forms.select("id", "key", "n"), "id")
-    names = groups.groupBy("group").agg(F.max_by("key", F.struct("n", "key")).alias("org"))
-    groups = groups.join(names, "group").select("key", "org")
-    return rows.join(groups, "key", "left").withColumn("org", F.coalesce("org", "key")).drop("key")
 
+def body_words(text: Column) -> Column:
+    """Folded words of a body without signs; letters parted by dots as one
+    word (`K.S.D.` as ksd), a part after a comma first, brackets left off."""
+
+    def words(s: pd.Series) -> pd.Series:
+        out = []
+        for t in s:
+            t = re.sub(r"\([^)]*\)\s*$", "", t or "")
+            t = re.sub(r"(?<!\w)(?:\w\.){2,}", lambda m: m[0].replace(".", "") + " ", t)
+            parts = [re.findall(r"\w+", fold(p)) for p in t.split(",")]
+            out.append(" ".join(w for p in reversed(parts) for w in p))
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(words, "string")(text)
 
-def persons(rows: DataFrame, id: str, name: str, body: str, short: dict[str, str] | None = None) -> DataFrame:
-    """id, first, last, org, person: rows of the same person share `person`.
 
-    Same: one body, forenames that mean the same (or an initial of it), last
-    names that are spellings of each other. A row without body belongs to the
-    only body in which its name occurs, if there is just one. Repeated rows of
-    an id count once, rows without a name are persons of their own.
+def acronyms(forms: DataFrame) -> DataFrame:
+    """short, full: what an acronym stands for, learned from bodies (words, n,
+    bracket: an acronym given in brackets).
+
+    An acronym is a word of two to six letters that spells the initials of the
+    first words of another body, the words after it being the same; words of
+    up to two letters may be passed over. Of several readings the one in most
+    rows is taken. Brackets give a reading of the whole name.
     """
-    rows = rows.groupBy(id).agg(F.min(F.struct(name, body)).alias("r")).select(id, F.col(f"r.{name}").alias("name"), F.col(f"r.{body}").alias("body"))
-    short = acronyms(rows, "body") if short is None else short
-    rows = bodies(rows, "body", short).withColumn("parts", name_parts(F.coalesce("name", F.lit(""))))
-    rows = checkpointed(rows.select(id, "org", "parts.first", "parts.last"))
-    return linked(rows, id)
-
-
-def linked(rows: DataFrame, id: str) -> DataFrame:
-    """As persons(), of rows (id, org, first, last) that are parsed."""
-    # by initial too: a block holds the last names of one body's forenames of that letter
-    forms = rows.where("last <> ''").groupBy("first", "last", "org").agg(F.count("*").alias("n"))
-    forms = forms.withColumn("id", F.xxhash64("first", "last", "org"))
-    w = weights(forms, "last")
-    # forenames alike, an initial and a full one too, meet in a block; two full ones only if they are equal
-    full, initial = F.concat("first", F.lit("|f")), F.concat(F.left("first", F.lit(1)), F.lit("|i"))
-    short_only = F.concat(F.left("first", F.lit(1)), F.lit("|s"))
-    is_initial = F.length("first") == 1
-    meets = F.when(is_initial, F.array(initial)).otherwise(F.array(full, short_only))
-    met = F.when(is_initial, F.array(initial, short_only)).otherwise(F.array(full, initial))
-    homeless = forms.where("org = ''").select("id", F.explode(meets).alias("block"), F.col("last").alias("text"))
-    homes = forms.where("org <> ''").select("id", F.explode(met).alias("block"), F.col("last").alias("text"))
-    found = similar(homeless, homes, w, NAME).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home"), F.col("first").alias("fb")), "b")
-    found = found.join(forms.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a")
-    # a full forename's own bodies come before those of an initial
-    found = found.withColumn("own", (F.col("fa") == F.col("fb")) & (F.length("fa") > 1)).groupBy("a", "home").agg(F.max(F.struct("own", "cosine")).alias("m"))
-    found = found.select("a", "home", "m.own", F.col("m.cosine").alias("c"))
-    nearest = found.groupBy("a").agg(F.max(F.struct("own", "c")).alias("most"))
-    found = found.join(nearest, "a").where((F.col("own") == F.col("most.own")) & (F.col("c") >= F.col("most.c") - 0.02))
+    w = F.split("words", " ")
+    given = forms.where("bracket <> '' and words <> ''").select(F.col("bracket").alias("short"), F.col("words").alias("full"), F.col("n"))
+    stands = forms.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.struct(
+        F.element_at(w, i).alias("short"), F.array_join(F.slice(w, i + 1, F.size(w)), " ").alias("rest")))).alias("s"), "n")
+    stands = stands.where("length(s.short) between 2 and 6").groupBy("s.short", "s.rest").agg(F.sum("n").alias("m"))
+    initials = lambda x: F.array_join(F.transform(x, lambda y: F.left(y, F.lit(1))), "")
+    heads = forms.where(F.size(w) >= 2).select("n", F.explode(F.transform(F.sequence(F.lit(2), F.least(F.size(w), F.lit(7))), lambda i: F.struct(
+        F.slice(w, 1, i).alias("head"), F.array_join(F.slice(w, i + 1, F.size(w)), " ").alias("rest")))).alias("h"))
+    heads = heads.select("n", "h.rest", F.array_join("h.head", " ").alias("full"), F.explode(F.array_distinct(F.array(
+        initials(F.col("h.head")), initials(F.filter("h.head", lambda x: F.length(x) > 2))))).alias("short"))
+    heads = heads.where("length(short) >= 2").groupBy("short", "rest", "full").agg(F.sum("n").alias("n"))
+    read = heads.join(stands, ["short", "rest"]).select("short", "full", F.least("n", "m").alias("n"))
+    votes = given.unionByName(read).where("short <> full").groupBy("short", "full").agg(F.sum("n").alias("n"))
+    return votes.groupBy("short").agg(F.max_by("full", F.struct("n", "full")).alias("full"))
+
+
+def bodies(rows: DataFrame, body: str) -> DataFrame:
+    """Add `org`: one key for all spellings of a body; empty for none."""
+    forms = rows.where(F.col(body).isNotNull()).groupBy(F.col(body).alias("__body")).agg(F.count("*").alias("n"))
+    bracket = F.lower(F.regexp_replace(F.regexp_extract("__body", r"\(([\p{Lu}.]{2,12})\)\s*$", 1), r"\.", ""))
+    forms = checkpointed(forms.select("__body", "n", body_words(F.col("__body")).alias("words"), bracket.alias("bracket")).where("words <> ''"))
+    by_words = forms.groupBy("words").agg(F.sum("n").alias("n"), F.max("bracket").alias("bracket"))
+    short = checkpointed(acronyms(by_words))
+    # acronyms written out, word by word
+    pieces = by_words.select("words", "n", F.posexplode(F.split("words", " ")).alias("i", "short")).join(short, "short", "left")
+    full = pieces.groupBy("words").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", F.coalesce("full", "short").alias("w")))).alias("l"))
+    full = full.select("words", "n", F.array_join(F.transform("l", lambda x: x["w"]), " ").alias("full"))
+    keys = full.groupBy("full").agg(F.sum("n").alias("n")).select(F.xxhash64("full").alias("id"), "full", "n", F.lit("").alias("block"))
+    keys = checkpointed(vectors(keys, ["full"], body_vector, pairs_and_triples, BODY))
+    groups = grouped(similar(keys, None, BODY), BODY_LINKAGE)
+    groups = keys.select("id", "full", "n").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
+    best = groups.groupBy("group").agg(F.max_by("full", F.struct("n", "full")).alias("org"))
+    named = forms.select("__body", "words").join(full.select("words", "full"), "words").join(groups.select("full", "group"), "full").join(best, "group")
+    named = checkpointed(named.select("__body", "org"))
+    return rows.join(named, F.col(body) == F.col("__body"), "left").withColumn("org", F.coalesce("org", F.lit(""))).drop("__body")
+
+
+# --- persons --------------------------------------------------------------------------
+
+
+def familiar(forms: DataFrame) -> DataFrame:
+    """first, formal: forenames that stand for another, learned from forms
+    (first, last, org, n): under one last name in one body a familiar form
+    meets its formal one far more often than chance has it. Of a group each
+    forename is held against the most frequent one only."""
+    named = forms.where("length(first) > 1 and last <> '' and org <> ''")
+    often = named.groupBy("first").agg(F.sum("n").alias("often"), F.count_distinct("last", "org").alias("groups"))
+    named = named.select("first", "last", "org").distinct().join(often, "first")
+    hub = named.groupBy("last", "org").agg(F.max(F.struct("often", "first")).alias("h")).select("last", "org", F.col("h.first").alias("formal"))
+    votes = named.join(hub, ["last", "org"]).where("first <> formal").groupBy("first", "formal").agg(F.count("*").alias("met"), F.first("groups").alias("groups"))
+    best = votes.groupBy("first").agg(F.max_by(F.struct("formal", "met", "groups"), F.struct("met", "formal")).alias("b"))
+    best = best.where(F.col("b.met") >= FAMILIAR_SHARE * (F.col("b.groups") + 1)).select("first", "b.formal")
+    # a rare spelling of no group of its own: the frequent forename nearest to it
+    spelled = forms.where("length(first) > 1").groupBy("first").agg(F.sum("n").alias("often"))
+    spelled = spelled.select("first", "often", F.xxhash64("first").alias("id"), F.left("first", F.lit(1)).alias("block"))
+    spelled = checkpointed(vectors(spelled, ["first"], word_vector, pairs_of_letters, SPELLING))
+    other = similar(spelled.where(F.col("often") < RARE), spelled.where(F.col("often") >= RARE), SPELLING)
+    other = other.groupBy("a").agg(F.max(F.struct("cosine", "b"))["b"].alias("b"))
+    other = other.join(spelled.select(F.col("id").alias("a"), "first"), "a").join(spelled.select(F.col("id").alias("b"), F.col("first").alias("formal")), "b")
+    other = other.select("first", "formal").join(best.select("first"), "first", "left_anti")
+    best = checkpointed(best.unionByName(other))
+    for _ in range(2):  # a formal form may stand for a more frequent one itself
+        on = best.select(F.col("first").alias("formal"), F.col("formal").alias("far"))
+        best = best.join(on, "formal", "left").select("first", F.coalesce("far", "formal").alias("formal"))
+    return checkpointed(best)
+
+
+def parsed(rows: DataFrame, name: str, body: str) -> DataFrame:
+    """rows without name and body, with org, first (formal where known), last."""
+    rows = bodies(rows, body)
+    split = oriented(rows, name).withColumnRenamed(name, "__name")
+    rows = rows.join(split, F.col(name) == F.col("__name"), "left").drop("__name", name, body)
+    rows = checkpointed(rows.withColumn("first", F.coalesce("first", F.lit(""))).withColumn("last", F.coalesce("last", F.lit(""))))
+    forms = rows.groupBy("first", "last", "org").agg(F.count("*").alias("n"))
+    formal = familiar(forms)
+    return rows.join(formal, "first", "left").withColumn("first", F.coalesce("formal", "first")).drop("formal")
+
+
+def linked(rows: DataFrame, id: str, side: Column | None = None) -> DataFrame:
+    """id, first, last, org (also where it was missing), person, of parsed
+    rows; rows of different sides aren't linked."""
+    rows = checkpointed(rows.withColumn("__side", (side if side is not None else F.lit(0)).cast("string")))
+    forms = rows.where("last <> ''").groupBy("__side", "first", "last", "org").agg(F.count("*").alias("n"))
+    forms = forms.withColumn("id", F.xxhash64("__side", "first", "last", "org"))
+    forms = vectors(forms, ["first", "last"], name_vector, pairs_of_letters, NAME, SMOOTH).withColumn("whole", F.length("first") > 1)
+    # who can meet: two full forenames if they are equal, an initial any of its letter
+    letter = F.left("first", F.lit(1))
+    asks = F.when(F.col("whole"), F.array("first", F.concat(letter, F.lit("|i")))).otherwise(F.array(F.concat(letter, F.lit("|i")), F.concat(letter, F.lit("|f"))))
+    answers = F.when(F.col("whole"), F.array("first", F.concat(letter, F.lit("|f")))).otherwise(F.array(F.concat(letter, F.lit("|i"))))
+    forms = checkpointed(forms.withColumn("asks", asks).withColumn("answers", answers))
+    blocks = lambda df, meets, *keys: df.withColumn("meets", F.explode(meets)).withColumn("block", F.concat_ws("|", *keys, "meets"))
+    homes, homeless = forms.where("org <> ''"), forms.where("org = ''")
+    # a form without a body: the only body in which the forms nearest to it stand
+    found = similar(blocks(homeless, "asks", "__side"), blocks(homes, "answers", "__side"), HOME).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home"), F.col("whole").alias("full")), "b")
+    found = found.join(homeless.select(F.col("id").alias("a"), "whole"), "a")
+    found = found.withColumn("own", F.col("full") & F.col("whole")).groupBy("a", "home").agg(F.max(F.struct("own", "cosine")).alias("m"))
+    nearest = Window.partitionBy("a")
+    found = found.withColumn("most", F.max("m").over(nearest)).where((F.col("m.own") == F.col("most.own")) & (F.col("m.cosine") >= F.col("most.cosine") - 0.03))
     only = found.groupBy("a").agg(F.min("home").alias("home"), F.max("home").alias("other")).where("home = other")
     forms = forms.join(only.select(F.col("a").alias("id"), "home"), "id", "left")
     forms = checkpointed(forms.withColumn("home", F.when(F.col("org") == "", F.coalesce("home", F.lit(""))).otherwise(F.col("org"))))
-    named = forms.select("id", F.concat_ws("|", "home", F.left("first", F.lit(1))).alias("block"), F.col("last").alias("text"))
-    pairs = similar(named, named, w, NAME).where("a < b")
-    firsts = forms.select(F.col("id"), F.col("first"))
-    pairs = pairs.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a").join(firsts.select(F.col("id").alias("b"), F.col("first").alias("fb")), "b")
-    alike = (F.col("fa") == F.col("fb")) | (F.length("fa") == 1) | (F.length("fb") == 1)
-    pairs = pairs.where(alike).select("a", "b", F.when(F.col("fa") == F.col("fb"), F.greatest("cosine", F.lit(0.5))).otherwise(F.col("cosine") * 0.8).alias("cosine"))
-    groups = grouped(pairs, LINKAGE)
-    forms = forms.join(groups, "id", "left").select("first", "last", "org", "home", F.coalesce("group", "id").alias("person"))
-    out = rows.join(forms, ["first", "last", "org"], "left")
-    return out.select(id, "first", "last", F.coalesce("home", "org").alias("org"), F.coalesce("person", F.xxhash64(F.lit("alone"), id)).alias("person"))
+    pairs = similar(blocks(forms, "asks", "__side", "home"), blocks(forms, "answers", "__side", "home"), NAME)
+    forms = forms.join(grouped(pairs, NAME_LINKAGE), "id", "left").select("__side", "first", "last", "org", "home", F.coalesce("group", "id").alias("person"))
+    out = rows.join(forms, ["__side", "first", "last", "org"], "left")
+    alone = F.xxhash64(F.lit("alone"), id)
+    return out.select(*[c for c in rows.columns if c not in ("__side", "org")], F.coalesce("home", "org").alias("org"), F.coalesce("person", alone).alias("person"))
+
+
+def persons(rows: DataFrame, id: str, name: str, body: str) -> DataFrame:
+    """id, first, last, org, person: rows of the same person share `person`.
+
+    Same: one body and names whose cosine is high, grouped by average linkage.
+    A row without body belongs to the only body in which names nearest to its
+    own occur, if there is just one. Repeated rows of an id count once, rows
+    without a name are persons of their own; other columns are left behind.
+    """
+    rows = rows.groupBy(id).agg(F.min(F.struct(name, body)).alias("r")).select(id, F.col(f"r.{name}").alias("name"), F.col(f"r.{body}").alias("body"))
+    out = linked(parsed(rows, "name", "body"), id)
+    return out.select(id, "first", "last", "org", "person")
 
 
 def same_person_pairs(people: DataFrame, id: str) -> DataFrame:
