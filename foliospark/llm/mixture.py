@@ -15,6 +15,7 @@ import functools
 import math
 import os
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,13 +54,13 @@ def token_count(text: Column, tokenizers: str = TOKENIZERS, vocabulary: str = VO
 
 
 def capped_mean(rate: float, cap: int) -> float:
-    """Mean of min(N, cap) for N Poisson of the given rate."""
-    mean, p, below = 0.0, math.exp(-rate), 0.0
-    for n in range(cap):
-        mean += n * p
-        below += p
-        p *= rate / (n + 1)
-    return mean + cap * max(0.0, 1 - below)
+    """Mean of min(N, cap) for N Poisson of the given rate: cap less the mean
+    shortfall, summed from logarithms, so that no rate is too large."""
+    if rate <= 0 or cap <= 0:
+        return 0.0
+    n = np.arange(cap)
+    logs = n * math.log(rate) - rate - np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, cap)))])
+    return cap - float(((cap - n) * np.exp(logs)).sum())
 
 
 def rate_for(mean: float, cap: int) -> float | None:
@@ -67,11 +68,9 @@ def rate_for(mean: float, cap: int) -> float | None:
     if mean >= cap:
         return None
     low, high = 0.0, 1.0
-    while capped_mean(high, cap) < mean:
+    while capped_mean(high, cap) < mean and high < 1e9 * cap:
         high *= 2
-        if high > 700:
-            return None
-    for _ in range(60):
+    for _ in range(200):
         mid = (low + high) / 2
         low, high = (mid, high) if capped_mean(mid, cap) < mean else (low, mid)
     return (low + high) / 2
@@ -109,7 +108,11 @@ def repeats(key: Column, rate: Column, cap: Column, seed: int = 0) -> Column:
     """Inverse of the Poisson distribution at a number hashed from seed and
     key: the first n at which the distribution's sum passes that number."""
     u = (F.xxhash64(F.lit(seed), key).bitwiseAND(F.lit((1 << 52) - 1)) + F.lit(0.5)) / float(1 << 52)
-    start = F.struct(F.lit(0).alias("n"), F.exp(-rate).alias("p"), F.exp(-rate).alias("sum"))
+    # from a place below which a large rate's distribution has nothing: its probability by Stirling's series
+    n0 = F.when(rate > 500, F.floor(rate - 12 * F.sqrt(rate))).otherwise(0).cast("int")
+    stirling = n0 * F.log(n0.cast("double")) - n0 + 0.5 * F.log(2 * math.pi * n0) + 1 / (12.0 * n0)
+    p0 = F.when(rate > 500, F.exp(n0 * F.log(rate) - rate - stirling)).otherwise(F.exp(-rate))
+    start = F.struct(n0.alias("n"), p0.alias("p"), p0.alias("sum"))
 
     def step(s: Column, i: Column) -> Column:
         more = s["sum"] < u
@@ -120,18 +123,18 @@ def repeats(key: Column, rate: Column, cap: Column, seed: int = 0) -> Column:
             F.when(more, s["sum"] + p).otherwise(s["sum"]).alias("sum"),
         )
 
-    drawn = F.aggregate(F.sequence(F.lit(1), F.greatest(cap, F.lit(1))), start, step)["n"]
+    drawn = F.aggregate(F.sequence(F.lit(1), F.greatest(cap - n0, F.lit(1))), start, step)["n"]
     return F.when(cap <= 0, 0).when(rate.isNull(), cap).otherwise(F.least(drawn, cap))
 
 
-def mix(sized: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 0) -> DataFrame:
-    """The mixture: key, source, n_tokens, copy, position, in global random
+def mix(documents: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 0) -> DataFrame:
+    """The mixture: all columns of documents, copy, position, in global random
     order (a range partitioning by a hash of key and copy; no single-task
     sort). Documents of sources without target take no part."""
-    drawn = sized.join(F.broadcast(plan.select("source", "rate", "max_repeats")), "source")
+    drawn = documents.join(F.broadcast(plan.select("source", F.col("rate"), F.col("max_repeats"))), "source")
     drawn = drawn.withColumn("repeats", repeats(F.col(key), F.col("rate"), F.col("max_repeats"), seed))
     copies = drawn.where("repeats > 0").select(
-        key, "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("copy")
+        *[c for c in documents.columns if c not in ("copy", "position")], F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("copy")
     )
     return copies.withColumn("position", F.xxhash64(F.lit(seed + 1), F.col(key), F.col("copy"))).orderBy("position", key, "copy")
 
@@ -139,7 +142,7 @@ def mix(sized: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 0) -
 def shares(sized: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 0) -> DataFrame:
     """Per source of the plan: target and actual share of the mixture's
     tokens, and how often its documents are used on average and at most."""
-    drawn = sized.join(F.broadcast(plan.select("source", "rate", "max_repeats")), "source")
+    drawn = sized.join(F.broadcast(plan.select("source", F.col("rate"), F.col("max_repeats"))), "source")
     drawn = drawn.withColumn("repeats", repeats(F.col(key), F.col("rate"), F.col("max_repeats"), seed))
     used = drawn.groupBy("source").agg(
         F.sum(F.col("n_tokens") * F.col("repeats")).alias("mixed_tokens"),
@@ -148,7 +151,7 @@ def shares(sized: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 0
     everything = Window.partitionBy(F.lit(0))  # one row per source: bounded by MAX_SOURCES
     joined = plan.join(used, "source", "left").withColumn("all_tokens", F.sum("mixed_tokens").over(everything))
     return joined.select(
-        "source", "target_share", "max_repeats", "documents", "tokens", "reachable",
+        "source", "target_share", "max_repeats", "documents", "tokens", "wanted", "reachable",
         F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), "mean_repeats", "most_repeats",
         (F.coalesce("mixed_tokens", F.lit(0)) / F.nullif(F.col("all_tokens"), F.lit(0))).alias("actual_share"),
     )

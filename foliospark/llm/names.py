@@ -41,16 +41,15 @@ SMOOTH = 0.02
 #: its forename, make up.
 LAST_SHARE, INITIAL_SHARE = 0.62, 0.35
 #: Least cosine of pairs that are kept, and mean cosine at which groups merge.
-BODY, BODY_LINKAGE = 0.5, 0.4
-NAME, NAME_LINKAGE = 0.58, 0.55
+BODY, BODY_LINKAGE = 0.46, 0.41
+NAME, NAME_LINKAGE = 0.56, 0.54
 #: Least cosine at which a name without a body takes a name's body.
-HOME = 0.7
+HOME = 0.68
 #: A forename stands for another if the two meet in one body under one last
 #: name in this share of the groups it stands in.
 FAMILIAR_SHARE = 0.3
-#: A forename met in fewer rows is a slip of the nearest one met in as many,
-#: if their cosine is so high.
-RARE, SPELLING = 8, 0.55
+#: A forename in fewer spellings of whole names may be a slip of another.
+RARE = 4
 #: Spellings sharing an n-gram beyond which the join splits it over SALTS tasks.
 HOT, SALTS = 512, 16
 
@@ -120,39 +119,29 @@ def oriented(names: DataFrame, name: str) -> DataFrame:
 # --- vectors and the cosine join ----------------------------------------------------
 
 
-def pairs_of_letters(word: str) -> list[str]:
-    """Pairs of neighbouring letters, and of letters one apart."""
-    padded = f"^{word}$"
-    return [padded[i : i + 2] for i in range(len(padded) - 1)] + [f"{a}.{b}" for a, b in zip(padded, padded[2:])]
-
-
-def pairs_and_triples(word: str) -> list[str]:
+def grams(word: str) -> list[str]:
     """Stretches of two and three letters."""
     padded = f"^{word}$"
     return [padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1)]
 
 
-def hashed(fields: list[str], grams) -> list[int]:
+def hashed(fields: list[str]) -> list[int]:
     """Buckets of the n-grams of the words of every field; fields apart."""
     return [zlib.crc32(f"{k}{g}".encode()) % BUCKETS for k, t in enumerate(fields) for w in t.split() for g in grams(w)]
 
 
-def word_vector(idf: np.ndarray, text: str, grams=pairs_of_letters) -> tuple[np.ndarray, np.ndarray]:
-    at, n = np.unique(np.array(hashed([text], grams), np.int64), return_counts=True)
+def body_vector(idf: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
+    at, n = np.unique(np.array(hashed([text]), np.int64), return_counts=True)
     w = n * idf[at]
     return at, w / (np.sqrt((w**2).sum()) or 1)
 
 
-def body_vector(idf: np.ndarray, body: str) -> tuple[np.ndarray, np.ndarray]:
-    return word_vector(idf, body, pairs_and_triples)
-
-
 def name_vector(idf: np.ndarray, first: str, last: str) -> tuple[np.ndarray, np.ndarray]:
     """A forename's vector is its initial and its n-grams, an initial's the
     initial alone; forename and last names have fixed shares of the whole."""
     parts = []
     if last:
-        at, n = np.unique(np.array(hashed(["", last], pairs_of_letters), np.int64), return_counts=True)
+        at, n = np.unique(np.array(hashed(["", last]), np.int64), return_counts=True)
         w = n * idf[at]
         parts.append((at, w / np.sqrt((w**2).sum()) * math.sqrt(LAST_SHARE if first else 1)))
     if first:
@@ -160,7 +149,7 @@ def name_vector(idf: np.ndarray, first: str, last: str) -> tuple[np.ndarray, np.
         initial = zlib.crc32(f"i{first[0]}".encode()) % BUCKETS
         parts.append((np.array([initial]), np.array([math.sqrt(share * (INITIAL_SHARE if len(first) > 1 else 1))])))
         if len(first) > 1:
-            at, n = np.unique(np.array(hashed([first], pairs_of_letters), np.int64), return_counts=True)
+            at, n = np.unique(np.array(hashed([first]), np.int64), return_counts=True)
             w = n * idf[at]
             parts.append((at, w / np.sqrt((w**2).sum()) * math.sqrt(share * (1 - INITIAL_SHARE))))
     if not parts:
@@ -171,14 +160,14 @@ def name_vector(idf: np.ndarray, first: str, last: str) -> tuple[np.ndarray, np.
     return at, w / np.sqrt((w**2).sum())
 
 
-def vectors(df: DataFrame, fields: list[str], vector, grams, least: float, smooth: float = 0.0) -> DataFrame:
+def vectors(df: DataFrame, fields: list[str], vector, least: float, smooth: float = 0.0) -> DataFrame:
     """Add `at` and `w`, the vector of the fields with its rarest n-grams
     first, and `k`, how many of these a vector of cosine `least` must share
     one of. Rarity is counted over all rows of df, in BUCKETS buckets."""
     spark = df.sparkSession
 
     def buckets(*s: pd.Series) -> pd.Series:
-        return pd.Series([sorted(set(hashed([t or "" for t in row], grams))) for row in zip(*s)])
+        return pd.Series([sorted(set(hashed([t or "" for t in row]))) for row in zip(*s)])
 
     counted = df.select(F.explode(F.pandas_udf(buckets, "array<int>")(*fields)).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
     rows = counted.toPandas()  # at most BUCKETS rows
@@ -292,30 +281,38 @@ def average_linkage(n: int, a: np.ndarray, b: np.ndarray, s: np.ndarray, least:
     return np.array(of)
 
 
-def grouped(edges: DataFrame, least: float) -> DataFrame:
+def grouped(edges: DataFrame, least: float, part: str | None = None) -> DataFrame:
     """id, group (least id) of the nodes of edges (a, b, cosine) with long
-    ids, by average linkage within connected components of spellings."""
-    edges = checkpointed(edges)
-    parts = edges.join(components(edges).withColumnRenamed("id", "a"), "a")
-    parts = parts.repartition(F.col("component")).sortWithinPartitions("component")
+    ids, by average linkage. Edges never lead from one `part` (a column) to
+    another; without one, connected components are the parts. Parts stream
+    through a task sorted, one being held at a time."""
+    if part is None:
+        edges = checkpointed(edges)
+        edges, part = edges.join(components(edges).withColumnRenamed("id", "a"), "a"), "component"
+    parts = edges.select(F.col(part).alias("part"), "a", "b", "cosine").repartition(F.col("part")).sortWithinPartitions("part")
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # components stream by; one is held at a time
-        def finish(part: pd.DataFrame) -> pd.DataFrame:
-            ids = np.unique(np.concatenate([part["a"], part["b"]]))
-            of = average_linkage(len(ids), np.searchsorted(ids, part["a"]), np.searchsorted(ids, part["b"]), part["cosine"].to_numpy(), least)
+        def finish(x: pd.DataFrame) -> pd.DataFrame:
+            ids = np.unique(np.concatenate([x["a"], x["b"]]))
+            of = average_linkage(len(ids), np.searchsorted(ids, x["a"]), np.searchsorted(ids, x["b"]), x["cosine"].to_numpy(), least)
             return pd.DataFrame({"id": ids, "group": ids[of]})
 
-        rest = None
+        held: list[pd.DataFrame] = []
         for b in batches:
-            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            ends = np.flatnonzero(np.diff(b["component"].to_numpy())) + 1
-            whole = np.split(np.arange(len(b)), ends)
-            rest = b.iloc[whole[-1]]
-            if done := [finish(b.iloc[at]) for at in whole[:-1]]:
+            if not len(b):
+                continue
+            key = b["part"].to_numpy()
+            whole = np.split(np.arange(len(b)), np.flatnonzero(key[1:] != key[:-1]) + 1)
+            done = []
+            for at in whole:
+                if held and held[0]["part"].iat[0] != key[at[0]]:
+                    done.append(finish(pd.concat(held, ignore_index=True)))
+                    held = []
+                held.append(b.iloc[at])
+            if done:
                 yield pd.concat(done, ignore_index=True)
-        if rest is not None and len(rest):
-            yield finish(rest)
+        if held:
+            yield finish(pd.concat(held, ignore_index=True))
 
     return checkpointed(parts.mapInPandas(link, "id long, group long"))
 
@@ -376,7 +373,7 @@ def bodies(rows: DataFrame, body: str) -> DataFrame:
     full = pieces.groupBy("words").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", F.coalesce("full", "short").alias("w")))).alias("l"))
     full = full.select("words", "n", F.array_join(F.transform("l", lambda x: x["w"]), " ").alias("full"))
     keys = full.groupBy("full").agg(F.sum("n").alias("n")).select(F.xxhash64("full").alias("id"), "full", "n", F.lit("").alias("block"))
-    keys = checkpointed(vectors(keys, ["full"], body_vector, pairs_and_triples, BODY))
+    keys = checkpointed(vectors(keys, ["full"], body_vector, BODY))
     groups = grouped(similar(keys, None, BODY), BODY_LINKAGE)
     groups = keys.select("id", "full", "n").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     best = groups.groupBy("group").agg(F.max_by("full", F.struct("n", "full")).alias("org"))
@@ -400,19 +397,10 @@ def familiar(forms: DataFrame) -> DataFrame:
     votes = named.join(hub, ["last", "org"]).where("first <> formal").groupBy("first", "formal").agg(F.count("*").alias("met"), F.first("groups").alias("groups"))
     best = votes.groupBy("first").agg(F.max_by(F.struct("formal", "met", "groups"), F.struct("met", "formal")).alias("b"))
     best = best.where(F.col("b.met") >= FAMILIAR_SHARE * (F.col("b.groups") + 1)).select("first", "b.formal")
-    # a rare spelling of no group of its own: the frequent forename nearest to it
-    spelled = forms.where("length(first) > 1").groupBy("first").agg(F.sum("n").alias("often"))
-    spelled = spelled.select("first", "often", F.xxhash64("first").alias("id"), F.left("first", F.lit(1)).alias("block"))
-    spelled = checkpointed(vectors(spelled, ["first"], word_vector, pairs_of_letters, SPELLING))
-    other = similar(spelled.where(F.col("often") < RARE), spelled.where(F.col("often") >= RARE), SPELLING)
-    other = other.groupBy("a").agg(F.max(F.struct("cosine", "b"))["b"].alias("b"))
-    other = other.join(spelled.select(F.col("id").alias("a"), "first"), "a").join(spelled.select(F.col("id").alias("b"), F.col("first").alias("formal")), "b")
-    other = other.select("first", "formal").join(best.select("first"), "first", "left_anti")
-    best = checkpointed(best.unionByName(other))
-    for _ in range(2):  # a formal form may stand for a more frequent one itself
-        on = best.select(F.col("first").alias("formal"), F.col("formal").alias("far"))
-        best = best.join(on, "formal", "left").select("first", F.coalesce("far", "formal").alias("formal"))
-    return checkpointed(best)
+    best = checkpointed(best)
+    # a formal form may stand for a more frequent one itself
+    on = best.select(F.col("first").alias("formal"), F.col("formal").alias("far"))
+    return best.join(on, "formal", "left").select("first", F.coalesce("far", "formal").alias("formal"))
 
 
 def parsed(rows: DataFrame, name: str, body: str) -> DataFrame:
@@ -432,10 +420,14 @@ def linked(rows: DataFrame, id: str, side: Column | None = None) -> DataFrame:
     rows = checkpointed(rows.withColumn("__side", (side if side is not None else F.lit(0)).cast("string")))
     forms = rows.where("last <> ''").groupBy("__side", "first", "last", "org").agg(F.count("*").alias("n"))
     forms = forms.withColumn("id", F.xxhash64("__side", "first", "last", "org"))
-    forms = vectors(forms, ["first", "last"], name_vector, pairs_of_letters, NAME, SMOOTH).withColumn("whole", F.length("first") > 1)
-    # who can meet: two full forenames if they are equal, an initial any of its letter
+    forms = vectors(forms, ["first", "last"], name_vector, NAME, SMOOTH).withColumn("whole", F.length("first") > 1)
+    # who can meet: two full forenames if they are equal, an initial any of its letter,
+    # and so a forename met so rarely that it may be a slip
+    seldom = forms.where("whole").groupBy("first").agg(F.count("*").alias("forms")).where(F.col("forms") < RARE).select("first", F.lit(True).alias("rare"))
+    forms = forms.join(seldom, "first", "left").withColumn("rare", F.coalesce("rare", F.lit(False)))
     letter = F.left("first", F.lit(1))
-    asks = F.when(F.col("whole"), F.array("first", F.concat(letter, F.lit("|i")))).otherwise(F.array(F.concat(letter, F.lit("|i")), F.concat(letter, F.lit("|f"))))
+    alike = F.array("first", F.concat(letter, F.lit("|i")))
+    asks = F.when(F.col("rare"), F.array_append(alike, F.concat(letter, F.lit("|f")))).when(F.col("whole"), alike).otherwise(F.array(F.concat(letter, F.lit("|i")), F.concat(letter, F.lit("|f"))))
     answers = F.when(F.col("whole"), F.array("first", F.concat(letter, F.lit("|f")))).otherwise(F.array(F.concat(letter, F.lit("|i"))))
     forms = checkpointed(forms.withColumn("asks", asks).withColumn("answers", answers))
     blocks = lambda df, meets, *keys: df.withColumn("meets", F.explode(meets)).withColumn("block", F.concat_ws("|", *keys, "meets"))
@@ -450,7 +442,9 @@ def linked(rows: DataFrame, id: str, side: Column | None = None) -> DataFrame:
     forms = forms.join(only.select(F.col("a").alias("id"), "home"), "id", "left")
     forms = checkpointed(forms.withColumn("home", F.when(F.col("org") == "", F.coalesce("home", F.lit(""))).otherwise(F.col("org"))))
     pairs = similar(blocks(forms, "asks", "__side", "home"), blocks(forms, "answers", "__side", "home"), NAME)
-    forms = forms.join(grouped(pairs, NAME_LINKAGE), "id", "left").select("__side", "first", "last", "org", "home", F.coalesce("group", "id").alias("person"))
+    # only forms of one home and one first letter are ever paired
+    places = forms.select(F.col("id").alias("a"), F.concat_ws("|", "__side", "home", F.left("first", F.lit(1))).alias("place"))
+    forms = forms.join(grouped(pairs.join(places, "a"), NAME_LINKAGE, "place"), "id", "left").select("__side", "first", "last", "org", "home", F.coalesce("group", "id").alias("person"))
     out = rows.join(forms, ["__side", "first", "last", "org"], "left")
     alone = F.xxhash64(F.lit("alone"), id)
     return out.select(*[c for c in rows.columns if c not in ("__side", "org")], F.coalesce("home", "org").alias("org"), F.coalesce("person", alone).alias("person"))

