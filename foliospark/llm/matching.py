@@ -35,11 +35,10 @@ def year(text: Column) -> Column:
     return F.try_to_number(F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), _YEAR, 1), F.lit("")), F.lit("9999")).cast("int")
 
 
-def ranked(df: DataFrame, key: Column) -> DataFrame:
-    """Add `rank`, the place of each row by `key`, by sorting in ranges; only
+def ranked(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add `rank`, the place of each row in order, by sorting in ranges; only
     the number of rows of each range comes to the driver."""
-    part = df.withColumn("__key", key)
-    part = part.repartitionByRange("__key", "id").sortWithinPartitions("__key", "id")
+    part = df.repartitionByRange(*order).sortWithinPartitions(*order)
     part = part.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     part = checkpointed(part)
     sizes = {r["__part"]: r["n"] for r in part.groupBy("__part").agg(F.count("*").alias("n")).collect()}
@@ -48,20 +47,22 @@ def ranked(df: DataFrame, key: Column) -> DataFrame:
         pairs += [F.lit(p), F.lit(total)]
         total += sizes[p]
     start = F.create_map(*pairs)[F.col("__part")] if pairs else F.lit(0)
-    return part.withColumn("rank", start + F.col("__at")).drop("__key", "__part", "__at")
+    return part.withColumn("rank", start + F.col("__at")).drop("__part", "__at")
 
 
-def neighbours(entities: DataFrame, key: Column, window: int = WINDOW) -> DataFrame:
+def neighbours(entities: DataFrame, keys: list[Column], window: int = WINDOW) -> DataFrame:
     """left, right: ids of entities of different sides (0 and 1) at most
-    `window` places apart by the key. Buckets of places overlap by a window,
-    so that no window is cut and none gathers more than a bucket."""
-    placed = ranked(entities.select("id", "side", *sorted({"first", "last", "org"})), key).select("id", "side", "rank")
+    `window` places apart by any of the keys. All orders are sorted in one
+    pass, one after the other. Buckets of places overlap by a window, so that
+    no window is cut and none gathers more than a bucket."""
+    every = F.posexplode(F.array(*keys)).alias("order", "key")
+    placed = ranked(entities.select("id", "side", every), ["order", "key", "id"]).select("id", "side", "order", "rank")
     at = F.floor(F.col("rank") / BUCKET)
     ahead = F.when((F.col("rank") % BUCKET < window) & (at > 0), F.array(at - 1, at)).otherwise(F.array(at))
     placed = placed.withColumn("bucket", F.explode(ahead))
     w = Window.partitionBy("bucket").orderBy("rank").rowsBetween(1, window)
-    pairs = placed.withColumn("near", F.collect_list(F.struct("id", "side")).over(w))
-    pairs = pairs.select("id", "side", F.explode("near").alias("other")).where("side <> other.side")
+    pairs = placed.withColumn("near", F.collect_list(F.struct("id", "side", "order")).over(w))
+    pairs = pairs.select("id", "side", "order", F.explode("near").alias("other")).where("side <> other.side and order = other.order")
     left = F.when(F.col("side") == 0, F.col("id")).otherwise(F.col("other.id"))
     right = F.when(F.col("side") == 0, F.col("other.id")).otherwise(F.col("id"))
     return pairs.select(left.alias("left"), right.alias("right")).distinct()
@@ -201,13 +202,10 @@ def matches(speakers: DataFrame, register: DataFrame) -> DataFrame:
         F.concat_ws("|", "last", "first", "org"), F.concat_ws("|", "org", "first", "last"),
         F.concat_ws("|", "first", "last", "org"), F.concat_ws("|", "first", F.reverse("last"), "org"),
     )
-    pairs = None
-    for key in keys:
-        near = neighbours(entities, key)
-        pairs = near if pairs is None else pairs.unionByName(near)
+    pairs = neighbours(entities, list(keys))
     fields = ["first", "last", "org", "from", "until", "born", "died"]
     sides = [entities.select(F.col("id").alias(n), *[F.col(c).alias(f"{n[0]}_{c}") for c in fields]) for n in ("left", "right")]
-    pairs = pairs.distinct().join(sides[0], "left").join(sides[1], "right").withColumn("confidence", confidence())
+    pairs = pairs.join(sides[0], "left").join(sides[1], "right").withColumn("confidence", confidence())
     pairs = checkpointed(pairs.where(F.col("confidence") >= LEAST).select("left", "right", "confidence"))
     best = assigned(pairs)
     best = best.join(left.select(F.col("id").alias("left"), F.col("source").alias("person")), "left")

@@ -160,10 +160,10 @@ def name_vector(idf: np.ndarray, first: str, last: str) -> tuple[np.ndarray, np.
     return at, w / np.sqrt((w**2).sum())
 
 
-def vectors(df: DataFrame, fields: list[str], vector, least: float, smooth: float = 0.0) -> DataFrame:
+def vectors(df: DataFrame, fields: list[str], vector, *least: float, smooth: float = 0.0) -> DataFrame:
     """Add `at` and `w`, the vector of the fields with its rarest n-grams
-    first, and `k`, how many of these a vector of cosine `least` must share
-    one of. Rarity is counted over all rows of df, in BUCKETS buckets."""
+    first, and `k` (an array, one for each `least`), how many of these a vector
+    of that cosine must share one of. Rarity is counted over all rows of df, in BUCKETS buckets."""
     spark = df.sparkSession
 
     def buckets(*s: pd.Series) -> pd.Series:
@@ -183,10 +183,10 @@ def vectors(df: DataFrame, fields: list[str], vector, least: float, smooth: floa
             order = np.lexsort((at, -idf[at]))
             at, w = at[order], w[order]
             left = 1 - np.concatenate([[0], np.cumsum(w**2)[:-1]])
-            out.append((at.astype(np.int32), w.astype(np.float32), int((left >= (least - 1e-6) ** 2).sum())))
+            out.append((at.astype(np.int32), w.astype(np.float32), [int((left >= (x - 1e-6) ** 2).sum()) for x in least]))
         return pd.DataFrame(out, columns=["at", "w", "k"])
 
-    made = F.pandas_udf(build, "at array<int>, w array<float>, k int")(*fields)
+    made = F.pandas_udf(build, "at array<int>, w array<float>, k array<int>")(*fields)
     return df.withColumn("__v", made).select(*df.columns, "__v.at", "__v.w", "__v.k")
 
 
@@ -208,12 +208,12 @@ def _cosines(at_a: pd.Series, w_a: pd.Series, at_b: pd.Series, w_b: pd.Series) -
     return pd.Series(np.bincount(ka[met] // BUCKETS, wa[met] * wb[to[met]], len(at_a)))
 
 
-def similar(left: DataFrame, right: DataFrame | None, least: float) -> DataFrame:
+def similar(left: DataFrame, right: DataFrame | None, least: float, nth: int = 0) -> DataFrame:
     """a, b, cosine of all pairs of one block whose cosine is at least `least`,
-    from tables (id, block, at, w, k), an id being in as many blocks as it has
+    from tables (id, block, at, w, k; `nth` says which k is for `least`), an id being in as many blocks as it has
     rows; without `right` the pairs a < b within `left`. N-grams in more than HOT rows are spread
     over SALTS tasks."""
-    prefix = lambda df, name: df.select(F.col("id").alias(name), "block", F.explode(F.slice("at", 1, F.col("k"))).alias("g"))
+    prefix = lambda df, name: df.select(F.col("id").alias(name), "block", F.explode(F.slice("at", 1, F.col("k")[nth])).alias("g"))
     a, b = prefix(left, "a"), prefix(left if right is None else right, "b")
     hot = b.groupBy("block", "g").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("block", "g", F.lit(SALTS).alias("salts"))
     salted = lambda df: df.join(hot, ["block", "g"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
@@ -231,12 +231,35 @@ def similar(left: DataFrame, right: DataFrame | None, least: float) -> DataFrame
 # --- groups ---------------------------------------------------------------------------
 
 
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges of a partition as stars: each node with the least of those it is
+    connected to there."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+            root.setdefault(a, a)
+            root.setdefault(b, b)
+            p, q = find(a), find(b)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+    nodes = list(root)
+    yield pd.DataFrame({"a": np.array(nodes, np.int64), "b": np.array([find(x) for x in nodes], np.int64)})
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """id, component (the least id) of all nodes of the edges (a, b); labels
-    spread to neighbours and on to their labels until none changes."""
-    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b").distinct()
-    both = checkpointed(both)
-    labels = checkpointed(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")))
+    """id, component (the least id) of all nodes of the edges (a, b). Each
+    partition first makes stars of its edges; then labels spread to neighbours
+    and on to their labels until none changes."""
+    stars = edges.select("a", "b").repartition("a").mapInPandas(_stars, "a long, b long")
+    both = checkpointed(stars.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b").distinct())
+    labels = both.groupBy("a").agg(F.min("b").alias("label"))
     while True:
         near = both.join(labels.select(F.col("a").alias("b"), F.col("label").alias("l")), "b").groupBy("a").agg(F.min("l").alias("l"))
         new = labels.join(near, "a").select("a", F.least("label", "l").alias("next"), "label")
@@ -420,7 +443,7 @@ def linked(rows: DataFrame, id: str, side: Column | None = None) -> DataFrame:
     rows = checkpointed(rows.withColumn("__side", (side if side is not None else F.lit(0)).cast("string")))
     forms = rows.where("last <> ''").groupBy("__side", "first", "last", "org").agg(F.count("*").alias("n"))
     forms = forms.withColumn("id", F.xxhash64("__side", "first", "last", "org"))
-    forms = vectors(forms, ["first", "last"], name_vector, NAME, SMOOTH).withColumn("whole", F.length("first") > 1)
+    forms = vectors(forms, ["first", "last"], name_vector, NAME, HOME, smooth=SMOOTH).withColumn("whole", F.length("first") > 1)
     # who can meet: two full forenames if they are equal, an initial any of its letter,
     # and so a forename met so rarely that it may be a slip
     seldom = forms.where("whole").groupBy("first").agg(F.count("*").alias("forms")).where(F.col("forms") < RARE).select("first", F.lit(True).alias("rare"))
@@ -433,7 +456,7 @@ def linked(rows: DataFrame, id: str, side: Column | None = None) -> DataFrame:
     blocks = lambda df, meets, *keys: df.withColumn("meets", F.explode(meets)).withColumn("block", F.concat_ws("|", *keys, "meets"))
     homes, homeless = forms.where("org <> ''"), forms.where("org = ''")
     # a form without a body: the only body in which the forms nearest to it stand
-    found = similar(blocks(homeless, "asks", "__side"), blocks(homes, "answers", "__side"), HOME).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home"), F.col("whole").alias("full")), "b")
+    found = similar(blocks(homeless, "asks", "__side"), blocks(homes, "answers", "__side"), HOME, 1).join(forms.select(F.col("id").alias("b"), F.col("org").alias("home"), F.col("whole").alias("full")), "b")
     found = found.join(homeless.select(F.col("id").alias("a"), "whole"), "a")
     found = found.withColumn("own", F.col("full") & F.col("whole")).groupBy("a", "home").agg(F.max(F.struct("own", "cosine")).alias("m"))
     nearest = Window.partitionBy("a")

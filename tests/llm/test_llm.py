@@ -458,7 +458,7 @@ def test_neighbours_equal_a_loop(spark, monkeypatch):
     rng = random.Random(7)
     data = [(i, i % 2, "a", "".join(rng.choice("abc") for _ in range(4)), "") for i in range(150)]
     df = spark.createDataFrame(data, "id long, side int, first string, last string, org string")
-    got = {tuple(r) for r in matching.neighbours(df, F.col("last"), 5).collect()}
+    got = {tuple(r) for r in matching.neighbours(df, [F.col("last")], 5).collect()}
     order = sorted(data, key=lambda r: (r[3], r[0]))
     want = {(a[0], b[0]) if a[1] == 0 else (b[0], a[0]) for i, a in enumerate(order) for b in order[i + 1 : i + 6] if a[1] != b[1]}
     assert got == want
