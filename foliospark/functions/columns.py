@@ -105,7 +105,7 @@ def unmarked(text: Column) -> Column:
     return F.translate(text, MARKED, PLAIN)
 
 
-def ascii_slug(text: Column, fallback: str = "untitled") -> Column:
+def ascii_slug(text: Column, fallback: str = "corpus") -> Column:
     """Lower-case ASCII letters and figures, all else one hyphen."""
     plain = F.regexp_replace(unmarked(text), r"[^\x00-\x7F]", "")
     slug = F.lower(F.regexp_replace(F.regexp_replace(plain, r"[^A-Za-z0-9]+", "-"), r"^-+|-+$", ""))
@@ -113,10 +113,12 @@ def ascii_slug(text: Column, fallback: str = "untitled") -> Column:
 
 
 def short_slug(text: Column, limit: int = 28) -> Column:
-    """A slug of bounded length; a cut one ends with eight digits of a hash."""
-    slug = ascii_slug(text)
+    """A slug of bounded length without the text's leading number, `document`
+    for nothing; a cut one ends with eight digits of a hash of the whole slug."""
+    bare = F.regexp_replace(text, r"^\s*\d+\s*[.)\-]?\s*", "")
+    slug = ascii_slug(bare, "document")
     head = F.regexp_replace(F.left(slug, F.lit(limit - 9)), "-+$", "")
-    return F.when(F.length(slug) <= limit, slug).otherwise(F.concat(head, F.lit("-"), F.left(F.sha1(F.encode(text, "UTF-8")), F.lit(8))))
+    return F.when(F.length(slug) <= limit, slug).otherwise(F.concat(head, F.lit("-"), F.left(F.sha1(F.encode(slug, "UTF-8")), F.lit(8))))
 
 
 def xml_id(text: Column, prefix: str = "id") -> Column:
@@ -128,30 +130,39 @@ def xml_id(text: Column, prefix: str = "id") -> Column:
     return F.when(clean == "", prefix).when(clean.rlike(r"^[\p{L}_]"), clean).otherwise(F.concat(F.lit(prefix + "-"), clean))
 
 
+#: Characters that may not stand in XML.
+UNFIT = r"[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
+
+
 def xml_safe(text: Column) -> Column:
-    """Control characters that XML forbids, as visible tokens."""
-    forbidden = [i for i in range(32) if i not in (9, 10, 13)]
-    for i in forbidden:
-        text = F.replace(text, F.lit(chr(i)), F.lit(f"[U+{i:04X}]"))
-    return text
+    """Characters that XML forbids, as visible tokens (`[U+0001]`)."""
+    token = lambda c: F.concat(F.lit("[U+"), F.lpad(F.hex(F.ascii(c)), F.lit(4), F.lit("0")), F.lit("]"))
+    shown = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike(f"^{UNFIT}$"), token(c)).otherwise(c)), "")
+    return F.when(text.rlike(UNFIT), shown).otherwise(text)
 
 
 def safe_component(text: Column, limit: int = 100) -> Column:
     """A file name part: forbidden signs as hyphens, reserved names marked, a
     long one cut and ended with ten digits of a hash."""
     clean = F.regexp_replace(F.regexp_replace(text, r'[\x00-\x1f<>:"/\\|?*]', "-"), r"[ .]+$", "")
+    clean = F.coalesce(F.nullif(F.trim(clean), F.lit("")), F.lit("document"))
     clean = F.when(F.upper(F.substring_index(clean, ".", 1)).rlike(r"^(CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9])$"), F.concat(F.lit("_"), clean)).otherwise(clean)
-    cut = F.concat(F.regexp_replace(F.left(clean, F.lit(limit - 11)), r"[ .]+$", ""), F.lit("-"), F.left(F.sha1(F.encode(text, "UTF-8")), F.lit(10)))
+    cut = F.concat(F.regexp_replace(F.left(clean, F.lit(limit - 11)), r"[ .]+$", ""), F.lit("-"), F.left(F.sha1(F.encode(clean, "UTF-8")), F.lit(10)))
     return F.when(F.length(clean) > limit, cut).otherwise(clean)
 
 
+def two_digits(number: Column) -> Column:
+    """At least two digits; longer numbers stay whole."""
+    return F.when(F.length(number) < 2, F.lpad(number, F.lit(2), F.lit("0"))).otherwise(number)
+
+
 def folder_key(label: Column) -> Column:
     """`3. name (1950-1954)` as `name-03`: the leading number as a suffix of
     two digits, a range of years at the end dropped."""
     bare = F.regexp_replace(label, r"\s*\(\s*\d{4}\s*[-–]\s*\d{4}\s*\)\s*$", "")
     number = F.regexp_extract(bare, r"^\s*(\d+)\s*[.)\-]\s*", 1)
     name = ascii_slug(F.regexp_replace(bare, r"^\s*\d+\s*[.)\-]\s*", ""))
-    return F.when(number == "", name).otherwise(F.concat(name, F.lit("-"), F.lpad(number, F.lit(2), F.lit("0"))))
+    return F.when(number == "", name).otherwise(F.concat(name, F.lit("-"), two_digits(number)))
 
 
 def file_stem(path: Column) -> Column:
@@ -164,7 +175,7 @@ def component_stem(prefix: str, code: str, path: Column, date: Column) -> Column
     a date, a slug where the file name has no leading number."""
     folder = F.regexp_extract(path, r"(?:^|/)([^/]+)/[^/]*$", 1)
     number = F.regexp_extract(file_stem(path), r"^\s*(\d+)", 1)
-    last = F.when(number == "", short_slug(file_stem(path))).otherwise(F.lpad(number, F.lit(2), F.lit("0")))
+    last = F.when(number == "", short_slug(file_stem(path))).otherwise(two_digits(number))
     return F.concat_ws(
         "-", F.concat(F.lit(f"{prefix}-{code.upper()}_"), F.coalesce(date.cast("string"), F.lit("undated"))), folder_key(folder), last
     )

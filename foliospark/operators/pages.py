@@ -10,13 +10,15 @@ from ..functions.columns import is_upper, squeezed
 DEFAULT_SIZE = 10.0
 
 # Words of sessions, agenda, appendix and footers, as patterns.
-SESSION = r"(?iuU)\b\d{1,3}\.\s*(?:(?:iz)?redn\w+\s+|skupn\w+\s+|zajedn\w+\s+)?(?:sej\w*|sednic\w*|sjednic\w*|zasedanj\w*|zasjedanj\w*)\b"
-DEBATE = r"(?iuU)\b\d{1,3}\.\s*(?:(?:iz)?redn\w+\s+|skupn\w+\s+|zajedn\w+\s+)?(?:sej\w*|sednic\w*|sjednic\w*)\b"
-CUE = r"(?uU)^\p{Lu}(?iu:redsed\w+|redsjed\w+|odpredsed\w+)\b[^:]{0,70}:"
-AGENDA = r"(?iuU)^\s*\d{1,3}\.\s*(?:točka dnevnega reda|točka dnevnog reda|tačka dnevnog reda)\b"
+SEJA, SEDNICA, ZASEDANJE = r"SEJ(?:A|E|I|O|AH|AMI)?", r"S(?:JED|ED)NIC(?:A|E|I|O|U|OM|AMA)?", r"ZAS(?:JED|ED)ANJ(?:E|A|U|EM|IMA)?"
+KIND = r"(?:(?:izredn\w*|redn\w*|skupn\w*|zajedni\w*)\s+)?"
+SESSION = rf"(?iuU)\b\d+\.\s*{KIND}(?:{SEJA}|{SEDNICA}|{ZASEDANJE})\b"
+DEBATE = rf"(?iuU)\b(?:{SEJA}|{SEDNICA})\b"
+CUE = r"(?iuU)^(?:pred?sedni[kc]\w*|podpredsedni\w*|potpredsedni\w*|predsedujo\S+|predsedava\w*)\s+(?:dr\.?\s+)?\S.{0,70}:\s*"
+AGENDA = r"(?iuU)^\s*\d+\.\s*(?:TOČK[AE]|TAČK[AE])\s+(?:DNEVNEGA|DNEVNOG)\s+REDA\b"
 APPENDIX = r"(?uU)^PRILOG[EIA]?\b"
-INDEX = r"(?uU)^SEZNAM GOVORNIKOV\b"
-FOOTER = r"(?iuU)^\s*\d*\s*[s5]t\.\s*(?:beležk|zapi[s5])\w*"
+INDEX = r"(?iuU)^SEZNAM\s+GOVORNIKOV\b"
+FOOTER = r"(?iuU)^(?:\d+\s+)?(?:st|[šs]t)\.?\s+(?:bele[žšz]k\w*|zapis\w*)\b"
 ROMAN = r"^\s*[IVXLCDM]+\.?\s*$"
 
 
@@ -88,7 +90,7 @@ def page_marks(lines: DataFrame, by: list[str], text: str) -> DataFrame:
     t = F.col(text)
     any_ = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
     return lines.groupBy(*by).agg(
-        any_(t.rlike(SESSION)).alias("session"), any_(t.rlike(DEBATE)).alias("debate"), any_(t.rlike(CUE)).alias("cue"),
+        any_(t.rlike(SESSION)).alias("session"), any_(t.rlike(SESSION) & t.rlike(DEBATE)).alias("debate"), any_(t.rlike(r"^\p{Lu}") & t.rlike(CUE)).alias("cue"),
         any_(t.rlike(INDEX)).alias("index"), any_(t.rlike(APPENDIX)).alias("appendix"), any_(is_upper(t) & t.rlike(AGENDA)).alias("agenda"),
     )
 

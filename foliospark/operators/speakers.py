@@ -58,28 +58,31 @@ def merged_mapping(mapping: DataFrame, ref: str, label: str, ord: Column, by: li
 
 
 def alias_clusters(refs: DataFrame, doc: str, ref: str, ord: str, least: float = 0.9) -> DataFrame:
-    """doc, ref, leader: refs of a document grouped in order - each joins the
-    most similar leader of nearly the same length, or leads. A greedy pass
-    over the distinct refs of one document."""
-    kinds = dict(refs.dtypes)
-
-    def lead(part: pd.DataFrame) -> pd.DataFrame:
-        leaders: list[tuple[str, str]] = []
-        rows = []
-        for d, r in part.sort_values(ord)[[doc, ref]].itertuples(index=False):
-            key, best, leader = _key(r), 0.0, None
-            for k, name in leaders:
-                if k == key:
-                    best, leader = 1.0, name
-                elif len(key) >= 7 and abs(len(k) - len(key)) <= 2 and (s := difflib.SequenceMatcher(None, key, k, False).ratio()) >= max(least, best + 1e-12):
-                    best, leader = s, name
-            if leader is None:
-                leaders.append((key, r))
-            rows.append((d, r, leader or r))
-        return pd.DataFrame(rows, columns=[doc, ref, "leader"])
-
-    distinct = refs.where(F.col(ref).isNotNull()).groupBy(doc, ref).agg(F.min(ord).alias(ord))
-    return distinct.groupBy(doc).applyInPandas(lead, f"{doc} {kinds[doc]}, {ref} string, leader string")
+    """doc, ref, leader: refs of a document under the best ref that is spelled
+    alike: the most frequent, then the least noisy, then the first.
+
+    Two refs are alike if their keys are equal, or of seven letters at least,
+    at most two apart in length and at least so similar. Candidates share one
+    of the thirds of their keys or the keys' ends (a similarity self-join by
+    equality; no pass over all refs of a document). A ref follows its best
+    alike, and that one its own, so that short chains end at one leader.
+    """
+    kind = dict(refs.dtypes)[doc]
+    counted = refs.where(F.col(ref).isNotNull()).groupBy(doc, ref).agg(F.count("*").alias("n"), F.min(ord).alias("first"))
+    counted = counted.withColumn("key", comparison_key(F.col(ref)))
+    rank = F.struct((-F.col("n")).alias("n"), label_noise(F.col(ref)).alias("noise"), F.col("first").alias("first"), F.col(ref).alias("ref"))
+    size = F.length("key")
+    part = lambda i: F.substring(F.col("key"), (F.floor(size * i / 3) + 1).cast("int"), F.floor(size / 3).cast("int"))
+    marks = F.when(size < 7, F.array("key")).otherwise(F.array_distinct(F.array("key", *[part(i) for i in range(3)], F.left("key", F.lit(4)), F.right("key", F.lit(4)))))
+    spread = counted.select(doc, "key", rank.alias("rank"), F.explode(marks).alias("mark"))
+    other = spread.select(F.col(doc).alias("__d"), F.col("mark").alias("__m"), F.col("key").alias("other"), F.col("rank").alias("better"))
+    pairs = spread.join(other, (F.col(doc) == F.col("__d")) & (F.col("mark") == F.col("__m")) & (F.col("better") < F.col("rank")))
+    pairs = pairs.select(doc, "rank.ref", "key", "other", "better").distinct()
+    near = (F.col("key") == F.col("other")) | ((F.length("key") >= 7) & (F.length("other") >= 7) & (F.abs(F.length("key") - F.length("other")) <= 2) & (similarity(F.col("key"), F.col("other")) >= least))
+    best = pairs.where(near).groupBy(doc, "ref").agg(F.min("better")["ref"].alias("leader"))
+    far = best.select(F.col(doc), F.col("ref").alias("leader"), F.col("leader").alias("far"))
+    best = best.join(far, [doc, "leader"], "left").select(doc, F.col("ref").alias(ref), F.coalesce("far", "leader").alias("leader"))
+    return counted.select(F.col(doc).cast(kind), ref).join(best, [doc, ref], "left").select(doc, ref, F.coalesce("leader", ref).alias("leader"))
 
 
 def list_person(speakers: DataFrame, by: list[str], ref: str, label: str) -> DataFrame:

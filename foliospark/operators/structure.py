@@ -7,7 +7,8 @@ same tree comes from windows alone (level_tree).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
@@ -19,29 +20,63 @@ NODE = "node_id long, parent_id long, ord long, depth int, kind string, tag stri
 
 class Stack:
     """Open elements of one document. Nodes are given when they open, texts
-    when they are appended; nothing closed is kept."""
+    when they are appended; nothing closed is kept. A hook, by tag and type,
+    is called with an element's text when it closes; an element of the same
+    tag and a number of its own gets an id where ids are asked for."""
 
-    def __init__(self, root: str = "body"):
+    def __init__(self, root: str = "body", hooks: dict[tuple[str, str | None], Callable] | None = None, ids: str | None = None):
         self.rows: list[tuple] = []
         self.counts: dict[str, int] = {}
         self.next, self.ord = 0, 0
         self.open: list[tuple[int, str, dict, bool]] = []
         self.filled: set[int] = set()
+        self.bodies: set[int] = set()
+        self.hooks, self.ids, self.heard, self.state = hooks or {}, ids, {}, {}
         self.push(root)
 
     def push(self, tag: str, cosmetic: bool = False, **attrs: str) -> None:
         self.counts[tag] = self.counts.get(tag, 0) + 1
+        if self.ids and "xml:id" not in attrs and self.open:
+            attrs = {"xml:id": f"{self.ids}.{tag}{self.counts[tag]}"} | attrs
+        attrs = {k: printable(v) for k, v in attrs.items() if v is not None}
         parent = self.open[-1][0] if self.open else None
         if parent is not None:
             self.filled.add(parent)
-        self.rows.append((self.next, parent, self.ord, len(self.open), "element", tag, dict(attrs), None))
+            if tag != "head":
+                self.bodies.add(parent)
+        self.rows.append((self.next, parent, self.ord, len(self.open), "element", tag, attrs, None))
         self.open.append((self.next, tag, attrs, cosmetic))
+        if (tag, attrs.get("type")) in self.hooks:
+            self.heard[self.next] = []
         self.next += 1
         self.ord += 1
 
     def pop(self) -> None:
         if len(self.open) > 1:
-            self.filled.discard(self.open.pop()[0])
+            node, tag, attrs, _ = self.open.pop()
+            self.filled.discard(node)
+            self.bodies.discard(node)
+            if node in self.heard:
+                self.hooks[tag, attrs.get("type")](self, " ".join(self.heard.pop(node)))
+
+    def top(self) -> str:
+        """The tag of the innermost element that isn't cosmetic."""
+        return next((t for _, t, _, cosmetic in reversed(self.open) if not cosmetic), "")
+
+    def attribute(self, name: str) -> str | None:
+        return next((a.get(name) for _, _, a, cosmetic in reversed(self.open) if not cosmetic), None)
+
+    def within(self, tag: str, **attrs: str) -> bool:
+        return any(t == tag and all(a.get(k) == v for k, v in attrs.items()) for _, t, a, _ in self.open)
+
+    def nearest(self, tag: str, name: str) -> str | None:
+        """An attribute of the innermost open element of a tag ('' if it lacks
+        it); None without such an element."""
+        return next((a.get(name, "") for _, t, a, _ in reversed(self.open) if t == tag), None)
+
+    def has_body(self) -> bool:
+        """Whether the innermost element has children other than headings."""
+        return self.open[-1][0] in self.bodies
 
     def pop_to(self, *tags: str, invert: bool = False) -> None:
         """Close until one of the tags is on top (invert: while); the root stays."""
@@ -67,7 +102,10 @@ class Stack:
         if text:
             at = self.open[-1][0]
             lead = " " if kind == "text" and space and at in self.filled else ""
+            text = printable(text)
             self.rows.append((self.next, at, self.ord, len(self.open), kind, None, {}, lead + text))
+            if at in self.heard and kind == "text":
+                self.heard[at].append(text)
             self.filled.add(at)
             self.next += 1
             self.ord += 1
@@ -77,6 +115,14 @@ class Stack:
         self.text(text + " " if text.endswith("-") else text, kind="comment")
 
 
+_UNFIT = re.compile("[^\t\n\r\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")
+
+
+def printable(text: str) -> str:
+    """Characters that XML forbids as visible tokens."""
+    return _UNFIT.sub(lambda m: f"[U+{ord(m[0]):04X}]", str(text))
+
+
 OPERATIONS = ("push", "pop", "pop_to", "pop_push", "append", "comment")
 
 
@@ -198,15 +244,47 @@ def sequential_ids(df: DataFrame, by: list[str], order: list[str], tag: Column,
 
 
 def unique_ids(df: DataFrame, by: list[str], order: list[str], base: Column, name: str = "id") -> DataFrame:
-    """Add ids of which none occurs twice: the base, then base-2, base-3 in
-    order. A made id that is another row's base gets one more number."""
-    df = df.withColumn("__base", base)
-    w = Window.partitionBy(*by, "__base").orderBy(*order)
-    n = F.row_number().over(w)
-    df = df.withColumn("__made", F.when(n == 1, F.col("__base")).otherwise(F.concat_ws("-", "__base", n.cast("string"))))
-    clash = Window.partitionBy(*by, "__made").orderBy((F.col("__made") == F.col("__base")).desc(), *order)
-    again = F.row_number().over(clash)
-    return df.withColumn(name, F.when(again == 1, F.col("__made")).otherwise(F.concat_ws("-", "__made", again.cast("string")))).drop("__base", "__made")
+    """Add ids of which none occurs twice: in order, the base if it is free,
+    else base-2, base-3 ... up to the first that is free.
+
+    Only bases that may collide - those that repeat, or that end in a number
+    and, without such ends, equal another base - go through a fold, family by
+    family; all other rows keep their base without it. A hot base (a third of
+    all rows) is numbered by windows, unless another base could be one of its
+    numbers.
+    """
+    keys = [F.col(c) for c in by]
+    df = df.withColumn("__base", base).withColumn("__stem", F.regexp_replace(F.col("__base"), r"(?:-\d+)+$", ""))
+    family = df.groupBy(*by, "__stem").agg((F.count_distinct("__base") > 1).alias("__mixed"))
+    family = family.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate([*by, "__stem"])], "__mixed")
+    on = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate([*by, "__stem"])]
+    df = df.join(family, on, "left").select(*df.columns, F.coalesce("__mixed", F.lit(False)).alias("__mixed"))
+    n = F.row_number().over(Window.partitionBy(*by, "__base").orderBy(*order))
+    made = F.when(n == 1, F.col("__base")).otherwise(F.concat_ws("-", "__base", n.cast("string")))
+    plain = df.where(~F.col("__mixed")).withColumn(name, made)
+    out = [c for c in df.columns if not c.startswith("__")]
+    at = F.row_number().over(Window.partitionBy(*by, "__stem").orderBy(*order))
+    mixed = df.where("__mixed").withColumn("__at", at)
+    schema = mixed.select(*out).schema.add(name, "string")
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, used, after = None, set(), {}
+        for b in batches:
+            ids = []
+            for key, x in zip(zip(*[b[c] for c in by], b["__stem"]), b["__base"]):
+                if key != last:
+                    last, used, after = key, set(), {}
+                made, k = x, after.get(x, 1)
+                while made in used:
+                    k += 1
+                    made = f"{x}-{k}"
+                after[x] = k
+                used.add(made)
+                ids.append(made)
+            yield b[out].assign(**{name: ids})
+
+    streamed = mixed.repartition(*keys, F.col("__stem")).sortWithinPartitions(*by, "__stem", "__at")
+    return plain.select(*out, name).unionByName(streamed.mapInPandas(number, schema))
 
 
 def footnote_ids(df: DataFrame, doc: str, number: str, page: str, order: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import corpus, layout, pages, speakers, structure
 from ..streaming.incremental import sessions, windowed_counts
-from . import rules
+from . import cascade, rules, volumes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -172,6 +172,101 @@ def unmatched_samples(spark, sf_dir):
     return rules.samples(df, ["doc_id"], ["page_num", "line_idx"]).select("doc_id", "page_num", "line_idx", "text", "sample")
 
 
+# --- rule sets ------------------------------------------------------------------------
+
+_MEASURED = ("x", "y", "x_end", "font_size", "runs", "page_width", "page_height")
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "line_profile").select("doc_id", "body_size", "styled")
+
+
+def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cascade.measured(lines(spark, sf_dir, *_MEASURED), profiles(spark, sf_dir))
+
+
+_SEJ = r"(sej(a|e|i|o|ah|ami)?|s(jed|ed)nic(a|e|i|o|u|om|ama)?|zas(jed|ed)anj(e|a|u|em|ima)?)"
+_NUMBERED = rf"[0-9]+\.\s*((izredn|redn|skupn|zajedni)[\p{{L}}\p{{N}}_]*\s+)?{_SEJ}"
+_END, _BEGIN = r"([^\p{L}\p{N}_]|$)", r"(^|[^\p{L}\p{N}_])"
+#: Measured lines (M) in SQL.
+MEASURED = rf"""P AS (SELECT doc_id, max(body_size) AS bs, max(styled) AS st FROM line_profile GROUP BY doc_id),
+  M AS (SELECT L.doc_id, L.page_num, L.line_idx, L.text, L.x, L.y, L.font_size, L.page_height, L.page_width, trim(regexp_replace(L.text, '\s+', ' ', 'g')) AS t, coalesce(P.bs, 10.0) AS body, coalesce(P.st, false) AS styled,
+    min(L.x) OVER (PARTITION BY L.doc_id, L.page_num) AS "left", coalesce(list_bool_or(list_transform(runs, lambda r: contains(lower(r.font_name), 'bold'))), false) AS bold,
+    len(list_filter(runs, lambda r: trim(r.text) <> '')) > 0 AND coalesce(list_bool_and(list_transform(list_filter(runs, lambda r: trim(r.text) <> ''), lambda r: coalesce(regexp_matches(lower(r.font_name), 'italic|oblique'), false))), false) AS italic,
+    regexp_matches(L.text, '\p{{Lu}}') AND NOT regexp_matches(L.text, '[\p{{Ll}}\p{{Lt}}]') AS upper, length(regexp_replace(regexp_extract(L.text, '^[^\p{{Ll}}]*'), '[^\p{{Lu}}]', '', 'g')) AS caps FROM L LEFT JOIN P ON L.doc_id = P.doc_id)"""
+
+
+@query(r"""WITH {LINES}, {MEASURED}, G AS (SELECT *, coalesce(bool_or(regexp_matches(t, '(?i){_BEGIN}{_NUMBERED}{_END}')) OVER (PARTITION BY doc_id, page_num), false) AS page FROM M)
+  SELECT doc_id, rule, CAST(n AS BIGINT) AS n FROM (UNPIVOT (SELECT doc_id, count(*) FILTER (page AND font_size >= 11.5) AS "SESSION_HEADING", count(*) FILTER (page AND regexp_matches(t, '^\(\s*d\..*19[0-9][0-9]\.?\s*\)\.?$')) AS "SESSION_DATE",
+    count(*) FILTER (page AND starts_with(lower(t), 'predsedoval')) AS "CHAIRMAN", count(*) FILTER (page AND regexp_matches(t, '(?i)^(Zapisnikar|Tajnik)[\p{{L}}\p{{N}}_]*\s*:')) AS "SCRIBE",
+    count(*) FILTER (page AND regexp_matches(t, '(?i)^(Začetek|Pričetek|Kačctek)\s+seje{_END}')) AS "START_TIME", count(*) FILTER (x >= "left" + 8 AND (starts_with(t, '(') OR regexp_matches(t, '(?i)^Seja\s+(je\s+)?bila{_END}'))) AS "GENERIC_NOTE",
+    count(*) FILTER (font_size BETWEEN 8.8 AND 10.6 AND y > 34 AND y < 590 AND x >= "left" + 14) AS "SEG" FROM G GROUP BY doc_id) ON * EXCLUDE (doc_id) INTO NAME rule VALUE n)""".format(LINES=LINES, MEASURED=MEASURED, _BEGIN=_BEGIN, _END=_END, _NUMBERED=_NUMBERED))
+def sessions_1957_tests(spark, sf_dir):
+    tests = {k: v for k, v in volumes.sessions_of_1957()[0].items() if k != "SPEAKER"}
+    return volumes.test_counts(volumes.prepared(measured(spark, sf_dir)), tests)
+
+
+@query(r"""WITH {LINES}, {MEASURED} SELECT doc_id, rule, CAST(n AS BIGINT) AS n FROM (UNPIVOT (SELECT doc_id, count(*) FILTER (x < 160 AND y > 640 AND upper AND starts_with(t, 'OD ')) AS "SEJA_DATE", count(*) FILTER (x < 160 AND y > 640 AND upper AND contains(t, 'SEDNICA')) AS "SEJA_NUM",
+    count(*) FILTER (x < 160 AND y > 640 AND upper) AS "SEJA_DECLARATION", count(*) FILTER (x > 200 AND x < 285 AND (starts_with(t, 'PREDSEDAVA') OR upper)) AS "CHAIRMAN", count(*) FILTER (x > 200 AND x < 285 AND (starts_with(t, 'Početak') OR italic)) AS "TIME",
+    count(*) FILTER (starts_with(t, 'SADR')) AS "CONTENTS", count(*) FILTER (x > 140 AND x < 280 AND italic) AS "GENERIC_NOTE", count(*) FILTER (ends_with(t, ':') AND length(t) < 100 AND bold) AS "SPEAKER",
+    count(*) FILTER (font_size > 10.4 AND font_size < 11.6 AND CASE WHEN page_num % 2 = 0 THEN x > 60 AND x < 90 ELSE x > 75 AND x < 105 END) AS "SEG" FROM M GROUP BY doc_id) ON * EXCLUDE (doc_id) INTO NAME rule VALUE n)""".format(LINES=LINES, MEASURED=MEASURED))
+def chamber_tests(spark, sf_dir):
+    tests = {k: v for k, v in volumes.chamber()[0].items() if not k.startswith("s_")}
+    return volumes.test_counts(volumes.prepared(measured(spark, sf_dir)), tests)
+
+
+@query(r"""WITH {LINES}, {MEASURED}, G AS (SELECT *, coalesce(page_num <> lag(page_num, 1) OVER f, false) OR coalesce(page_num <> lag(page_num, 2) OVER f, false) OR coalesce(page_num <> lag(page_num, 3) OVER f, false) AS turn,
+    coalesce(line_idx = min(CASE WHEN coalesce(NOT ((y > 724 AND y < 742) OR length(t) <= 2), false) THEN line_idx END) OVER p, false) AS top, abs(x - lag(x) OVER (PARTITION BY doc_id, page_num ORDER BY line_idx)) AS dx, abs(y - lag(y) OVER (PARTITION BY doc_id, page_num ORDER BY line_idx)) AS dy
+    FROM M WINDOW f AS (PARTITION BY doc_id ORDER BY page_num, line_idx), p AS (PARTITION BY doc_id, page_num))
+  SELECT doc_id, rule, CAST(n AS BIGINT) AS n FROM (UNPIVOT (SELECT doc_id, count(*) FILTER (turn) AS "HEADER", count(*) FILTER (y > 605 AND y < 610 AND bold) AS "SEJA_DECLARATION", count(*) FILTER (italic AND y > 590 AND y < 600) AS "TIME",
+    count(*) FILTER (starts_with(t, 'PREDSEDUJE') AND NOT italic AND x > 174) AS "CHAIRMAN", count(*) FILTER (upper AND x > 194 AND x < 360 AND top) AS "SEJA_SECTION", count(*) FILTER ((font_size = 7.0 OR (font_size > 6.9 AND font_size < 7.0)) AND regexp_matches(t, '^[0-9]+')) AS "REFERENCE_ENTRY",
+    count(*) FILTER (x > 323 AND x < 457 AND italic AND t <> '') AS "GENERIC_NOTE", count(*) FILTER (((x > 0 AND x < 55) OR (x > 271 AND x < 293)) AND caps >= 5) AS "SPEAKER",
+    count(*) FILTER (CASE WHEN dx IS NULL OR dx > 240 OR coalesce(dy > 230, false) THEN font_size > 8.9 AND font_size < 10.1 ELSE ((x >= CASE WHEN page_num <= 2 THEN 48.0 ELSE 41.0 END AND x <= 64) OR (x >= 287 AND x <= 303)) AND font_size >= 9.0 AND font_size < 10.1 END) AS "SEG" FROM G GROUP BY doc_id) ON * EXCLUDE (doc_id) INTO NAME rule VALUE n)""".format(LINES=LINES, MEASURED=MEASURED))
+def republics_tests(spark, sf_dir):
+    tests = {k: v for k, v in volumes.republics()[0].items() if not k.startswith("s_")}
+    return volumes.test_counts(volumes.prepared(measured(spark, sf_dir)), tests)
+
+
+@query(r"""WITH {LINES}, {MEASURED} SELECT doc_id, rule, CAST(n AS BIGINT) AS n FROM (UNPIVOT (SELECT doc_id, count(*) FILTER (regexp_matches(t, '(?i)^(SADR[ŽZ]AJ|VSEBINA){_END}')) AS "CONTENTS",
+    count(*) FILTER (regexp_matches(t, '(?i)^(Zapisnikar|Tajnik)[\p{{L}}\p{{N}}_]*\s*:')) AS "SCRIBE" FROM M GROUP BY doc_id) ON * EXCLUDE (doc_id) INTO NAME rule VALUE n)""".format(LINES=LINES, MEASURED=MEASURED, _END=_END))
+def cascade_marks(spark, sf_dir):
+    """Tests of the general cascade that read a line's text alone."""
+    return volumes.test_counts(measured(spark, sf_dir), {k: v for k, v in cascade.tests().items() if k in ("CONTENTS", "SCRIBE")})
+
+
+@query()
+def cascade_tests(spark, sf_dir):
+    """On how many lines of a document each test of the cascade holds."""
+    return volumes.test_counts(measured(spark, sf_dir), cascade.tests())
+
+
+@query()
+def cascade_rules(spark, sf_dir):
+    """The rule of the general cascade that each line gets."""
+    df = cascade.classified(lines(spark, sf_dir, *_MEASURED), profiles(spark, sf_dir))
+    return rules.rule_counts(df, ["doc_id"], "rule")
+
+
+@query()
+def cascade_tree(spark, sf_dir):
+    """Nodes of the trees of the general cascade."""
+    df = cascade.classified(lines(spark, sf_dir, *_MEASURED), profiles(spark, sf_dir)).select("doc_id", F.explode("nodes").alias("n"))
+    return df.select("doc_id", "n.node_id", "n.parent_id", "n.depth", "n.kind", "n.tag", F.to_json("n.attrs").alias("attrs"), "n.text")
+
+
+def _volume(name: str):
+    def run(spark, sf_dir):
+        return rules.rule_counts(volumes.classified(measured(spark, sf_dir), name), ["doc_id"], "rule")
+
+    run.__name__ = f"{name}_rules"
+    run.__doc__ = "The rule of the volume's set that each line gets."
+    return run
+
+
+for _name in volumes.SETS:
+    query()(_volume(_name))
+
+
 # --- layout --------------------------------------------------------------------------
 
 
@@ -314,11 +409,11 @@ def doc_profile(spark, sf_dir):
     return pages.document_profile(runs, "doc_id", "text", "font_name", "font_size", F.struct("page_num", "line_idx"))
 
 
-MARKS = r"""M AS (SELECT doc_id, page_num, coalesce(bool_or(regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])[0-9]{1,3}\.\s*((iz)?redn\p{L}+\s+|skupn\p{L}+\s+|zajedn\p{L}+\s+)?(sej|sednic|sjednic|zasedanj|zasjedanj)\p{L}*')), false) AS session,
-  coalesce(bool_or(regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])[0-9]{1,3}\.\s*((iz)?redn\p{L}+\s+|skupn\p{L}+\s+|zajedn\p{L}+\s+)?(sej|sednic|sjednic)\p{L}*')), false) AS debate,
-  coalesce(bool_or(regexp_matches(text, '^\p{Lu}(?i:redsed\p{L}+|redsjed\p{L}+|odpredsed\p{L}+)([^\p{L}:][^:]{0,69})?:')), false) AS cue,
-  coalesce(bool_or(regexp_matches(text, '^SEZNAM GOVORNIKOV([^\p{L}]|$)')), false) AS "index", coalesce(bool_or(regexp_matches(text, '^PRILOG[EIA]?([^\p{L}\p{N}_]|$)')), false) AS appendix,
-  coalesce(bool_or(regexp_matches(text, '\p{Lu}') AND NOT regexp_matches(text, '[\p{Ll}\p{Lt}]') AND regexp_matches(text, '(?i)^\s*[0-9]{1,3}\.\s*(točka dnevnega reda|točka dnevnog reda|tačka dnevnog reda)')), false) AS agenda FROM L GROUP BY ALL)"""
+MARKS = rf"""M AS (SELECT doc_id, page_num, coalesce(bool_or(regexp_matches(text, '(?i){_BEGIN}{_NUMBERED}{_END}')), false) AS session,
+  coalesce(bool_or(regexp_matches(text, '(?i){_BEGIN}{_NUMBERED}{_END}') AND regexp_matches(text, '(?i){_BEGIN}(sej(a|e|i|o|ah|ami)?|s(jed|ed)nic(a|e|i|o|u|om|ama)?){_END}')), false) AS debate,
+  coalesce(bool_or(regexp_matches(text, '^\p{{Lu}}') AND regexp_matches(text, '(?i)^(pred?sedni[kc][\p{{L}}\p{{N}}_]*|podpredsedni[\p{{L}}\p{{N}}_]*|potpredsedni[\p{{L}}\p{{N}}_]*|predsedujo\S+|predsedava[\p{{L}}\p{{N}}_]*)\s+(dr\.?\s+)?\S.{{0,70}}:')), false) AS cue,
+  coalesce(bool_or(regexp_matches(text, '(?i)^SEZNAM\s+GOVORNIKOV{_END}')), false) AS "index", coalesce(bool_or(regexp_matches(text, '^PRILOG[EIA]?{_END}')), false) AS appendix,
+  coalesce(bool_or(regexp_matches(text, '\p{{Lu}}') AND NOT regexp_matches(text, '[\p{{Ll}}\p{{Lt}}]') AND regexp_matches(text, '(?i)^\s*[0-9]+\.\s*(TOČK[AE]|TAČK[AE])\s+(DNEVNEGA|DNEVNOG)\s+REDA{_END}')), false) AS agenda FROM L GROUP BY ALL)"""
 
 
 @query(f"WITH {LINES}, {MARKS} SELECT * FROM M")
@@ -345,8 +440,8 @@ def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ARTIFACTS = r"""P AS (SELECT doc_id, coalesce(max(body_size), 10.0) AS body FROM line_profile GROUP BY doc_id), J AS (SELECT L.*, coalesce(body, 10.0) AS b FROM L LEFT JOIN P USING (doc_id)),
   Q AS (SELECT *, y > page_height * 0.915 AND (font_size <= b - 1 OR length(trim(text)) <= 4) AS top FROM J),
-  K AS (SELECT doc_id, page_num, line_idx, text, CASE WHEN regexp_matches(text, '^SEZNAM GOVORNIKOV([^\p{L}]|$)') THEN 'speakerIndex' WHEN top AND regexp_matches(trim(text), '^[0-9]+$') THEN 'pageNumber' WHEN top THEN 'runningHeader'
-    WHEN y < page_height * 0.085 AND font_size <= b - 1 AND regexp_matches(text, '(?i)^\s*[0-9]*\s*[s5]t\.\s*(beležk|zapi[s5])\p{L}*') THEN 'runningFooter' END AS kind FROM Q)"""
+  K AS (SELECT doc_id, page_num, line_idx, text, CASE WHEN regexp_matches(text, '(?i)^SEZNAM\s+GOVORNIKOV([^\p{L}\p{N}_]|$)') THEN 'speakerIndex' WHEN top AND regexp_matches(trim(text), '^[0-9]+$') THEN 'pageNumber' WHEN top THEN 'runningHeader'
+    WHEN y < page_height * 0.085 AND font_size <= b - 1 AND regexp_matches(text, '(?i)^([0-9]+\s+)?(st|[šs]t)\.?\s+(bele[žšz]k|zapis)[\p{L}\p{N}_]*') THEN 'runningFooter' END AS kind FROM Q)"""
 
 
 @query(f"WITH {LINES}, {ARTIFACTS} SELECT doc_id, page_num, line_idx, kind FROM K WHERE kind IS NOT NULL")
@@ -478,7 +573,7 @@ JOBS = "B AS (SELECT * FROM batch_job WHERE job_source IS NOT NULL QUALIFY row_n
 _PLAIN = f"translate(title, '{C.MARKED}', '{C.PLAIN}')"
 
 
-@query(f"""WITH {JOBS} SELECT job_source, coalesce(nullif(lower(regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), ''), 'untitled') AS slug,
+@query(f"""WITH {JOBS} SELECT job_source, coalesce(nullif(lower(regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), ''), 'corpus') AS slug,
   regexp_matches(job_group, '^[A-Za-z][A-Za-z0-9]*([._-][A-Za-z0-9]+)*$') AS good_prefix, replace(replace(title, '\\', '\\\\'), chr(10), '\\n') AS seen FROM B""")
 def identifiers(spark, sf_dir):
     return jobs(spark, sf_dir).where("job_source is not null").select("job_source", C.ascii_slug(F.col("title")).alias("slug"), C.valid_prefix(F.col("job_group")).alias("good_prefix"), C.visible(F.col("title"), 10_000).alias("seen"))

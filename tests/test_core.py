@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import columns as C
 from foliospark.operators import corpus, layout, pages, speakers, structure
 from foliospark.operators.carry import carry_last
-from foliospark.plans import rules
+from foliospark.plans import cascade, rules, volumes
 from foliospark.sources import readers, writers
 from foliospark.streaming.incremental import incremental, sessions, windowed_counts
 
@@ -39,8 +39,8 @@ def test_text_functions(spark):
         C.ascii_slug(F.col("a")), C.xml_id(F.col("a")), C.xml_safe(F.col("b")), C.squeezed(F.col("b")), C.word_count(F.col("b")), C.leading_capitals(F.col("a")),
     ).collect()
     assert tuple(got[0]) == ("clen-1", "Člen-1.", "  Đuro  Ž[U+0001] ", "Đuro Ž\x01", 2, 1)
-    assert got[1][0] == "untitled" and got[1][1] == "id" and got[1][4] == 0
-    assert got[2][0] == "untitled" and got[2][3] == ""
+    assert got[1][0] == "corpus" and got[1][1] == "id" and got[1][4] == 0
+    assert got[2][0] == "corpus" and got[2][3] == ""
 
 
 def test_selectors_are_never_null(spark):
@@ -179,6 +179,9 @@ def test_ids(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a-2"), (4, "a")], "k int, b string")
     ids = values(structure.unique_ids(df, [], ["k"], F.col("b")), "id")
     assert len(set(ids)) == 4
+    chain = [(1, "a"), (2, "a"), (3, "a-2"), (4, "a-2-2"), (5, "a"), (6, None), (7, None), (8, "b"), (9, "b")]
+    made = {r.k: r.id for r in structure.unique_ids(spark.createDataFrame(chain, "k int, b string"), [], ["k"], F.col("b")).collect()}
+    assert [made[k] for k in (1, 2, 3, 4, 5, 8, 9)] == ["a", "a-2", "a-2-2", "a-2-2-2", "a-3", "b", "b-2"]
     notes = spark.createDataFrame([("d", 1, 0, 1), ("d", 1, 1, 2), ("d", 1, 1, 3)], "doc string, number int, page int, seq int")
     assert [r.id for r in structure.footnote_ids(notes, "doc", "number", "page", ["seq"]).orderBy("seq").collect()] == ["note1", "note1-p2", "note1-p2-2"]
 
@@ -277,3 +280,80 @@ def test_headers_and_packages(spark, tmp_path):
     (tmp_path / "c/b.json").write_text("{}")
     assert writers.package(str(tmp_path / "c"), str(tmp_path / "c.zip")) == 1
     assert zipfile.ZipFile(tmp_path / "c.zip").namelist() == ["a.xml"]
+
+
+def test_numbers_of_three_digits(spark):
+    df = spark.createDataFrame([("1. sklic/123 seja.pdf",), ("1. sklic/124 seja.pdf",), ("123. sklic/7 seja.pdf",)], "p string")
+    stems = [r[0] for r in df.select(C.component_stem("c", "si", F.col("p"), F.lit(None).cast("date"))).collect()]
+    assert stems == ["c-SI_undated-sklic-01-123", "c-SI_undated-sklic-01-124", "c-SI_undated-sklic-123-07"]
+    slugs = spark.createDataFrame([("12. Seja zbora",), ("***",), (None,)], "t string").select(C.short_slug(F.col("t")), C.safe_component(F.col("t"))).collect()
+    assert [r[0] for r in slugs] == ["seja-zbora", "document", "document"] and slugs[2][1] == "document"
+
+
+def test_xml_safe_covers_all_unfit_characters(spark):
+    df = spark.createDataFrame([("a\x0bb\ufffec\uffffd\t\U0001f600",), (None,), ("",)], "t string").select(C.xml_safe(F.col("t")))
+    assert [r[0] for r in df.collect()] == ["a[U+000B]b[U+FFFE]c[U+FFFF]d\t\U0001f600", None, ""]
+    assert structure.printable("a\x0b\ufffe") == "a[U+000B][U+FFFE]"
+
+
+@pytest.mark.parametrize(
+    ("label", "person"),
+    [
+        ("Predsednik Ivan Novak", True), ("Ana Kovač, sekretar za promet", True), ("P i r n a t Jože", True), ("Predsednik vlade je predložil", False), ("Uradni list SRS", False),
+        ("Drago Sotler za člane pa", False), ("Ivan Novak; Ana Kovač", False), ("(opomba)", False), ("SKLEPI IN PREDLOGI ODBORA", False), ("g o v o r n i k", False), ("Ivan Novak, Ana Kovač in Jože Rus", False), ("", False),
+    ],
+)
+def test_person_like(spark, label, person):
+    assert spark.createDataFrame([(label,)], "l string").select(cascade.person_like(F.col("l"))).first()[0] is person
+    assert spark.createDataFrame([(None,)], "l string").select(cascade.person_like(F.col("l"))).first()[0] is False
+
+
+RUN = "array<struct<text:string,x:double,y:double,font_name:string,font_size:double,space_before:boolean>>"
+
+
+def volume(spark, *texts, doc="d"):
+    """Lines: text, or (text, x, y, size, font)."""
+    out = []
+    for i, t in enumerate(texts):
+        text, x, y, size, font = t if isinstance(t, tuple) else (t, 72.0, 700.0 - 12 * i, 10.0, "F")
+        out.append((doc, 0, i, text, x, y, None if x is None else x + 100, size, [(text, x, y, font, size, False)], 480.0, 760.0))
+    return spark.createDataFrame(out, f"doc_id string, page_num int, line_idx int, text string, x double, y double, x_end double, font_size double, runs {RUN}, page_width double, page_height double")
+
+
+def test_cascade(spark):
+    lines = volume(
+        spark, ("3. SEJA", 200.0, 680.0, 14.0, "F"), ("(23. aprila 1957)", 200.0, 660.0, 10.0, "F"), "Predsedoval je Ivan Novak", "Zapisnikar: Ana Kovač", "Začetek seje ob 9. uri",
+        "Predsednik Ivan Novak: Začenjam sejo.", "in nadaljujem", ("Nov odstavek govora.", 86.0, 560.0, 10.0, "F"), ("(Ploskanje.)", 86.0, 548.0, 10.0, "F"), "Vrsta po opombi",
+        "Ana Kovač:", "Hvala.", ("1 Glej zakon o cestah.", 72.0, 90.0, 7.0, "F"), ("nadaljevanje opombe", 72.0, 80.0, 7.0, "F"), None, "",
+    )
+    profile = spark.createDataFrame([("d", 10.0, False), ("x", None, None)], "doc_id string, body_size double, styled boolean")
+    got = [r.rule for r in cascade.classified(lines, profile).orderBy("line_idx").collect()]
+    assert got == ["HEAD", "TIME", "CHAIRMAN", "SCRIBE", "TIME", "SPEAKER", None, "SEG", "GENERIC_NOTE", "AFTER_GENERIC_NOTE", "SPEAKER", "UNMATCHED_LINE", "FOOTNOTE_ENTRY", "FOOTNOTE_CONTINUATION", None, None]
+    nodes = cascade.classified(lines, profile).select("doc_id", F.explode("nodes").alias("n")).select("doc_id", "n.*")
+    xml = structure.serialized(nodes, "doc_id").first().xml
+    root = ElementTree.fromstring(xml)
+    assert [u.get("who") for u in root.iter("u")] == ["Predsednik Ivan Novak", "Ana Kovač"]
+    assert [n.get("n") for n in root.iter("note") if n.get("place") == "foot"] == ["1"]
+    assert root.find("div").get("type") == "debateSection"
+    assert cascade.classified(lines.limit(0), profile).count() == 0
+    # in a styled volume a name in capitals at the left edge is a label without a colon
+    shouted = volume(spark, ("3. SEJA", 200.0, 680.0, 14.0, "F"), "Predsednik Ivan Novak: Začenjam.", "VESELIN DJURANOVIĆ, predsednik", "Hvala.")
+    styled = spark.createDataFrame([("d", 10.0, True)], profile.schema)
+    assert [r.rule for r in cascade.classified(shouted, styled).orderBy("line_idx").collect()][1:4] == ["SPEAKER", "SPEAKER", "SPEECH_START"]
+    # after an appendix's heading the debate is over
+    back = volume(spark, "PRILOGA", "vsebina priloge")
+    assert [r.rule for r in cascade.classified(back, profile).orderBy("line_idx").collect()][0] == "APPENDIX_HEAD"
+
+
+def test_rule_sets_of_volumes(spark):
+    profile = spark.createDataFrame([], "doc_id string, body_size double, styled boolean")
+    old = volume(spark, ("2. SEJA", 200.0, 500.0, 12.0, "F"), ("( d. 3. maja 1957 )", 200.0, 480.0, 10.0, "F"), "predsedoval Ivan Novak", "Tajnik: Ana", "Začetek seje ob devetih", ("(Opomba)", 90.0, 400.0, 9.0, "F"), ("Ivan Novak: Hvala.", 72.0, 380.0, 9.0, "F"), ("govor", 90.0, 360.0, 9.0, "F"))
+    rule = lambda df, name: [r.rule for r in volumes.classified(cascade.measured(df, profile), name).orderBy("line_idx").collect()]
+    assert rule(old, "sessions_of_1957") == ["SESSION_HEADING", "SESSION_DATE", "CHAIRMAN", "SCRIBE", "START_TIME", "GENERIC_NOTE", "SPEAKER", "SEG"]
+    hall = volume(spark, ("OD 3. MAJA", 100.0, 700.0, 12.0, "F"), ("4. SEDNICA", 100.0, 690.0, 12.0, "F"), ("ZBOR", 100.0, 680.0, 12.0, "F"), ("PREDSEDAVA NOVAK", 220.0, 600.0, 11.0, "F"), ("Početak u 9", 220.0, 590.0, 11.0, "F"), ("smeh", 150.0, 585.0, 11.0, "F-Italic"), ("SADRŽAJ", 50.0, 580.0, 9.0, "F"), ("stavka", 50.0, 570.0, 9.0, "F"))
+    assert rule(hall, "chamber") == ["SEJA_DATE", "SEJA_NUM", "SEJA_DECLARATION", "CHAIRMAN", "TIME", "GENERIC_NOTE", "CONTENTS", "CONTENTS"]
+    house = volume(spark, ("7. seja", 200.0, 607.0, 12.0, "F-Bold"), ("zbora", 200.0, 570.0, 12.0, "F-Bold"), ("ob 9", 200.0, 595.0, 10.0, "F-Italic"), ("PREDSEDUJE Novak", 180.0, 580.0, 10.0, "F"), ("in Kovač", 180.0, 570.0, 10.0, "F"), ("1 opomba", 50.0, 100.0, 7.0, "F"), ("smeh", 330.0, 90.0, 10.0, "F-Italic"), ("IVAN NOVAK", 50.0, 80.0, 9.5, "F"), ("govor", 50.0, 70.0, 9.5, "F"))
+    assert rule(house, "republics") == ["SEJA_DECLARATION", "SEJA_DECLARATION", "TIME", "CHAIRMAN", "CHAIRMAN", "REFERENCE_ENTRY", "GENERIC_NOTE", "SPEAKER", "SEG"]
+    runs = [("p", 0, 0, "Seja", 5000.0, True, False, False, "left", None), ("p", 1, 0, "ob 9", 5000.0, False, True, False, "left", None), ("p", 2, 0, "Predseduje N", 5000.0, False, False, False, "left", None), ("p", 3, 0, "1", 1000.0, False, False, True, "left", None), ("p", 4, 0, "smeh", 1000.0, False, True, False, "center", None), ("p", 5, 0, "NOVAK:", 1000.0, False, False, False, "left", 0.0), ("p", 6, 0, "govor", 1000.0, False, False, False, "left", 200.0)]
+    word = spark.createDataFrame([(a, b, c, d, x, 1.0, 100.0, 9.0, e, f, g, h, i, None) for a, b, c, d, x, e, f, g, h, i in runs], readers.DOCX_RUNS)
+    assert [r.rule for r in volumes.classified_runs(word).orderBy("para").collect()] == ["SEJA_DECLARATION", "TIME", "CHAIRMAN", "REFERENCE_ENTRY", "GENERIC_NOTE", "SPEAKER", "SEG"]
