@@ -205,6 +205,45 @@ def valid_prefix(text: Column) -> Column:
     return text.rlike(r"^[A-Za-z][A-Za-z0-9]*([._-][A-Za-z0-9]+)*$")
 
 
+def title_case(text: Column) -> Column:
+    """Capitals after everything that is no letter, small letters else."""
+    chars = F.split(text, "")
+    pairs = F.arrays_zip(chars.alias("c"), F.concat(F.array(F.lit(" ")), chars).alias("before"))
+    cased = F.transform(F.filter(pairs, lambda p: p["c"].isNotNull()), lambda p: F.when(p["before"].rlike(r"^\p{L}$"), F.lower(p["c"])).otherwise(F.upper(p["c"])))
+    return F.array_join(cased, "")
+
+
+def casefold(text: Column) -> Column:
+    """For comparing without regard to case: capitals first, so that ß is ss."""
+    return F.lower(F.upper(text))
+
+
+def word_core(word: Column) -> Column:
+    return F.regexp_replace(word, r"[^0-9A-Za-zČŠŽĆĐčšžćđ]", "")
+
+
+def compact_qualifier(text: Column) -> Column:
+    """Whether the first brackets hold one to four letters and figures."""
+    inside = F.length(F.regexp_replace(F.regexp_extract(text, r"\(([^)]*)\)", 1), r"[^\p{L}\p{N}]", ""))
+    return holds(inside.between(1, 4))
+
+
+def collapsed_letters(text: Column) -> Column:
+    """Words of letters set apart joined: a run of three tokens at least, of one
+    or two letters each, two of them single. A capital after a small letter, and
+    what follows `dr`, begins a word."""
+    tokens = F.transform(F.filter(F.split(text, r"(?U)\s+"), lambda t: t != ""), lambda t: F.struct(t.alias("t"), word_core(t).alias("c")))
+    short = lambda x: F.length(x["c"]).between(1, 2)
+    empty = F.expr("cast(array() as array<struct<t:string,c:string>>)")
+    runs = F.aggregate(tokens, F.struct(F.expr("cast(array() as array<array<struct<t:string,c:string>>>)").alias("done"), empty.alias("run")), lambda s, x: F.when(
+        short(x), F.struct(s["done"].alias("done"), F.array_append(s["run"], x).alias("run"))).otherwise(F.struct(
+            F.array_append(F.when(F.size(s["run"]) > 0, F.array_append(s["done"], s["run"])).otherwise(s["done"]), F.array(x)).alias("done"), empty.alias("run"))))
+    every = F.when(F.size(runs["run"]) > 0, F.array_append(runs["done"], runs["run"])).otherwise(runs["done"])
+    spelled = lambda r: (F.size(r) >= 3) & (F.size(F.filter(r, lambda x: F.length(x["c"]) == 1)) >= 2)
+    word = lambda r: F.regexp_replace(F.regexp_replace(F.array_join(F.transform(r, lambda x: x["c"]), ""), r"(?iu)^(dr)(?=\p{L}{2})", "$1 "), r"(?<=\p{Ll})(?=\p{Lu})", " ")
+    return F.array_join(F.transform(every, lambda r: F.when(spelled(r), word(r)).otherwise(F.array_join(F.transform(r, lambda x: x["t"]), " "))), " ")
+
+
 # --- dates ----------------------------------------------------------------------
 
 # Month names, by language.

@@ -27,9 +27,11 @@ def fingerprint(*columns: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns]), 256)
 
 
-def pending(jobs: DataFrame, done: DataFrame, key: str = "source", finished: tuple[str, ...] = ("ok", "recovered")) -> DataFrame:
-    """Jobs that no finished job with the same fingerprint has done."""
-    have = done.where(F.col("status").isin(*finished)).select(key, "fingerprint").distinct()
+def pending(jobs: DataFrame, done: DataFrame, key: str = "source", finished: tuple[str, ...] = ("ok", "recovered"), written: str | None = None) -> DataFrame:
+    """Jobs that no finished job with the same fingerprint has done; `written`
+    names a column of done that tells whether its outputs are there."""
+    have = done.where(F.col("status").isin(*finished))
+    have = (have.where(F.col(written)) if written else have).select(key, "fingerprint").distinct()
     return jobs.join(have, [key, "fingerprint"], "left_anti")
 
 

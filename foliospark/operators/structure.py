@@ -253,7 +253,7 @@ def unique_ids(df: DataFrame, by: list[str], order: list[str], base: Column, nam
     all rows) is numbered by windows, unless another base could be one of its
     numbers.
     """
-    keys = [F.col(c) for c in by]
+    keys, out = [F.col(c) for c in by], df.columns
     df = df.withColumn("__base", base).withColumn("__stem", F.regexp_replace(F.col("__base"), r"(?:-\d+)+$", ""))
     family = df.groupBy(*by, "__stem").agg((F.count_distinct("__base") > 1).alias("__mixed"))
     family = family.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate([*by, "__stem"])], "__mixed")
@@ -262,7 +262,6 @@ def unique_ids(df: DataFrame, by: list[str], order: list[str], base: Column, nam
     n = F.row_number().over(Window.partitionBy(*by, "__base").orderBy(*order))
     made = F.when(n == 1, F.col("__base")).otherwise(F.concat_ws("-", "__base", n.cast("string")))
     plain = df.where(~F.col("__mixed")).withColumn(name, made)
-    out = [c for c in df.columns if not c.startswith("__")]
     at = F.row_number().over(Window.partitionBy(*by, "__stem").orderBy(*order))
     mixed = df.where("__mixed").withColumn("__at", at)
     schema = mixed.select(*out).schema.add(name, "string")

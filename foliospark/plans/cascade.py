@@ -81,11 +81,6 @@ def person_like(label: Column) -> Column:
     return C.all_of(label.isNotNull(), ~refused, ~spelled, ~shouted, F.when(is_titled, office).otherwise(plain))
 
 
-def collapsed_letters(text: Column) -> Column:
-    """Letters set apart (`K o z a k`) as one word: runs of three and more."""
-    return F.regexp_replace(text, r"(?<=(?<!\S)[\p{L}])\s(?=\p{L}(?!\S))(?=(?:\S\s)*\S(?!\S))", "")
-
-
 def tabular_labels(lines: DataFrame, by: list[str], id: str, y: str, x: str, width: Column, text: str) -> DataFrame:
     """Add `tabular`: a line that ends in a colon beside another line on its
     level further right, as labels in tables do."""

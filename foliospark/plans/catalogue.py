@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import corpus, layout, pages, speakers, structure
+from ..operators import corpus, footnotes, headers, jobs as batch, layout, pages, speakers, structure
 from ..streaming.incremental import sessions, windowed_counts
 from . import cascade, rules, volumes
 
@@ -379,12 +379,41 @@ def word_lines(spark, sf_dir):
     return layout.word_lines(character_runs(spark, sf_dir), ["doc_id", "page_num"], "run_id", "y0", "font_size")
 
 
-@query(f"""WITH {LINES}, U AS (SELECT doc_id, page_num, line_idx, unnest(runs) AS r, generate_subscripts(runs, 1) - 1 AS i FROM L), D AS (SELECT *, coalesce(regexp_matches(trim(r.text), '^[0-9]+$'), false) AS d FROM U),
+@query(f"""WITH {LINES}, P AS (SELECT doc_id, max(body_size) AS body FROM line_profile GROUP BY doc_id), U AS (SELECT doc_id, page_num, line_idx, unnest(runs) AS r, generate_subscripts(runs, 1) - 1 AS i FROM L),
+  D AS (SELECT U.*, coalesce(regexp_matches(trim(r.text), '^[0-9]+$') AND r.font_size <= coalesce(body, 10.0), false) AS d FROM U LEFT JOIN P USING (doc_id)),
   C AS (SELECT *, d IS DISTINCT FROM lag(d) OVER w AND row_number() OVER w > 1 AS c FROM D WINDOW w AS (PARTITION BY doc_id, page_num, line_idx ORDER BY i)), S AS (SELECT *, sum(CAST(c AS INTEGER)) OVER (PARTITION BY doc_id, page_num, line_idx ORDER BY i) AS g FROM C)
   SELECT doc_id, page_num, line_idx, CAST(min(i) AS INTEGER) AS i, string_agg(trim(r.text), '' ORDER BY i) AS number FROM S WHERE d GROUP BY doc_id, page_num, line_idx, g""")
 def numeric_groups(spark, sf_dir):
-    runs = lines(spark, sf_dir, "runs").select("doc_id", "page_num", "line_idx", F.posexplode("runs").alias("i", "r")).select("doc_id", "page_num", "line_idx", "i", "r.text")
-    return layout.numeric_groups(runs, ["doc_id", "page_num", "line_idx"], "i", "text", F.lit(True))
+    """Figures no larger than the body's type, neighbours as one number."""
+    body = table(spark, sf_dir, "line_profile").groupBy("doc_id").agg(F.max("body_size").alias("body"))
+    runs = footnotes.exploded_runs(lines(spark, sf_dir, "runs", "page_height"), body)
+    return layout.numeric_groups(runs, ["doc_id", "page_num", "line_idx"], "i", "text", F.col("font_size") <= F.col("body"))
+
+
+@query(f"""WITH {LINES}, R AS (SELECT doc_id, page_num, line_idx, list_filter(runs, lambda r: trim(r.text) <> '') AS s, runs FROM L), U AS (SELECT doc_id, page_num, line_idx, round(x.font_size, 2) AS z, i FROM (SELECT *, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM R)),
+  M AS (SELECT doc_id, page_num, line_idx, z FROM (SELECT doc_id, page_num, line_idx, z, count(*) AS n, min(i) AS f FROM U GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY doc_id, page_num, line_idx ORDER BY n DESC, f) = 1)
+  SELECT doc_id, page_num, line_idx, list_min(list_transform(runs, lambda r: r.x)) AS x0, list_max(list_transform(runs, lambda r: r.x)) AS x1, list_transform(list_filter(s, lambda r: abs(r.font_size - z) < 0.05), lambda r: r.y)[1] AS baseline,
+  len(runs) > 0 AND coalesce(list_bool_and(list_transform(runs, lambda r: contains(lower(coalesce(r.font_name, '')), 'bold'))), false) AS bold, len(runs) > 0 AND coalesce(list_bool_and(list_transform(runs, lambda r: contains(lower(coalesce(r.font_name, '')), 'italic'))), false) AS italic
+  FROM R LEFT JOIN M USING (doc_id, page_num, line_idx)""")
+def line_boxes(spark, sf_dir):
+    """Extent, baseline and style of every line, from its runs."""
+    return lines(spark, sf_dir, "runs").select("doc_id", "page_num", "line_idx", footnotes.line_box(F.col("runs")).alias("b")).select("doc_id", "page_num", "line_idx", "b.*")
+
+
+def _marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = table(spark, sf_dir, "line_profile").groupBy("doc_id").agg((F.max("body_size") + 2.0).alias("body"))  # the volumes have no smaller figures
+    return footnotes.marks(footnotes.exploded_runs(lines(spark, sf_dir, "runs", "page_height"), body))
+
+
+@query()
+def footnote_marks(spark, sf_dir):
+    """Marks of figures on lines, with what tells references from definitions."""
+    return _marks(spark, sf_dir)
+
+
+@query()
+def footnote_definitions(spark, sf_dir):
+    return footnotes.definitions_and_references(_marks(spark, sf_dir))[0]
 
 
 # --- pages and profiles -----------------------------------------------------------------
@@ -574,9 +603,9 @@ _PLAIN = f"translate(title, '{C.MARKED}', '{C.PLAIN}')"
 
 
 @query(f"""WITH {JOBS} SELECT job_source, coalesce(nullif(lower(regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), ''), 'corpus') AS slug,
-  regexp_matches(job_group, '^[A-Za-z][A-Za-z0-9]*([._-][A-Za-z0-9]+)*$') AS good_prefix, replace(replace(title, '\\', '\\\\'), chr(10), '\\n') AS seen FROM B""")
+  regexp_matches(job_group, '^[A-Za-z][A-Za-z0-9]*([._-][A-Za-z0-9]+)*$') AS good_prefix, CASE WHEN length(z) > 12 THEN left(z, 9) || '...' ELSE z END AS seen FROM (SELECT *, replace(replace(title, '\\', '\\\\'), chr(10), '\\n') AS z FROM B)""")
 def identifiers(spark, sf_dir):
-    return jobs(spark, sf_dir).where("job_source is not null").select("job_source", C.ascii_slug(F.col("title")).alias("slug"), C.valid_prefix(F.col("job_group")).alias("good_prefix"), C.visible(F.col("title"), 10_000).alias("seen"))
+    return jobs(spark, sf_dir).where("job_source is not null").select("job_source", C.ascii_slug(F.col("title")).alias("slug"), C.valid_prefix(F.col("job_group")).alias("good_prefix"), C.visible(F.col("title"), 12).alias("seen"))
 
 
 @query()
@@ -673,11 +702,14 @@ def list_person(spark, sf_dir):
 
 
 @query("""WITH B AS (SELECT DISTINCT * FROM person_binding WHERE p IS NOT NULL) SELECT p, arg_max(p_label, (length(p_label), p_label)) AS name, min(CASE WHEN lower(sex_label) IN ('moški', 'male', 'muški') THEN 'M' WHEN lower(sex_label) IN ('ženski', 'female', 'ženska') THEN 'F' ELSE 'U' END) AS sex,
-  array_to_string(list_sort(list(DISTINCT split_part(birth, 'T', 1)) FILTER (birth IS NOT NULL)), '|') AS births, array_to_string(list_sort(list(DISTINCT occ_label) FILTER (occ_label IS NOT NULL)), '|') AS occupations, count(*) AS n FROM B GROUP BY p""")
+  array_to_string(list_sort(list(DISTINCT split_part(birth, 'T', 1)) FILTER (birth IS NOT NULL)), '|') AS births, array_to_string(list_sort(list(DISTINCT split_part(death, 'T', 1)) FILTER (death IS NOT NULL)), '|') AS deaths,
+  array_to_string(list_sort(list(DISTINCT occ_label) FILTER (occ_label IS NOT NULL)), '|') AS occupations, array_to_string(list_sort(list(DISTINCT citizen_label) FILTER (citizen_label IS NOT NULL)), '|') AS nationalities, array_to_string(list_sort(list(DISTINCT viaf) FILTER (viaf IS NOT NULL)), '|') AS viaf,
+  array_to_string(list_sort(list(DISTINCT gnd) FILTER (gnd IS NOT NULL)), '|') AS gnd, array_to_string(list_sort(list(DISTINCT isni) FILTER (isni IS NOT NULL)), '|') AS isni, count(DISTINCT (party_label, party)) AS affiliations, count(*) AS n FROM B GROUP BY p""")
 def person_records(spark, sf_dir):
     df = speakers.person_records(table(spark, sf_dir, "person_binding").distinct())
     text = lambda c: F.when(F.size(c) > 0, F.array_join(c, "|"))
-    return df.select("p", "name", "sex", text("births").alias("births"), text("occupations").alias("occupations"), "n")
+    listed = ("births", "deaths", "occupations", "nationalities", "viaf", "gnd", "isni")
+    return df.select("p", "name", "sex", *[text(c).alias(c) for c in listed], F.size("affiliations").alias("affiliations"), "n")
 
 
 @query(f"""WITH {SPOKEN}, M AS (SELECT doc_id, line_idx, CASE WHEN {RULE} = 'SPEAKER' THEN split_part(text, ':', 1) END AS s FROM T)
@@ -705,10 +737,72 @@ def subtree_rollup(spark, sf_dir):
     return corpus.rollup(sized(spark, sf_dir), "job_source", ["n_chars", "words"])
 
 
-@query(f"""WITH {_FOLDERS} SELECT own AS folder, '<extent><measure unit="texts" quantity="' || count(*) || '"/>' || CASE WHEN sum(w) > 0 THEN '<measure unit="words" quantity="' || CAST(sum(w) AS BIGINT) || '"/>' ELSE '' END || '</extent>' AS header FROM X GROUP BY own""")
+_SUBTREES = f"""{_FOLDERS}, Y AS (SELECT *, list_filter(string_split(own, '/'), lambda p: p <> '') AS parts FROM X), Z AS (SELECT *, unnest(generate_series(0, len(parts))) AS i FROM Y),
+  T AS (SELECT CASE WHEN i = 0 THEN '' ELSE array_to_string(parts[1:i], '/') END AS folder, count(*) AS texts, CAST(sum(w) AS BIGINT) AS words FROM Z GROUP BY ALL)"""
+
+
+@query(f"""WITH {_SUBTREES} SELECT folder, '<extent><measure unit="texts" quantity="' || texts || '"/>' || CASE WHEN words > 0 THEN '<measure unit="words" quantity="' || words || '"/>' ELSE '' END || '</extent>' AS header FROM T""")
 def corpus_headers(spark, sf_dir):
-    totals = sized(spark, sf_dir).groupBy(corpus.folder_of(F.col("job_source")).alias("folder")).agg(F.count("*").alias("texts"), F.sum("words").alias("words"))
-    return corpus.extent_header(totals, "folder", {"texts": "texts", "words": "words"})
+    return corpus.extent_header(corpus.rollup(sized(spark, sf_dir), "job_source", ["words"]), "folder", {"texts": "texts", "words": "words"})
+
+
+def _xml(text: str) -> str:
+    return f"replace(replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+@query(f"""WITH {_SUBTREES}, C AS (SELECT own AS folder, string_agg('<xi:include href="' || {_xml("h")} || '"/>', '' ORDER BY h) AS links FROM (SELECT DISTINCT own, CASE WHEN own = '' THEN job_source ELSE substr(job_source, length(own) + 2) END AS h FROM X) GROUP BY own)
+  SELECT folder, '<teiCorpus><teiHeader><fileDesc><extent><measure unit="texts" quantity="' || texts || '"/>' || CASE WHEN words > 0 THEN '<measure unit="words" quantity="' || words || '"/>' ELSE '' END || '</extent></fileDesc></teiHeader><particDesc><xi:include href="listOrg.xml"/><xi:include href="listPerson.xml"/></particDesc>'
+  || coalesce(links, '') || '</teiCorpus>' AS xml FROM T LEFT JOIN C USING (folder)""")
+def corpus_files(spark, sf_dir):
+    """A corpus file for every folder: its subtree's totals, its own documents."""
+    totals = corpus.rollup(sized(spark, sf_dir), "job_source", ["words"])
+    own = corpus.folder_of(F.col("job_source"))
+    children = table(spark, sf_dir, "documents").where("job_source is not null").select(own.alias("folder"), headers.relative(F.col("job_source"), own).alias("href")).distinct()
+    return headers.corpus_files(totals, children)
+
+
+@query(f"""WITH {JOBS} SELECT job_source, '<teiHeader><fileDesc><titleStmt><title xml:lang="' || {_xml("coalesce(corpus_language, 'und')")} || '">' || {_xml("coalesce(nullif(trim(title), ''), job_source)")} || '</title>'
+  || CASE WHEN len(group_labels) > 0 THEN '<title type="sub">' || {_xml("array_to_string(group_labels, ' / ')")} || '</title>' ELSE '' END || '</titleStmt><extent><measure unit="texts" quantity="1"/></extent><publicationStmt/><sourceDesc/></fileDesc><profileDesc>'
+  || CASE WHEN corpus_language IS NOT NULL THEN '<langUsage><language ident="' || {_xml("corpus_language")} || '"/></langUsage>' ELSE '' END || '</profileDesc></teiHeader>' AS header FROM B""")
+def document_headers(spark, sf_dir):
+    """The header of every job: title (or its source), labels, extent, language."""
+    titles = F.create_map(F.coalesce("corpus_language", F.lit("und")), headers.enriched(F.col("title"), F.col("job_source")))
+    sub = F.when(F.size("group_labels") > 0, F.array_join("group_labels", " / "))
+    made = headers.header(titles, sub, F.lit(""), F.lit(1), F.lit(0), F.lit(0), F.lit(None).cast("date"), F.col("corpus_language"))
+    return jobs(spark, sf_dir).where("job_source is not null").select("job_source", made.alias("header"))
+
+
+@query(f"""WITH {JOBS}, X AS (SELECT job_group, status AS kind, title AS text, min(job_source) AS o FROM B WHERE title IS NOT NULL AND job_group IS NOT NULL AND status IS NOT NULL GROUP BY ALL), N AS (SELECT *, row_number() OVER (PARTITION BY job_group ORDER BY o, kind, text) AS n FROM X)
+  SELECT job_group, '<notesStmt>' || string_agg('<note type="' || {_xml("kind")} || '" n="' || n || '">' || {_xml("text")} || '</note>', '' ORDER BY n) || '</notesStmt>' AS notes FROM N GROUP BY job_group""")
+def conversion_notes(spark, sf_dir):
+    rows = jobs(spark, sf_dir).where("job_group is not null and status is not null and job_source is not null")
+    return headers.conversion_notes(rows, "job_group", "status", "title", "job_source")
+
+
+@query(f"""WITH {JOBS}, N AS (SELECT job_source, {_xml("job_source")} AS s, {_xml("coalesce(title, 'failed')")} AS m FROM B WHERE status = 'failed')
+  SELECT job_source, '<TEI><teiHeader><fileDesc><titleStmt><title>' || s || '</title></titleStmt><notesStmt><note type="recovery" n="1">' || m || '</note></notesStmt></fileDesc></teiHeader><text><body><p type="unparsed">' || m || '</p></body></text></TEI>' AS xml FROM N""")
+def failure_documents(spark, sf_dir):
+    failed = jobs(spark, sf_dir).where("status = 'failed' and job_source is not null")
+    return failed.select("job_source", headers.failure_document(F.col("job_source"), F.coalesce("title", F.lit("failed"))).alias("xml"))
+
+
+@query()
+def person_lists(spark, sf_dir):
+    """The list of persons of every transcript."""
+    return headers.list_person(table(spark, sf_dir, "speaker_mapping").select("doc_id", "speaker_ref", "label").distinct(), ["doc_id"], "speaker_ref", "label")
+
+
+@query()
+def body_lists(spark, sf_dir):
+    """The list of bodies of every transcript."""
+    rows = table(spark, sf_dir, "speaker_detail").groupBy("speaker_id").agg(F.min("doc_id").alias("doc_id"), F.min("organization").alias("organization"))
+    return headers.list_org(rows, ["doc_id"], "organization", F.col("speaker_id"))
+
+
+@query()
+def register_entries(spark, sf_dir):
+    """Persons of the register with all that is known of them."""
+    return headers.person_entries(speakers.person_records(table(spark, sf_dir, "person_binding").distinct()))
 
 
 @query(f"""WITH {_FOLDERS}, Y AS (SELECT DISTINCT list_filter(string_split(own, '/'), lambda p: p <> '') AS parts FROM X), Z AS (SELECT DISTINCT array_to_string(parts[1:i], '/') AS folder, i AS depth FROM (SELECT parts, unnest(generate_series(1, len(parts))) AS i FROM Y)),
@@ -735,11 +829,18 @@ def manifest_counts(spark, sf_dir):
     return corpus.manifest(df, ["job_group"])
 
 
-@query(f"""WITH {JOBS}, W AS (SELECT job_source, fingerprint FROM B WHERE status = 'success') SELECT DISTINCT d.job_source FROM documents d WHERE d.job_source IS NOT NULL AND NOT EXISTS (SELECT 1 FROM W WHERE W.job_source = d.job_source)""")
+@query(f"""WITH {JOBS}, D AS (SELECT job_source, sha256(concat_ws(chr(31), job_source, coalesce(title, chr(0)), coalesce(corpus_language, chr(0)))) AS fp, job_group IS NOT NULL AS written, status FROM B),
+  N AS (SELECT DISTINCT job_source, sha256(concat_ws(chr(31), job_source, coalesce(title, chr(0)), coalesce(corpus_language, chr(0)))) AS fp FROM (SELECT job_source, CASE WHEN length(job_source) % 2 = 0 THEN title ELSE upper(title) END AS title, corpus_language FROM B))
+  SELECT N.job_source FROM N WHERE NOT EXISTS (SELECT 1 FROM D WHERE D.job_source = N.job_source AND D.fp = N.fp AND D.written AND D.status = 'success')""")
 def incremental_skip(spark, sf_dir):
-    done = jobs(spark, sf_dir).select("job_source", F.lit("x").alias("fingerprint"), "status")
-    wanted = table(spark, sf_dir, "documents").select("job_source", F.lit("x").alias("fingerprint")).where("job_source is not null").distinct()
-    return corpus.pending(wanted, done, "job_source", ("success",)).select("job_source")
+    """Jobs that must run: no successful run with the fingerprint of today's
+    inputs whose output is there. Today every other title has changed."""
+    every = jobs(spark, sf_dir).where("job_source is not null")
+    key = lambda title: corpus.fingerprint(F.col("job_source"), title, F.col("corpus_language"))
+    done = every.select("job_source", key(F.col("title")).alias("fingerprint"), "status", F.col("job_group").isNotNull().alias("written"))
+    title = F.when(F.length("job_source") % 2 == 0, F.col("title")).otherwise(F.upper("title"))
+    wanted = every.select("job_source", key(title).alias("fingerprint")).distinct()
+    return corpus.pending(wanted, done, "job_source", ("success",), "written").select("job_source")
 
 
 @query(f"""WITH {JOBS} SELECT job_source FROM B WHERE job_source NOT IN (SELECT job_source FROM documents WHERE job_source IS NOT NULL) AND status IS DISTINCT FROM 'failed'""")
@@ -770,6 +871,60 @@ def meeting_labels(spark, sf_dir):
     return df.withColumn("number", corpus.meeting_number(F.col("label")))
 
 
+@query(f"""WITH {JOBS} SELECT job_source, row_number() OVER (ORDER BY lower(job_source), job_source) AS place FROM B""")
+def job_order(spark, sf_dir):
+    """Jobs in discovery order; their places come from the sorted ranges."""
+    df = batch.ordered_jobs(jobs(spark, sf_dir).where("job_source is not null"), "job_source", "job_source").select("job_source", "ord")
+    earlier = F.count("*").over(Window.orderBy("ord"))  # one row per job of a batch
+    return df.select("job_source", earlier.alias("place"))
+
+
+@query(f"""WITH {JOBS}, R AS (SELECT CASE WHEN contains(job_source, '/') THEN split_part(job_source, '/', 1) ELSE '' END AS root, count(*) AS n FROM B GROUP BY 1) SELECT root, n FROM R WHERE root = '' OR NOT EXISTS (SELECT 1 FROM R WHERE root = '')""")
+def source_roots(spark, sf_dir):
+    return batch.source_roots(jobs(spark, sf_dir).where("job_source is not null"), "job_source")
+
+
+@query(f"""WITH {JOBS} SELECT job_source, 'out' || CASE WHEN coalesce(job_group, '') = '' THEN '' ELSE '/' || job_group END || '/' || t || '.xml' AS xml, 'audit' || CASE WHEN coalesce(job_group, '') = '' THEN '' ELSE '/' || job_group END || '/' || t AS metadata,
+  'audit' || CASE WHEN coalesce(job_group, '') = '' THEN '' ELSE '/' || job_group END || '/' || t || '/listPerson.xml' AS list FROM (SELECT *, coalesce(title, 'untitled') AS t FROM B)""")
+def output_paths(spark, sf_dir):
+    where = batch.outputs("out", F.col("job_group"), F.coalesce("title", F.lit("untitled")), "audit")
+    return jobs(spark, sf_dir).where("job_source is not null").select("job_source", *[c.alias(k) for k, c in where.items()])
+
+
+@query()
+def unique_paths(spark, sf_dir):
+    """Paths of jobs within the budget, none twice."""
+    df = batch.unique_paths(jobs(spark, sf_dir).where("job_source is not null"), ["job_source"], "/srv/out", F.col("job_group"), F.coalesce("title", F.lit("untitled")))
+    return df.select("job_source", "path")
+
+
+@query(f"""WITH {JOBS} SELECT job_source, CASE WHEN regexp_matches(job_group, '^[A-Za-z][A-Za-z0-9]*([._-][A-Za-z0-9]+)*$') AND regexp_matches(corpus_language, '^[A-Za-z]{{{{2}}}}(-[A-Za-z0-9]+)*$') THEN job_group || '-' || upper(corpus_language) END AS corpus,
+  coalesce(TRY_CAST(elapsed_seconds AS BIGINT), 0) AS seconds FROM B""".replace("{{2}}", "{2}"))
+def corpus_names(spark, sf_dir):
+    """Names of corpora, and counters that may be no numbers."""
+    df = jobs(spark, sf_dir).where("job_source is not null")
+    return df.select("job_source", batch.corpus_name(F.col("job_group"), F.col("corpus_language")).alias("corpus"), batch.counted(F.round("elapsed_seconds")).alias("seconds"))
+
+
+@query("""SELECT label, array_to_string(list_transform(range(1, length(label) + 1), lambda i: CASE WHEN i > 1 AND regexp_matches(label[i - 1], '^\\p{L}$') THEN lower(label[i]) ELSE upper(label[i]) END), '') AS titled,
+  coalesce(length(regexp_replace(regexp_extract(label, '\\(([^)]*)\\)', 1), '[^\\p{L}\\p{N}]', '', 'g')) BETWEEN 1 AND 4, false) AS compact FROM (SELECT DISTINCT label FROM speaker_detail WHERE label IS NOT NULL)""")
+def title_cases(spark, sf_dir):
+    return labels(spark, sf_dir).select("label", C.title_case(F.col("label")).alias("titled"), C.compact_qualifier(F.col("label")).alias("compact"))
+
+
+@query(f"""WITH {LINES} SELECT doc_id, count(*) AS n_lines, count(*) FILTER (x = m) AS at_left FROM (SELECT *, min(x) OVER (PARTITION BY doc_id, page_num) AS m FROM L) GROUP BY doc_id""")
+def page_left(spark, sf_dir):
+    """Lines that stand at their page's left edge."""
+    df = volumes.placed(lines(spark, sf_dir, "x", "y").withColumn("t", C.squeezed(F.col("text"))))
+    return df.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(F.col("x") == F.col("left")).alias("at_left"))
+
+
+@query(f"""WITH {JOBS} SELECT job_group, CAST(greatest(coalesce(sum(TRY_CAST(elapsed_seconds AS BIGINT)), 0), coalesce(max(len(group_labels)), 0)) AS BIGINT) AS recovery_count FROM B GROUP BY job_group""")
+def recovery_counts(spark, sf_dir):
+    df = jobs(spark, sf_dir).where("job_source is not null").withColumn("n", F.round("elapsed_seconds").cast("long"))
+    return batch.recoveries(df, ["job_group"], "n", "group_labels")
+
+
 # --- events -------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import columns as C
-from foliospark.operators import corpus, layout, pages, speakers, structure
+from foliospark.operators import corpus, footnotes, headers, jobs, layout, pages, speakers, structure
 from foliospark.operators.carry import carry_last
 from foliospark.plans import cascade, rules, volumes
 from foliospark.sources import readers, writers
@@ -357,3 +357,92 @@ def test_rule_sets_of_volumes(spark):
     runs = [("p", 0, 0, "Seja", 5000.0, True, False, False, "left", None), ("p", 1, 0, "ob 9", 5000.0, False, True, False, "left", None), ("p", 2, 0, "Predseduje N", 5000.0, False, False, False, "left", None), ("p", 3, 0, "1", 1000.0, False, False, True, "left", None), ("p", 4, 0, "smeh", 1000.0, False, True, False, "center", None), ("p", 5, 0, "NOVAK:", 1000.0, False, False, False, "left", 0.0), ("p", 6, 0, "govor", 1000.0, False, False, False, "left", 200.0)]
     word = spark.createDataFrame([(a, b, c, d, x, 1.0, 100.0, 9.0, e, f, g, h, i, None) for a, b, c, d, x, e, f, g, h, i in runs], readers.DOCX_RUNS)
     assert [r.rule for r in volumes.classified_runs(word).orderBy("para").collect()] == ["SEJA_DECLARATION", "TIME", "CHAIRMAN", "REFERENCE_ENTRY", "GENERIC_NOTE", "SPEAKER", "SEG"]
+
+
+def one(spark, column):
+    return spark.range(1).select(column).first()[0]
+
+
+def test_elements(spark):
+    L = F.lit  # noqa: N806
+    none = L(None).cast("string")
+    assert one(spark, headers.element("a", headers.escaped(L('<x> & "y"')), n=L(1), m=none)) == '<a n="1">&lt;x&gt; &amp; &quot;y&quot;</a>'
+    assert one(spark, headers.element("a", none, n=none)) is None and one(spark, headers.element("a", always=True)) == "<a/>"
+    titles = F.create_map(L("sl"), L("Seja"), L("en"), L("Session"))
+    xml = one(spark, headers.header(titles, L("1. sklic / 2. seja"), headers.meeting(F.array(L("Zbor"), L("1. sklic"))), L(1), L(0), L(None).cast("int"), L("1950-01-02").cast("date"), L("sl")))
+    root = ElementTree.fromstring(xml)
+    assert [t.text for t in root.iter("title")] == ["Session", "Seja", "1. sklic / 2. seja"] and root.find(".//meeting").get("n") == "1"
+    assert [m.get("unit") for m in root.iter("measure")] == ["texts"] and root.find(".//date").get("when") == "1950-01-02" and root.find(".//language").get("ident") == "sl"
+    assert one(spark, headers.enriched(L("  "), L("x"))) == "x" and one(spark, headers.enriched(none, L("x"))) == "x" and one(spark, headers.enriched(L("y"), L("x"))) == "y"
+    ElementTree.fromstring(one(spark, headers.failure_document(L("a<b"), none)))
+    assert one(spark, headers.owner(L("a/b"))) == "a" and one(spark, headers.owner(L(""))) == "" and one(spark, headers.relative(L("a/b/c"), L("a"))) == "b/c"
+
+
+def test_lists(spark):
+    rows = [("d", "#A", "Ana A (X&Y):", "x", 1), ("d", "#A", "Ana A (X&Y):", "x", 2), ("d", None, None, "x", 3), ("e", None, None, "x", 1)]
+    df = spark.createDataFrame(rows, "doc string, ref string, label string, x string, ord int")
+    got = dict(values(headers.list_person(df, ["doc"], "ref", "label"), "doc", "xml"))
+    assert [p.find("affiliation").text for p in ElementTree.fromstring(got["d"]).iter("person")] == ["X&Y"] and "UnknownSpeaker" in got["e"]
+    orgs = dict(values(headers.list_org(df, ["doc"], "label", F.col("ord")), "doc", "xml"))
+    assert [o.text for o in ElementTree.fromstring(orgs["d"]).iter("orgName")] == ["Ana A (X&Y):", "Unknown organization"]
+    assert headers.list_person(df.limit(0), ["doc"], "ref", "label").count() == 0
+    notes = spark.createDataFrame([("d", "warning", "b", 2), ("d", "warning", "b", 1), ("d", "recovery", "a", 3), ("d", "recovery", None, 0)], "doc string, kind string, text string, at int")
+    assert headers.conversion_notes(notes, "doc", "kind", "text", "at").first().notes == '<notesStmt><note type="warning" n="1">b</note><note type="recovery" n="2">a</note></notesStmt>'
+
+
+def test_jobs(spark, tmp_path):
+    df = spark.createDataFrame([("b/X.pdf", "2"), ("a/y.PDF", "1"), ("A/z.pdf", "3"), ("c/x.pdf", "2"), (None, None)], "path string, source string")
+    assert [r.path for r in jobs.ordered_jobs(df.where("path is not null"), "path", "source").orderBy("ord").collect()] == ["a/y.PDF", "A/z.pdf", "b/X.pdf"]
+    documents, warnings = jobs.discovered(df, "path", ("pdf",), excluded=["a"], roots=["b", "zz", "c/x.pdf"])
+    assert values(documents, "path") == [("A/z.pdf",), ("b/X.pdf",), ("c/x.pdf",)] and values(warnings, "warning") == [("missing: zz",)]
+    assert values(jobs.source_roots(spark.createDataFrame([("a/x",), ("b/x",)], "p string"), "p"), "root") == [("a",), ("b",)]
+    assert values(jobs.source_roots(spark.createDataFrame([("a/x",), ("x",)], "p string"), "p"), "root") == [("",)]
+    long = spark.createDataFrame([(i, "g" * 40 + "/" + "h" * 90, "t" * 300) for i in range(3)] + [(3, "G", "con"), (4, "g", "CON"), (5, None, None)], "k int, g string, t string")
+    got = [r.path for r in jobs.unique_paths(long, ["k"], "/out", F.col("g"), F.col("t")).orderBy("k").collect()]
+    assert len({p.lower() for p in got}) == 6 and all(len(p) <= 240 for p in got) and got[3:5] == ["G/_con", "g/_CON-2"] and got[5] == "document"
+    line = jobs.progress(spark.createDataFrame([(1, "a", "ok", 1.25, None), (2, "b", "failed", 0.5, "bad")], "i int, n string, s string, t double, m string"), "i", "n", "s", "t", "m")
+    assert [r.line for r in line.orderBy("i").collect()] == ["[1/2] OK a (1.3 s)", "[2/2] FAILED b (0.5 s) - bad"]
+    files = spark.createDataFrame([("a.xml",), ("b.xml",)], "path string")
+    manifest = spark.createDataFrame([(["a.xml", "b.xml", "c.xml", "a.xml"], ["b.xml", "x.json"])], "one array<string>, two array<string>")
+    assert values(jobs.manifest_sections(manifest, ["one", "two"], files, "path"), "path", "section", "ord") == [("a.xml", "one", 1), ("b.xml", "one", 2)]
+    request = {k: F.lit(v).cast("string") for k, v in {"inputs": "", "menu": None, "output": "o", "prefix": "-", "code": "sl", "workers": "0", "timeout": "x"}.items()}
+    assert one(spark, jobs.request_errors(request)) == ["nothing to convert", "bad prefix", "workers must be at least 1", "timeout must be positive"]
+    assert one(spark, jobs.text_lines(F.lit(" a \n\n b"))) == ["a", "b"] and one(spark, jobs.log_tail(F.lit("abc\ndef\n"), 6)) == "def\n"
+    assert one(spark, jobs.month_key(F.lit("Sep-Okt"))) == "sepokt" and one(spark, jobs.counted(F.lit("x"))) == 0 and one(spark, jobs.checkpoint_steps(F.lit(250))) == 2
+    assert jobs.statuses(spark.createDataFrame([("a", "ok")], "source string, status string"), F.lit("f")).first().completed_at.endswith("+00:00")
+
+
+@pytest.mark.parametrize(
+    ("text", "joined"),
+    [("Predsednik d r. F e r d o K o z a k", "Predsednik dr Ferdo Kozak"), ("Ana Kovač", "Ana Kovač"), ("a b", "a b"), ("", ""), ("P i r n a t Jože", "Pirnat Jože")],
+)
+def test_collapsed_letters(spark, text, joined):
+    assert one(spark, C.collapsed_letters(F.lit(text))) == joined
+    assert one(spark, C.collapsed_letters(F.lit(None).cast("string"))) is None
+
+
+def test_title_case(spark):
+    assert one(spark, C.title_case(F.lit("o'neil JANEZ-novak č"))) == "O'Neil Janez-Novak Č" and one(spark, C.casefold(F.lit("Straße"))) == "strasse"
+
+
+def test_footnotes(spark):
+    def run(text, y, size, x=0.0):
+        return (text, x, y, "F", size, False)
+
+    lines = [
+        ("d", 0, 0, 600.0, [run("Zakon", 600.0, 10.0), run("1", 604.0, 6.0), run("5", 604.0, 6.0), run("velja", 600.0, 10.0)]),
+        ("d", 0, 1, 580.0, [run("sto", 580.0, 10.0), run("5", 584.0, 6.0), run("%", 580.0, 10.0)]), ("d", 0, 2, 570.0, [run("nizko", 570.0, 10.0), run("7", 570.0, 6.0)]),
+        ("d", 0, 3, 100.0, [run("1", 100.0, 6.0), run("5", 100.0, 6.0), run("Glej zakon", 98.0, 8.0)]), ("d", 0, 4, 90.0, [run("nadaljevanje", 90.0, 8.0)]),
+        ("d", 0, 5, 80.0, [run("16", 80.0, 6.0), run("Tudi to", 78.0, 8.0)]), ("d", 0, 6, 70.0, [run("347", 70.0, 6.0), run("Brez sklica", 68.0, 8.0)]),
+        ("d", 1, 0, 600.0, [run("besede", 600.0, 10.0), run("120", 604.0, 6.0)]), ("d", 1, 1, 100.0, [run("120", 100.0, 6.0), run("Sklicana", 98.0, 8.0)]), ("d", 1, 2, 90.0, [run("121", 90.0, 6.0), run("Naslednja", 88.0, 8.0)]), ("d", 1, 3, 80.0, None),
+    ]
+    df = spark.createDataFrame([(*r[:4], 760.0, r[4]) for r in lines], f"doc_id string, page_num int, line_idx int, y double, page_height double, runs {RUN}")
+    body = spark.createDataFrame([("d", 10.0)], "doc_id string, body double")
+    runs = footnotes.exploded_runs(df, body)
+    found = footnotes.marks(runs)
+    definitions, references = footnotes.definitions_and_references(found)
+    assert values(definitions, "page_num", "number") == [(0, "15"), (0, "16"), (1, "120"), (1, "121")]
+    assert values(references, "page_num", "number") == [(0, "15"), (1, "120")]
+    assert footnotes.consumed_runs(runs, found).count() == runs.count() - 2
+    assert values(footnotes.continuations(df, definitions), "line_idx", "number") == [(3, "121"), (4, "15"), (6, "16")]
+    assert footnotes.marks(runs.limit(0)).count() == 0
