@@ -10,6 +10,7 @@ there is one look-up in a transition table for each text and language.
 from __future__ import annotations
 
 import functools
+import hashlib
 import pickle
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.carry import carry_last
-from .common import CYRILLIC, to_latin, within
+from .common import CYRILLIC, checkpointed, to_latin, within
 
 #: Labelled passages are a bounded sample by contract, as is their length.
 MAX_PASSAGES = 20_000
@@ -48,10 +49,11 @@ LABELS = {
 
 def label_language(label: Column) -> Column:
     """Two letters of a label in any common notation (region, script, three
-    letters, name); null for a missing or unknown one."""
+    letters, name); two letters of another language stay as they are; null for
+    a missing or unknown label."""
     head = F.regexp_extract(F.lower(F.trim(label)), r"^([^-_\s]+)", 1)
     pairs = [F.lit(x) for two, names in LABELS.items() for n in names.split() for x in (n, two)]
-    return F.create_map(*pairs)[head]
+    return F.coalesce(F.create_map(*pairs)[head], F.when(head.rlike("^[a-z]{2}$"), head))
 
 
 def automaton(text: str, alphabet: int) -> np.ndarray:
@@ -191,7 +193,21 @@ def labelled_texts(labelled: DataFrame) -> bytes:
         texts.setdefault(r["lang"], []).append(r["text"])
     if not texts:
         raise ValueError("no labelled text to learn languages from")
-    return pickle.dumps({k: " ".join(v)[:MAX_CHARS_PER_LANGUAGE] for k, v in texts.items()})
+    return pickle.dumps({k: " ".join(sampled(v)) for k, v in texts.items()})
+
+
+def sampled(texts: list[str], most: int = MAX_CHARS_PER_LANGUAGE) -> list[str]:
+    """Whole texts chosen by a hash of them, up to about so many characters in
+    all (one at least), in their order: a bounded sample of labelled rows."""
+    if sum(map(len, texts)) <= most:
+        return texts
+    kept, room = set(), most
+    for i in sorted(range(len(texts)), key=lambda i: hashlib.md5(texts[i].encode()).digest()):
+        if kept and len(texts[i]) > room:
+            continue
+        kept.add(i)
+        room -= len(texts[i])
+    return [t for i, t in enumerate(texts) if i in kept]
 
 
 def _confidence(counts: np.ndarray) -> np.ndarray:
@@ -242,6 +258,9 @@ def document_languages(documents: DataFrame, labelled: DataFrame) -> DataFrame:
                 rows, nos = np.array(rows, np.int64), np.array(nos, np.int64)
                 counts = p.phrases(paras)
                 words = np.array([para.count(" ") + 1 if para.strip() else 0 for para in paras])
+                # text of a script that none of the languages has is one phrase in each: no language
+                size = np.array([len(x) for x in paras])
+                words = np.where((counts.max(1, initial=0) <= 1) & (size > 8), 0, words)
                 letters = words > 0
                 best = counts.argmin(1)
                 votes = np.zeros((len(part), len(p.languages)), np.int64)
@@ -290,7 +309,8 @@ def line_languages(lines: DataFrame, labelled: DataFrame) -> tuple[DataFrame, Da
     n = len(langs)
     counted = counted.select("doc_id", "page_num", "line_idx", "starts", F.size(F.split(F.trim("text"), r"\s+")).alias("words"), *[F.col("phrases")[i].alias(f"c{i}") for i in range(n)])
     mark = F.when(F.col("starts"), F.struct("page_num", "line_idx"))
-    counted = carry_last(counted, "doc_id", "page_num", ["line_idx"], mark, "para")
+    counted = checkpointed(counted)  # the fill reads it twice, and the counts are costly
+    counted = checkpointed(carry_last(counted, "doc_id", "page_num", ["line_idx"], mark, "para"))
     paras = counted.groupBy("doc_id", "para").agg(F.sum("words").alias("words"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(n)])
 
     counts = [F.col(f"c{i}") for i in range(n)]

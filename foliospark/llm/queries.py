@@ -75,7 +75,7 @@ def p6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = scans.text_lines(table(spark, sf_dir, "line_record"))
     docs, lines = langid.line_languages(text, table(spark, sf_dir, "graded_passage"))
     labels = table(spark, sf_dir, "line_profile").groupBy("doc_id").agg(F.min("corpus_language").alias("label"))
-    docs = docs.join(labels, "doc_id").select("doc_id", F.lit(None).cast("int").alias("page_num"), F.lit(None).cast("int").alias("line_idx"), "lang", "confidence", "label")
+    docs = docs.join(labels, "doc_id", "left").select("doc_id", F.lit(None).cast("int").alias("page_num"), F.lit(None).cast("int").alias("line_idx"), "lang", "confidence", "label")
     return docs.unionByName(lines.withColumn("label", F.lit(None).cast("string")))
 
 

@@ -32,14 +32,18 @@ ROLES = frozenset(
 ADDRESS = frozenset("tovaris tovarisica tov gospod gospa g ga dr mag inz ing prof drug gospodin gdin mr mrs ms sir herr frau onorevole signor signora ur asszony".split())
 #: Roles that stand for the one speaker who holds them.
 CHAIR = frozenset("predsednik predsednica predsedujoci predsjednik predsjednica chairman chairwoman chair president speaker vorsitzender vorsitzende prasident presidente elnok".split())
-# Words that fill pauses.
-FILLERS = ("kaj pa vem", "no ja", "mhm", "hmm", "hm", "eee", "aaa", "em", "ovaj", "ähm", "äh", "uhm", "uh", "öö", "ööö")
+# Phrases that fill pauses. Sounds that do are told by their
+# letters: a vowel drawn out, or humming after a vowel or none.
+FILLERS = ("kaj pa vem", "no ja", "ovaj")
+HUMMED = r"([aeäöü])\1{1,}|[eäuö]?h?m+(?:h+m+)?|[äöu]h+m*"
 
 TIME = r"(?:[\[<(]\s*)?\d{1,2}[:.]\d{2}(?:[:.]\d{2})?(?:[,.]\d{1,3})?(?:\s*[\]>)])?"
 _LEAD = rf"^\s*(?:{TIME}\s*){{0,4}}(?:[\[<(]?\s*\d{{1,2}}:\d{{2}}(?::\d{{2}})?\s*-->\s*\S+\s*)?(?:>>\s*)?"
 LABEL = _LEAD + r"(?:<v\s+([^<>]{1,80})>|(?=\p{Lu})(?:([^:<>\[\]{}]{1,80}):(?=\s|$)|(\p{Lu}[^\p{Ll}:<>\[\]{}]{1,60}?)\s[–—-](?=\s|$)))\s*"
 _NOTE = r"\[[^\[\]]*\]|\{[^{}]*\}|<[^<>]*>|(?<!\S)\*[^*]+\*|(?<!\S)/[^/]+/|\((?!\s*(?:\p{L}{1,4}\.|\d))[^()]*\)"
-_FILLER = r"(?iu)(?<![\p{L}\d])(?:" + "|".join(FILLERS) + r")(?![\p{L}\d])(?:\s*(?:…|\.{3})|,)?"
+_FILLER = r"(?iu)(?<![\p{L}\d])(?:" + "|".join(FILLERS) + "|" + HUMMED + r")(?![\p{L}\d])(?:\s*(?:…|\.{3})|,)?"
+#: A label that names somebody, whoever it is: two to four capitalised words.
+_PERSON = r"^(?:\p{Lu}[\p{L}'.\-]*\s+){1,3}\p{Lu}[\p{L}'\-]+(?:\s*\([^()]*\))*$"
 
 
 def label_text(text: Column) -> Column:
@@ -117,9 +121,32 @@ def one_speaker(mapping: DataFrame) -> DataFrame:
     )
 
 
+def _segment(size: Column, i: Column) -> tuple[Column, Column]:
+    """Where the i-th third of a text of that length begins, and its length."""
+    at = lambda n: F.floor(size * n / 3).cast("int")
+    return at(i), at(i + 1) - at(i)
+
+
+def near_keys(asked: DataFrame, known: DataFrame, most: int = 2) -> DataFrame:
+    """doc_id, key, known: keys of a document at most two letters apart, of six
+    letters and more. Of two such keys one third stands in both, moved by two
+    places at most: an equality join on (document, third), never all pairs."""
+    thirds = F.sequence(F.lit(0), F.lit(2))
+    cut = lambda size, i, moved: F.substring(F.col("key"), _segment(size, i)[0] + moved + 1, _segment(size, i)[1])
+    mine = F.transform(thirds, lambda i: F.struct(F.length("key").alias("size"), i.alias("i"), cut(F.length("key"), i, F.lit(0)).alias("s")))
+    sizes, moves = F.sequence(F.length("key") - most, F.length("key") + most), F.sequence(F.lit(-most), F.lit(most))
+    every = F.flatten(F.transform(sizes, lambda size: F.flatten(F.transform(thirds, lambda i: F.transform(
+        F.filter(moves, lambda m: _segment(size, i)[0] + m >= 0), lambda m: F.struct(size.alias("size"), i.alias("i"), cut(size, i, m).alias("s")))))))
+    a = asked.select("doc_id", "key", F.explode(F.array_distinct(every)).alias("p"))
+    b = known.where(F.length("key") >= 4).select("doc_id", F.col("key").alias("known"), F.explode(mine).alias("p"))
+    pairs = a.join(b, ["doc_id", "p"]).select("doc_id", "key", "known").distinct()
+    return pairs.where((F.levenshtein("key", "known", most) >= 0) & (F.size(F.split("key", " ")) == F.size(F.split("known", " "))))
+
+
 def resolved(labels: DataFrame, mapping: DataFrame) -> DataFrame:
-    """labels (doc_id, line_idx, label) with speaker_ref; labels of no speaker
-    of the document - other text before a colon - are dropped."""
+    """labels (doc_id, line_idx, label) with speaker_ref. A label that names
+    somebody who isn't in the document's mapping gets `?` and the name; other
+    text before a colon is dropped."""
     speakers = one_speaker(mapping)
     keys = speakers.select("doc_id", "ord", "speaker_ref", F.posexplode(speaker_keys("label")).alias("p", "key"))
     keys = checkpointed(keys.groupBy("doc_id", "key").agg(F.min_by("speaker_ref", F.struct("ord", "p")).alias("speaker_ref")))
@@ -128,16 +155,17 @@ def resolved(labels: DataFrame, mapping: DataFrame) -> DataFrame:
     asked = named.select("doc_id", "key").distinct()
     exact = asked.join(keys, ["doc_id", "key"])
     left = asked.join(exact, ["doc_id", "key"], "left_anti").where(F.length("key") >= 6)
-    near = left.join(keys.withColumnRenamed("key", "known"), "doc_id").where(
-        (F.levenshtein("key", "known", 2) >= 0) & (F.size(F.split("key", " ")) == F.size(F.split("known", " ")))
-    )
+    near = near_keys(left, keys).join(keys.withColumnRenamed("key", "known"), ["doc_id", "known"])
     near = near.groupBy("doc_id", "key").agg(F.min_by("speaker_ref", F.struct(F.levenshtein("key", "known"), "known")).alias("speaker_ref"))
-    return named.join(exact.unionByName(near), ["doc_id", "key"]).select("doc_id", "line_idx", "speaker_ref")
+    found = named.join(exact.unionByName(near), ["doc_id", "key"], "left")
+    unknown = F.when(F.col("label").rlike(_PERSON), F.concat(F.lit("?"), "key"))
+    return found.select("doc_id", "line_idx", F.coalesce("speaker_ref", unknown).alias("speaker_ref")).where("speaker_ref is not null")
 
 
 def lines_in_turns(lines: DataFrame, mapping: DataFrame) -> DataFrame:
     """doc_id, line_idx, text (clean), turn (line of the turn's label),
-    speaker_ref of lines with speech.
+    speaker_ref of lines with speech; somebody who isn't in the mapping has
+    turns of their own, with a null ref.
 
     Of repeated lines (doc_id, line_idx) the first received counts. Lines
     before any label belong to no turn, null and empty lines have no speech, a
@@ -166,12 +194,14 @@ def lines_in_turns(lines: DataFrame, mapping: DataFrame) -> DataFrame:
     sections = carry_last(sections, "doc_id", "block", ["line_idx"], begin, "turn")
     sections = sections.select("doc_id", F.col("line_idx").alias("s"), "turn", F.col("ref").alias("speaker_ref"))
     said = said.select("doc_id", "line_idx", "text", F.col("section.line_idx").alias("s"))
-    return said.join(sections, ["doc_id", "s"]).select("doc_id", "line_idx", "text", "turn", "speaker_ref")
+    known = F.when(~F.col("speaker_ref").startswith("?"), F.col("speaker_ref"))
+    return said.join(sections, ["doc_id", "s"]).select("doc_id", "line_idx", "text", "turn", known.alias("speaker_ref"))
 
 
 def turn_starts(lines: DataFrame, mapping: DataFrame) -> DataFrame:
-    """doc_id, line_idx (where the label stands), speaker_ref of every turn."""
-    return lines_in_turns(lines, mapping).select("doc_id", F.col("turn").alias("line_idx"), "speaker_ref").distinct()
+    """doc_id, line_idx (where the label stands), speaker_ref of every turn of
+    a speaker of the mapping."""
+    return lines_in_turns(lines, mapping).where("speaker_ref is not null").select("doc_id", F.col("turn").alias("line_idx"), "speaker_ref").distinct()
 
 
 def turns(lines: DataFrame, mapping: DataFrame) -> DataFrame:

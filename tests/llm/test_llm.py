@@ -82,10 +82,22 @@ def test_document_languages(spark):
         langid.labelled_texts(labelled.limit(0))
 
 
+def test_sampled_texts_are_whole():
+    texts = [chr(97 + i) * 40 for i in range(20)]
+    kept = langid.sampled(texts, 200)
+    assert len(kept) == 5 and kept == [t for t in texts if t in kept] and langid.sampled(texts, 10_000) == texts
+
+
+def test_unknown_script_has_no_language(spark):
+    labelled = spark.createDataFrame(list(SAMPLE.items()), "lang string, text string")
+    df = spark.createDataFrame([(1, "漢字漢字漢字漢字漢字漢字漢字", "zh")], "doc_id long, text string, lang string")
+    assert langid.document_languages(df, labelled).first().lang is None
+
+
 def test_labels(spark):
-    labels = ["sl", "SL", "sl-SI", "slv", "Slovenian", "deu", "ger", "und", "?", "", None]
+    labels = ["sl", "SL", "sl-SI", "slv", "Slovenian", "deu", "ger", "fr", "und", "?", "", None]
     df = spark.createDataFrame([(x,) for x in labels], "l string").select(langid.label_language(F.col("l")).alias("two"))
-    assert [r.two for r in df.collect()] == ["sl"] * 5 + ["de"] * 2 + [None] * 4
+    assert [r.two for r in df.collect()] == ["sl"] * 5 + ["de"] * 2 + ["fr"] + [None] * 4
 
 
 # --- reading level -----------------------------------------------------------------
@@ -297,6 +309,32 @@ def test_corrections_equal_brute_force(spark):
 # --- transcripts -------------------------------------------------------------------
 
 
+def test_unknown_speakers_have_turns_of_their_own(spark):
+    mapping = spark.createDataFrame([("t", 1, "#A", "Ana Novak:")], "doc_id string, ord int, speaker_ref string, label string")
+    text = ["Ana Novak: Prva.", "Peter Hribar: Vmes.", "še vmes", "Predlagam naslednje: tole.", "Ana Novak: Druga."]
+    df = spark.createDataFrame([("t", i, t, None) for i, t in enumerate(text)], "doc_id string, line_idx int, text string, received_at timestamp_ntz")
+    assert rows(transcripts.turn_starts(df, mapping), "line_idx", "speaker_ref") == [(0, "#A"), (4, "#A")]
+    got = {r.line_idx: (r.speaker_ref, r.text) for r in transcripts.turns(df, mapping).collect()}
+    assert got == {0: ("#A", "Prva."), 1: (None, "Vmes. še vmes Predlagam naslednje: tole."), 4: ("#A", "Druga.")}
+
+
+def test_near_keys_equal_all_pairs(spark):
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcd ") for _ in range(rng.randint(6, 12))).strip() for _ in range(60)]
+    base = [b for b in base if len(b) >= 6]
+    asked = spark.createDataFrame([("d", b) for b in set(base)], "doc_id string, key string")
+    other = {b[:3] + b[4:] for b in base[:20]} | {b[:2] + "x" + b[2:] for b in base[20:40]} | set(base[40:])
+    known = spark.createDataFrame([("d", b) for b in other], "doc_id string, key string")
+    got = {(r.key, r.known) for r in transcripts.near_keys(asked, known).collect()}
+    all_pairs = asked.join(known.withColumnRenamed("key", "known"), "doc_id").where("levenshtein(key, known) <= 2 and size(split(key, ' ')) = size(split(known, ' ')) and length(known) >= 4")
+    assert got == {(r.key, r.known) for r in all_pairs.collect()}
+
+
+@pytest.mark.parametrize(("line", "clean"), [("Hm, eee to je äh … res mhm", "to je res"), ("Emil in Ema", "Emil in Ema"), ("aaaa uhm da", "da"), ("Vem, da ne", "Vem, da ne")])
+def test_fillers(spark, line, clean):
+    assert spark.range(1).select(transcripts.speech(F.lit(line))).first()[0] == clean
+
+
 def test_turns(spark):
     mapping = spark.createDataFrame(
         [("t", 1, "#AnaNovak", "Ana Novak (KSD):"), ("t", 2, "#MihaKranjčar", "Predsednik MIHA KRANJČAR:"), ("t", 3, "#AnaNovakova", "Ana Novak:"), ("t", 4, "#MihaKranjcarr", "Miha Kranjčarr:"), ("t", 4, None, None)],
