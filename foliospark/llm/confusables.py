@@ -15,24 +15,38 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpointed
+
 # Letters of other scripts and the Latin letters they look like.
 CYRILLIC_LIKE = dict(zip("АВЕКМНОРСТУХЅІЈаеорсухѕіјԁһԛԝ", "ABEKMHOPCTYXSIJaeopcyxsijdhqw"))
 GREEK_LIKE = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧανορικυ", "ABEZHIKMNOPTYXavopıkυ")) | {"ι": "i", "υ": "u", "γ": "y"}
 LATIN_LIKE = dict(zip("ÐƉƏ", "ĐĐE")) | {"ɡ": "g", "ı": "i", "ſ": "s", "ɑ": "a"}
+# Capitals and small letters of Armenian, Cherokee and Lisu and the Latin letters they look like.
+OTHER_LIKE = (
+    dict(zip("օոսհցզՏՕՍԼ", "onuhgqSOUL")) | dict(zip("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᏔᏃ", "ABCDEGHJKLMPRSTVWZ"))
+    | dict(zip("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ"))
+)
 # Characters that aren't seen, and those kept though they have a plainer form.
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏ ‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿"
 KEPT = "…‥‘’‚‛“”„‟«»‹›‐‑‒–—―′″ªº¹²³⁰⁴⁵⁶⁷⁸⁹¼½¾⅐⅑⅒⅓⅔⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞№™©®°µ§"
 
-_TO_LATIN = CYRILLIC_LIKE | GREEK_LIKE
+#: Small capitals, by their names.
+SMALL_CAPITALS = {
+    chr(c): m[1].lower() for c in (*range(0x1D00, 0x1D80), *range(0x250, 0x2B0), *range(0xA720, 0xA800))
+    if (m := re.fullmatch(r"LATIN LETTER SMALL CAPITAL ([A-Z])", unicodedata.name(chr(c), "")))
+}
+LATIN_LIKE |= SMALL_CAPITALS
+_TO_LATIN = CYRILLIC_LIKE | GREEK_LIKE | OTHER_LIKE
 _TO_CYRILLIC = {v: k for k, v in CYRILLIC_LIKE.items()}
 _TO_GREEK = {v: k for k, v in GREEK_LIKE.items()}
 _INVISIBLE = dict.fromkeys(map(ord, INVISIBLE))
+SCRIPTS = ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "LISU")
 _WORD = re.compile(r"[^\W_]+")
 
 
 def _script(c: str) -> str:
     name = unicodedata.name(c, "")
-    return next((s for s in ("LATIN", "CYRILLIC", "GREEK") if name.startswith(s)), "")
+    return next((s for s in SCRIPTS if name.startswith(s)), "")
 
 
 def skeleton(text: str) -> str:
@@ -63,13 +77,13 @@ def _one_script(word: str, context: str, latin_known: bool) -> str:
             return "".join(map(_TO_CYRILLIC.get, word))
         return word
     kinds = [_script(c) for c in word if c.isalpha()]
-    sure = {"LATIN": 0, "CYRILLIC": 0, "GREEK": 0}
+    sure = dict.fromkeys(SCRIPTS, 0)
     for c in word:
         base = unicodedata.normalize("NFD", c)[0]
         kind = _script(c)
         if kind == "LATIN" and (base != c or base not in _TO_CYRILLIC and base not in _TO_GREEK):
             sure[kind] += 1
-        elif kind in ("CYRILLIC", "GREEK") and base not in _TO_LATIN:
+        elif kind in SCRIPTS[1:] and base not in _TO_LATIN:
             sure[kind] += 1
     if len(set(kinds) - {""}) <= 1:
         if not kinds or kinds[0] == "LATIN" or any(sure.values()):
@@ -78,7 +92,7 @@ def _one_script(word: str, context: str, latin_known: bool) -> str:
             return word
         return "".join(_TO_LATIN.get(c, c) for c in word)
     most = max(sure, key=lambda s: (sure[s], kinds.count(s), s == context))
-    if most == "LATIN":
+    if most not in ("CYRILLIC", "GREEK"):
         return "".join(_TO_LATIN.get(c, c) for c in word)
     table = _TO_CYRILLIC if most == "CYRILLIC" else _TO_GREEK
     return "".join(table.get(c, c) if _script(c) == "LATIN" else _TO_CYRILLIC.get(_TO_LATIN.get(c, c), c) if most == "CYRILLIC" and _script(c) == "GREEK" else c for c in word)
@@ -86,7 +100,7 @@ def _one_script(word: str, context: str, latin_known: bool) -> str:
 
 def context_script(text: str) -> str:
     """The script of most letters that have no look-alike."""
-    n = {"LATIN": 0, "CYRILLIC": 0, "GREEK": 0, "": 0}
+    n = dict.fromkeys((*SCRIPTS, ""), 0)
     for c in text:
         if c.isalpha() and c not in _TO_LATIN and c not in _TO_CYRILLIC:
             n[_script(c)] += 1
@@ -94,61 +108,91 @@ def context_script(text: str) -> str:
     return best if n[best] else ""
 
 
-def consistent(text: str, context: str = "", latin_known=lambda word: True) -> str:
-    """The consistent form of a text."""
+def scripts(word: str) -> set[str]:
+    return {_script(c) for c in word if c.isalpha()} - {""}
+
+
+def consistent(text: str, context: str = "", latin_known=lambda word: True, forms: dict[str, str] | None = None) -> str:
+    """The consistent form of a text; `forms` has those of words that mix
+    scripts, from the groups of equal skeleton."""
     text = plain(text)
     if text.isascii():
         return text
     around = context_script(text) or context
-    return _WORD.sub(lambda m: _one_script(m[0], around, latin_known(m[0])), text)
-
-
-def _words(texts: pd.Series) -> pd.Series:
-    return pd.Series([[] if not t else [w for w in _WORD.findall(plain(t)) if not w.isascii() and all(c in _TO_LATIN for c in w if c.isalpha())] for t in texts])
+    return _WORD.sub(lambda m: forms[m[0]] if forms and m[0] in forms else _one_script(m[0], around, latin_known(m[0])), text)
+
+
+def _told(texts: pd.Series) -> pd.Series:
+    """Words with signs beyond ASCII, each with its skeleton and kind: `pure`
+    (one script), `mixed`, or `doubtful` (one script, look-alikes alone)."""
+    out, seen = [], {}
+    for t in texts:
+        rows = []
+        for w in dict.fromkeys(_WORD.findall(plain(t))) if t and not t.isascii() else ():
+            if w.isascii():
+                continue
+            if w not in seen:
+                letters = [c for c in w if c.isalpha()]
+                kind = "mixed" if len(scripts(w)) > 1 else "doubtful" if letters and all(c in _TO_LATIN for c in letters) else "pure"
+                seen[w] = (w, skeleton(w), kind)
+            rows.append(seen[w])
+        out.append(rows)
+    return pd.Series(out)
 
 
 def runs_in_form(runs: DataFrame) -> DataFrame:
     """run_id, text, consistent, changed, one row per run_id.
 
-    Words of look-alike letters alone are judged by their skeleton's group -
-    whether its Latin form is in use in the corpus as often - and by the script
-    around them, in the run or else on its page. A null text stays null and
-    unchanged. Repeated rows of a run count once.
+    Words are grouped by equal skeleton over all runs. A word that mixes
+    scripts takes the form most runs of its group have in one script (of a
+    group without one, the script of its letters that have no look-alike). A
+    word of look-alikes alone becomes Latin if the Latin form of its group is
+    in use as often and the script around it - in the run or else on its
+    page - is Latin. A null text stays null and unchanged. Repeated rows of a
+    run count once; texts beyond ASCII alone are looked at by letters.
     """
     runs = runs.groupBy("run_id").agg(F.min(F.struct("doc_id", "page_num", "text")).alias("r")).select("run_id", "r.*")
-
-    words = F.pandas_udf(_words, "array<string>")
+    beyond = runs.where(F.coalesce(F.col("text").rlike(r"[^\x00-\x7F]"), F.lit(False)))
     script = F.pandas_udf(lambda s: pd.Series([context_script(plain(t)) if t else "" for t in s]), "string")
-    skeletons = F.pandas_udf(lambda s: pd.Series([skeleton(w) for w in s]), "string")
-
-    page = runs.select("doc_id", "page_num", script("text").alias("s")).where("s <> ''").groupBy("doc_id", "page_num", "s").count()
-    page = page.groupBy("doc_id", "page_num").agg(F.max_by("s", "count").alias("context"))
-    doubtful = runs.select("run_id", F.explode(F.array_distinct(words("text"))).alias("word"))
-    forms = doubtful.groupBy("word").agg(F.count("*").alias("n")).withColumn("skeleton", skeletons("word"))
-    latin = runs.select(F.explode(F.split("text", r"(?U)[^\w]+")).alias("skeleton"))
-    latin = latin.join(forms.select("skeleton").distinct(), "skeleton").groupBy("skeleton").agg(F.count("*").alias("n_latin"))
-    known = forms.join(latin, "skeleton").where("n_latin >= n").select("word")
-    known = doubtful.join(known, "word").groupBy("run_id").agg(F.collect_set("word").alias("known"))
-    df = runs.join(known, "run_id", "left").join(page, ["doc_id", "page_num"], "left")
+    told = F.pandas_udf(_told, "array<struct<word:string,skeleton:string,kind:string>>")
+    df = checkpointed(beyond.withColumn("script", script("text")).withColumn("told", told("text")))
+
+    page = df.select("doc_id", "page_num", F.col("script").alias("s")).where("s <> ''").groupBy("doc_id", "page_num", "s").agg(F.count("*").alias("n"))
+    page = page.groupBy("doc_id", "page_num").agg(F.max_by("s", F.struct("n", "s")).alias("context"))
+    words = df.select("run_id", F.explode("told").alias("t")).select("run_id", "t.*")
+    counts = words.groupBy("word", "skeleton", "kind").agg(F.count("*").alias("n"))
+    asked = counts.where("kind <> 'pure'")
+    # words of letters within ASCII are their own skeletons
+    plain_words = runs.select(F.explode(F.array_distinct(F.split("text", r"(?U)[^\w]+"))).alias("word")).where(F.col("word").rlike(r"^[\x00-\x7F]+$"))
+    latin = plain_words.join(asked.select(F.col("skeleton").alias("word")).distinct(), "word").groupBy("word").agg(F.count("*").alias("n"))
+    latin = latin.select("word", F.col("word").alias("skeleton"), "n")
+    pure = counts.where("kind <> 'mixed'").select("word", "skeleton", "n").unionByName(latin)
+    best = pure.groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("form"))
+    mixed = asked.where("kind = 'mixed'").join(best, "skeleton").select("word", "form")
+    known = asked.where("kind = 'doubtful'").join(latin.select("skeleton", F.col("n").alias("n_latin")), "skeleton").where("n_latin >= n").select("word", F.lit(None).cast("string").alias("form"))
+    judged = words.where("kind <> 'pure'").join(mixed.unionByName(known), "word").groupBy("run_id").agg(F.collect_set(F.struct("word", "form")).alias("judged"))
+    df = df.join(judged, "run_id", "left").join(page, ["doc_id", "page_num"], "left")
 
     @F.pandas_udf("string")
-    def form(text: pd.Series, context: pd.Series, known: pd.Series) -> pd.Series:
+    def form(text: pd.Series, context: pd.Series, judged: pd.Series) -> pd.Series:
         out = []
-        for t, c, k in zip(text, context, known):
-            of = set() if k is None else set(k)
-            out.append(None if t is None else consistent(t, c or "", of.__contains__))
+        for t, c, j in zip(text, context, judged):
+            pairs = [] if j is None else [(x["word"], x["form"]) for x in j]
+            latin = {w for w, f in pairs if f is None}
+            out.append(consistent(t, c or "", latin.__contains__, {w: f for w, f in pairs if f is not None}))
         return pd.Series(out, dtype=object)
 
-    df = df.withColumn("consistent", form("text", "context", "known"))
-    return df.select("run_id", "text", "consistent", (~F.col("text").eqNullSafe(F.col("consistent"))).alias("changed"))
+    made = df.select("run_id", form("text", "context", "judged").alias("made"))
+    out = runs.join(made, "run_id", "left").withColumn("consistent", F.coalesce("made", "text"))
+    return out.select("run_id", "text", "consistent", (~F.col("text").eqNullSafe(F.col("consistent"))).alias("changed"))
 
 
 def look_alikes(runs: DataFrame) -> DataFrame:
-    """skeleton, consistent (the form in most runs), n_forms, n_runs: texts
+    """skeleton, consistent (the form in most runs), n_forms, n_runs: originals
     that look the same, by equal skeleton, of at least two different texts."""
     skeletons = F.pandas_udf(lambda s: pd.Series([None if t is None else skeleton(t) for t in s], dtype=object), "string")
     forms = runs_in_form(runs).where("text is not null").groupBy("text", "consistent").agg(F.count("*").alias("n"))
-    groups = forms.withColumn("skeleton", skeletons("consistent")).groupBy("skeleton").agg(
+    groups = forms.withColumn("skeleton", skeletons("text")).groupBy("skeleton").agg(
         F.max_by("consistent", F.struct("n", "consistent")).alias("consistent"), F.count("*").alias("n_forms"), F.sum("n").alias("n_runs")
     )
     return groups.where("n_forms > 1")

@@ -256,6 +256,19 @@ def test_consistent(text, form):
     assert confusables.skeleton(text) == confusables.skeleton(form)
 
 
+@pytest.mark.parametrize(("text", "form"), [("zakօn", "zakon"), ("ꓢeja", "Seja"), ("Ꭺna", "Ana"), ("sᴇja", "seja"), ("Հայաստան", "Հայաստան")])
+def test_other_scripts(text, form):
+    assert confusables.consistent(text) == form and confusables.skeleton(text) == confusables.skeleton(form)
+
+
+def test_the_group_of_equal_skeleton_decides(spark):
+    # words that mix scripts take the form their group has most in one script
+    data = [(1, "d", 0, "cова"), (2, "d", 0, "сова"), (3, "d", 0, "сова"), (4, "e", 0, "pасa"), (5, "e", 0, "paca"), (6, "e", 0, "paca")]
+    df = spark.createDataFrame(data, "run_id long, doc_id string, page_num int, text string")
+    got = {r.run_id: r.consistent for r in confusables.runs_in_form(df).collect()}
+    assert got == {1: "сова", 2: "сова", 3: "сова", 4: "paca", 5: "paca", 6: "paca"}
+
+
 def test_runs_in_form(spark):
     data = [(1, "d", 0, "sеja"), (2, "d", 0, "seja"), (2, "d", 0, "seja"), (3, "d", 0, None), (4, None, None, ""), (5, "d", 0, "se​ja " * 30_000), (6, "e", 0, "со"), (7, "e", 0, "цена соли")]
     df = with_clashes(spark.createDataFrame(data, "run_id long, doc_id string, page_num int, text string"))
