@@ -254,6 +254,14 @@ def cascade_tree(spark, sf_dir):
     return df.select("doc_id", "n.node_id", "n.parent_id", "n.depth", "n.kind", "n.tag", F.to_json("n.attrs").alias("attrs"), "n.text")
 
 
+@query()
+def speaker_usage(spark, sf_dir):
+    """Who speaks in scanned volumes, and in how many utterances."""
+    from .. import api
+
+    return api.parse(lines(spark, sf_dir, *_MEASURED), profiles(spark, sf_dir)).speakers()
+
+
 def _volume(name: str):
     def run(spark, sf_dir):
         return rules.rule_counts(volumes.classified(measured(spark, sf_dir), name), ["doc_id"], "rule")
@@ -528,13 +536,22 @@ _TEXT = "regexp_matches(text, '\\S')"
 @query(f"""WITH {SPOKEN}, M AS (SELECT *, {RULE} AS rule FROM T) SELECT doc_id, count(*) FILTER (rule = 'SPEAKER') AS speeches,
   CAST(sum(CASE WHEN rule IS DISTINCT FROM 'NUMBER' THEN len(regexp_extract_all(text, '\\S+')) ELSE 0 END) AS BIGINT) AS words FROM M GROUP BY doc_id""")
 def speech_extents(spark, sf_dir):
-    return structure.extents(trees(spark, sf_dir), "doc_id")
+    """Counted from the rules: what each does is known without its tree."""
+    df = transcript(spark, sf_dir).withColumn("rule", line_rules().first_match(F.col("text")))
+    words = F.when(F.col("rule").eqNullSafe("NUMBER"), 0).otherwise(F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)))
+    return df.groupBy("doc_id").agg(F.count_if(F.col("rule") == "SPEAKER").alias("speeches"), F.sum(words).cast("long").alias("words"))
 
 
 @query(f"""WITH {SPOKEN}, M AS (SELECT *, {RULE} AS rule FROM T) SELECT doc_id, tag, count(*) AS n FROM (SELECT DISTINCT doc_id, 'body' AS tag, 0 AS i FROM M UNION ALL SELECT doc_id, 'note', line_idx FROM M WHERE rule IN ('SPEAKER', 'NOTE')
   UNION ALL SELECT doc_id, 'u', line_idx FROM M WHERE rule = 'SPEAKER' UNION ALL SELECT doc_id, 'div', line_idx FROM M WHERE rule = 'HEAD' UNION ALL SELECT doc_id, 'head', line_idx FROM M WHERE rule = 'HEAD') GROUP BY ALL""")
 def tag_usage(spark, sf_dir):
-    return structure.tag_usage(trees(spark, sf_dir), "doc_id")
+    """Elements that the rules open, counted before the shuffle."""
+    opened = {rule: [a[1] for a in actions if a[0] == "push"] for rule, actions in ACTIONS.items()}
+    df = transcript(spark, sf_dir).withColumn("rule", line_rules().first_match(F.col("text")))
+    tags = F.create_map(*[x for rule, names in opened.items() for x in (F.lit(rule), F.array(*map(F.lit, names)) if names else F.expr("cast(array() as array<string>)"))])
+    counts = df.groupBy("doc_id", "rule").agg(F.count("*").alias("n")).select("doc_id", "n", F.explode(tags[F.col("rule")]).alias("tag"))
+    roots = df.select("doc_id", F.lit("body").alias("tag")).distinct().withColumn("n", F.lit(1).cast("long"))
+    return counts.groupBy("doc_id", "tag").agg(F.sum("n").alias("n")).unionByName(roots)
 
 
 @query(f"""WITH {SPOKEN}, M AS (SELECT doc_id, CAST(line_idx AS BIGINT) AS seq, CASE {RULE} WHEN 'HEAD' THEN 1 WHEN 'SPEAKER' THEN 2 ELSE 3 END AS lv FROM T)

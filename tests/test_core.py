@@ -9,11 +9,12 @@ from xml.etree import ElementTree
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark import api
 from foliospark.functions import columns as C
 from foliospark.operators import corpus, footnotes, headers, jobs, layout, pages, speakers, structure
 from foliospark.operators.carry import carry_last
 from foliospark.plans import cascade, rules, volumes
-from foliospark.sources import readers, writers
+from foliospark.sources import pdf, readers, writers
 from foliospark.streaming.incremental import incremental, sessions, windowed_counts
 
 
@@ -446,3 +447,59 @@ def test_footnotes(spark):
     assert footnotes.consumed_runs(runs, found).count() == runs.count() - 2
     assert values(footnotes.continuations(df, definitions), "line_idx", "number") == [(3, "121"), (4, "15"), (6, "16")]
     assert footnotes.marks(runs.limit(0)).count() == 0
+
+
+def fake_backend():
+    """Pages parted by form feeds, words by spaces; `!` on a page breaks it."""
+    def page(content, n):
+        text = content.decode().split("\f")[n]
+        if "!" in text:
+            raise ValueError("broken page")
+        return text
+
+    def rows(n, parts):
+        return [(n, i, t, 10.0 * i, 10.0 * i + 5, 700.0, "F", 10.0, 480.0, 760.0) for i, t in enumerate(parts)]
+
+    def pages(content):
+        if content == b"no pdf":
+            raise ValueError("no document")
+        return len(content.decode().split("\f"))
+
+    return pdf.Backend("fake", pages, lambda c, n: rows(n, "" if page(c, n).startswith("#") else page(c, n)), lambda c, n: rows(n, page(c, n).lstrip("#").split()))
+
+
+def test_pdf_pages_are_tasks(spark):
+    b = fake_backend()
+    book = "\f".join(f"p{i} x" for i in range(10))
+    files = spark.createDataFrame([("a", book.encode()), ("b", b"no pdf"), ("c", b"one\f!\ftwo"), ("d", b"#seen by words")], "path string, content binary")
+    tasks = pdf.page_tasks(files, b, pages_per_task=4)
+    assert values(tasks, "path", "start", "end")[:3] == [("a", 0, 4), ("a", 4, 7), ("a", 7, 10)]
+    words = pdf.scanned(files, b, "words", pages_per_task=4)
+    assert [r.text for r in words.where("path = 'a'").orderBy("page_num", "seq").collect()][:4] == ["p0", "x", "p1", "x"] and words.where("path = 'a'").count() == 20
+    assert values(pdf.page_warnings(words), "path", "warning") == [("b", "ValueError: no document"), ("c", "page 2 extraction failed: ValueError: broken page")]
+    assert pdf.scanned(files, b, "words", start=2, end=5).where("path = 'a'").count() == 6
+    mode = spark.createDataFrame([("a", "ocr")], "path string, mode string")
+    read = pdf.adaptive(files.where("path in ('a', 'd')"), b, mode)
+    assert [r.text for r in read.where("path = 'd'").orderBy("seq").collect()] == ["seen", "by", "words"] and read.where("path = 'a'").count() == 20
+    more = pdf.enriched(words, F.col("text").isNotNull(), {"n_words": F.count("*")}, {"is_start": F.col("seq") == 0})
+    assert values(more.where("path = 'c'"), "page_num", "n_words", "is_start") == [(0, 1, True), (2, 1, True)]
+    assert values(pdf.coordinates(words, needle="P3"), "page_num", "text", "font_size") == [(3, "p3x", 10.0)] and pdf.coordinates(words, page=0).where("path = 'a'").count() == 1
+    assert pdf.scanned(files, None).where("error like '%no PDF library%'").count() == 4
+
+
+def test_documents_to_bundles(spark, tmp_path):
+    lines = volume(spark, ("3. SEJA", 200.0, 680.0, 14.0, "F"), "Predsednik Ivan Novak: Začenjam.", "Ana Kovač: Hvala & na svidenje.", "Ana Kovač: Še to.")
+    profile = spark.createDataFrame([("d", 10.0, False)], "doc_id string, body_size double, styled boolean")
+    seen = []
+    result = api.parse(lines, profile, {"on_start": lambda df: seen.append("start") or df, "on_end": lambda df: df.where("kind <> 'comment'")})
+    assert seen == ["start"]
+    assert values(result.speakers(), "label", "n") == [("Ana Kovač", 2), ("Predsednik Ivan Novak", 1)]
+    leaders = spark.createDataFrame([("d", "Ana Kovač", "#ana")], "doc_id string, who string, leader string")
+    assert values(api.canonical(result.nodes(), leaders).where("tag = 'u'").select(F.col("attrs")["who"].alias("w")), "w") == [("#ana",), ("#ana",), ("Predsednik Ivan Novak",)]
+    done = values(result.write(str(tmp_path)), "name")
+    assert done == [("d/data.json",), ("d/diagnostics.json",), ("d/document.xml",), ("d/listPerson.xml",)]
+    root = ElementTree.fromstring((tmp_path / "d/document.xml").read_text())
+    assert [u.get("who") for u in root.iter("u")] == ["Predsednik Ivan Novak", "Ana Kovač", "Ana Kovač"]
+    assert '"SPEAKER":3' in (tmp_path / "d/diagnostics.json").read_text() and "Ana" in (tmp_path / "d/listPerson.xml").read_text()
+    register = spark.createDataFrame([("ana kovač", "ent-1"), ("Ana Kovač", "ent-2"), (None, None)], "search_name string, p string")
+    assert values(api.with_register(result.speakers(), register, "label"), "label", "p") == [("Ana Kovač", "ent-1"), ("Predsednik Ivan Novak", None)]
