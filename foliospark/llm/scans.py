@@ -85,15 +85,23 @@ def text_lines(lines: DataFrame) -> DataFrame:
 
 
 def with_next(text: DataFrame) -> DataFrame:
-    """Add `following`: the text of the next text line, on the page or else
-    the first of the next page; and `preceding` likewise."""
+    """Add `following` and `preceding`: the text of the next text line and the
+    one before, on the page or else on the nearest page that has text; and
+    `next_page`, `next_line`, where the next one stands. Between pages only
+    their first and last lines are ordered, one row a page."""
     page = Window.partitionBy("doc_id", "page_num").orderBy("line_idx")
-    ends = text.groupBy("doc_id", "page_num").agg(F.min_by("text", "line_idx").alias("first"), F.max_by("text", "line_idx").alias("last"))
-    after = ends.select("doc_id", (F.col("page_num") - 1).alias("page_num"), F.col("first").alias("__after"))
-    before = ends.select("doc_id", (F.col("page_num") + 1).alias("page_num"), F.col("last").alias("__before"))
-    df = text.withColumn("__lead", F.lead("text").over(page)).withColumn("__lag", F.lag("text").over(page))
-    df = df.join(after, ["doc_id", "page_num"], "left").join(before, ["doc_id", "page_num"], "left")
-    return df.select(*text.columns, F.coalesce("__lead", "__after").alias("following"), F.coalesce("__lag", "__before").alias("preceding"))
+    ends = text.groupBy("doc_id", "page_num").agg(
+        F.min_by(F.struct("text", "line_idx"), "line_idx").alias("first"), F.max_by("text", "line_idx").alias("last")
+    )
+    pages = Window.partitionBy("doc_id").orderBy("page_num")
+    ends = ends.select(
+        "doc_id", "page_num", F.lead(F.struct(F.col("page_num").alias("p"), "first.text", "first.line_idx")).over(pages).alias("__after"), F.lag("last").over(pages).alias("__before")
+    )
+    df = text.withColumn("__lead", F.lead(F.struct(F.col("page_num").alias("p"), "text", "line_idx")).over(page)).withColumn("__lag", F.lag("text").over(page))
+    df = df.join(ends, ["doc_id", "page_num"], "left").withColumn("__next", F.coalesce("__lead", "__after"))
+    return df.select(
+        *text.columns, F.col("__next.text").alias("following"), F.coalesce("__lag", "__before").alias("preceding"), F.col("__next.p").alias("next_page"), F.col("__next.line_idx").alias("next_line")
+    )
 
 
 def core(word: Column) -> Column:
@@ -185,19 +193,21 @@ def broken(df: DataFrame, words: DataFrame) -> DataFrame:
     only the line's end divides.
 
     The word has a hyphen of its own if the form with it stands within lines
-    more often than the form without, or if the first half stands so before
-    the very word that follows (as in a pair sharing its last part).
+    more often than the form without, or if the first half stands so within
+    lines, nothing stands for the form without, and a frequent word follows (as
+    in a pair sharing its last part).
     """
     cut = halves(df).where("a <> '' and b <> ''").where(F.col("b").rlike(r"^\p{Ll}|^[\p{P}\p{S}\d]*\p{Ll}") | F.col("a").rlike(r"^\p{Lu}{2,}$"))
     cut = cut.withColumn("joined", core(F.concat("a", "b"))).withColumn("own", core(F.concat_ws("-", "a", "b")))
     cut = cut.withColumn("half", F.concat(core(F.col("a")), F.lit("-")))
-    asked = cut.select(F.explode(F.array("joined", "own", "half")).alias("word")).distinct()
+    cut = cut.withColumn("next", core(F.col("b")))
+    asked = cut.select(F.explode(F.array("joined", "own", "half", "next")).alias("word")).distinct()
     known = words_with_hyphens(df).unionByName(words).groupBy("word").agg(F.sum("n").alias("n"))
     known = asked.join(known, "word")
-    for c in ("joined", "own", "half"):
+    for c in ("joined", "own", "half", "next"):
         cut = cut.join(known.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}")), c, "left")
     n = lambda c: F.coalesce(F.col(f"n_{c}"), F.lit(0))
-    own = (n("own") > n("joined")) | ((n("half") > 0) & (n("joined") == 0) & F.col("b").rlike(r"^(in|i|und|and|e|és|oder|ali|ili|or|o|vagy)$"))
+    own = (n("own") > n("joined")) | ((n("half") > 0) & (n("joined") == 0) & (n("next") >= FREQUENT))
     return cut.where(~own).select("doc_id", "page_num", "line_idx", "joined", "a", "b")
 
 
@@ -250,15 +260,8 @@ def defects(lines: DataFrame) -> DataFrame:
     first = fixed.where(~same).select(*line)
     rest = F.substring(F.col("joined"), at + 1, F.length("joined"))
     second_bad = ~F.endswith(F.col("right"), rest)
-    following = Window.partitionBy("doc_id", "page_num").orderBy("line_idx")
-    place = text.select(*line).withColumn("n_line", F.lead("line_idx").over(following))
-    firsts = text.groupBy("doc_id", "page_num").agg(F.min("line_idx").alias("f_line")).withColumn("page_num", F.col("page_num") - 1)
-    place = place.join(firsts, ["doc_id", "page_num"], "left")
-    second = fixed.where(second_bad).join(place, line).select(
-        "doc_id",
-        F.when(F.col("n_line").isNull(), F.col("page_num") + 1).otherwise(F.col("page_num")).alias("page_num"),
-        F.coalesce("n_line", "f_line").alias("line_idx"),
-    ).where("line_idx is not null")
+    place = text.select(*line, "next_page", "next_line")
+    second = fixed.where(second_bad).join(place, line).where("next_line is not null").select("doc_id", F.col("next_page").alias("page_num"), F.col("next_line").alias("line_idx"))
     apart = text.where(torn(F.col("text"))).select(*line)
     glyph = shapes.unionByName(whole).unionByName(first).unionByName(second).unionByName(apart).distinct()
     return furniture.unionByName(hyphen).unionByName(glyph.select(*line, F.lit("glyph").alias("defect")))

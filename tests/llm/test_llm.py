@@ -307,6 +307,12 @@ def test_defects(spark):
     assert "predlogu zakona in kulturno-prosvetni odbor zavrača predlog zakona odbor" in text and "SEJA" not in text
 
 
+def test_word_goes_on_after_an_empty_page(spark):
+    page = ["kamara obravnava odbor"] * 12 + ["tukaj govori od-"]
+    got = scans.with_next(scans.text_lines(scan(spark, [page, [""], ["bor zavrača"] * 2]))).where("page_num = 0 and line_idx = 12").first()
+    assert (got.following, got.next_page, got.next_line) == ("bor zavrača", 2, 0)
+
+
 def test_misread_word_cut_by_the_line(spark):
     page = ["kamara obravnava odbor"] * 12 + ["tukaj govori ka-", "rnara in od-", "bor zavrača"]
     got = {(r.line_idx, r.defect) for r in scans.defects(scan(spark, [page])).where("defect <> 'furniture'").collect()}
