@@ -35,24 +35,45 @@ _ENGLISH = re.compile("[aeiouy]+")
 _ITALIAN = re.compile("[aeou][iu](?![aeou])|[iu][aeouàèéòù]|[aeiouàèéìíòóùú]")
 
 
-def syllables(word: str, lang: str) -> int:
-    """Syllables by the places where a word of that language may be divided;
-    at least one. Expects lower case."""
+# Consonants that begin a syllable together, before l and r, and the digraphs of the languages.
+_STOPS, _TOGETHER = frozenset("bcdfgkptvčšžshz"), frozenset("ch ck ph qu sch sh th lj nj dž gy ly ny ty cs sz zs gn sp st šk šp št sv zv".split())
+
+
+def _nuclei(word: str, lang: str) -> list[tuple[int, int]]:
+    """Where the vowels of syllables stand."""
     if lang in _SLAVIC:
-        word = to_latin(word)
-        return max(1, len(_EVERY_VOWEL.findall(word)) + len(_R_SYLLABLE.findall(word)) * (len(word) > 1))
-    if lang == "hu":
-        return max(1, len(_EVERY_VOWEL.findall(word)))
-    if lang == "de":
-        return max(1, len(_GERMAN.findall(word)))
-    if lang == "it":
-        return max(1, len(_ITALIAN.findall(word)))
-    n = len(_ENGLISH.findall(word))
-    if word.endswith("e") and not word.endswith(("le", "ee")) and n > 1:
-        n -= 1
-    if word.endswith("ed") and not word.endswith(("ted", "ded")) and n > 1:
-        n -= 1
-    return max(1, n)
+        marks = list(_EVERY_VOWEL.finditer(word)) + (list(_R_SYLLABLE.finditer(word)) if len(word) > 1 else [])
+    else:
+        marks = list({"hu": _EVERY_VOWEL, "de": _GERMAN, "it": _ITALIAN}.get(lang, _ENGLISH).finditer(word))
+    spans = sorted(m.span() for m in marks)
+    if lang == "en" and len(spans) > 1:
+        # a silent e at the end, and in -ed but after t and d
+        if word.endswith("e") and not word.endswith(("le", "ee")) or word.endswith("ed") and not word.endswith(("ted", "ded")):
+            spans = spans[:-1]
+    return spans
+
+
+def divided(word: str, lang: str) -> list[str]:
+    """The word's parts between which that language may hyphenate it: before
+    the last consonant between two vowels, or before consonants that begin a
+    syllable together. Expects lower case."""
+    word = to_latin(word) if lang in _SLAVIC else word
+    spans, cuts = _nuclei(word, lang), []
+    for (_, end), (start, _) in zip(spans, spans[1:]):
+        between = word[end:start]
+        onset = min(1, len(between))
+        for n in (3, 2):
+            last = between[-n:]
+            if len(last) == n and (last in _TOGETHER or (n == 2 and last[0] in _STOPS and last[1] in "lr")):
+                onset = n
+                break
+        cuts.append(start - onset)
+    return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
+
+
+def syllables(word: str, lang: str) -> int:
+    """Parts of the word by hyphenation-style rules; at least one."""
+    return len(divided(word, lang))
 
 
 def formulas(sentences, words, letters, syll, poly, long) -> np.ndarray:

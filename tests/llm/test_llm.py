@@ -120,6 +120,14 @@ def test_syllables():
         assert abs(readability.syllables(word, lang) - n) <= (1 if lang == "it" else 0), (lang, word)
 
 
+@pytest.mark.parametrize(
+    ("word", "lang", "parts"),
+    [("predlagatelj", "sl", "pre-dla-ga-telj"), ("prvi", "hr", "pr-vi"), ("kmetija", "sl", "kme-ti-ja"), ("odbor", "sl", "od-bor"), ("straße", "de", "stra-ße"), ("garten", "de", "gar-ten"), ("made", "en", "made"), ("report", "en", "re-port"), ("magyarország", "hu", "ma-gya-ror-szág"), ("", "sl", ""), ("tst", "en", "tst")],
+)
+def test_divided(word, lang, parts):
+    assert "-".join(readability.divided(word, lang)) == parts
+
+
 @pytest.mark.skipif(not os.path.exists(GRADED), reason="needs the test tables")
 def test_reading_levels(spark):
     graded = spark.read.parquet(GRADED)
