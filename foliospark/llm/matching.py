@@ -82,7 +82,7 @@ def confidence() -> Column:
     of its fields; 0 if bodies, or life years and dates, exclude each other."""
     same_first = F.when(F.col("l_first") == F.col("r_first"), 1.0).when(
         (F.length(F.least("l_first", "r_first")) <= 1) & (F.left("l_first", F.lit(1)) == F.left("r_first", F.lit(1))), 0.6
-    ).when(F.levenshtein("l_first", "r_first") <= 1, 0.8).otherwise(0.0)
+    ).when(F.levenshtein("l_first", "r_first") <= 1, 0.8).when(F.left("l_first", F.lit(3)) == F.left("r_first", F.lit(3)), 0.6).otherwise(0.0)
     last = likeness(F.col("l_last"), F.col("r_last"))
     unknown = (F.col("l_org") == "") | (F.col("r_org") == "")
     body = F.when(unknown, 0.5).when(F.col("l_org") == F.col("r_org"), 1.0).otherwise(0.0)
