@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .carry import carry_last
+from .carry import carry_last, carry_sum
 
 BREAK = "absolute"
 
@@ -47,6 +47,15 @@ def islands(df: DataFrame, by: list[str], order: list[str], same: list[str], nam
     return df.withColumn(name, F.sum("__new").over(w)).drop("__new")
 
 
+def block_islands(df: DataFrame, doc: str, block: str, order: list[str], same: list[str], name: str = "island") -> DataFrame:
+    """As islands, of one key column that may hold a third of all rows: by
+    blocks of rows (a number that grows with the order), never by keys."""
+    now = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(same)])
+    df = carry_last(df, doc, block, order, now, "__before", before=True)
+    changed = F.col("__before").isNotNull() & ~F.col("__before").eqNullSafe(now)
+    return carry_sum(df, doc, block, order, changed.cast("int"), name).drop("__before")
+
+
 def run_groups(df: DataFrame, by: list[str], order: list[str], font: str, size: str, x: str, max_gap: float | None = None) -> DataFrame:
     """Number runs: the same font and exactly the same size, and no jump in x."""
     w = Window.partitionBy(*by).orderBy(*order)
@@ -153,17 +162,19 @@ def merged_runs(runs: Column, size_slack: float = 0.1, base_slack: float = 0.25)
     return F.when(F.size(runs) < 3, runs).otherwise(F.aggregate(rest, first, step))
 
 
-def previous_in_flow(df: DataFrame, by: list[str], order: list[str], value: str, out_of_flow: Column, name: str = "previous") -> DataFrame:
-    """Add the value of the row before that is in the flow."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("__v", F.when(~out_of_flow, F.col(value))).withColumn(name, F.last("__v", True).over(w)).drop("__v")
+def previous_in_flow(df: DataFrame, doc: str, block: str, order: list[str], value: str, out_of_flow: Column, name: str = "previous") -> DataFrame:
+    """Add the value of the row before that is in the flow; filled forward by
+    blocks of rows (a number that grows with the order), not by documents."""
+    return carry_last(df, doc, block, order, F.when(~out_of_flow, F.col(value)), name, before=True)
 
 
 def take_while(df: DataFrame, by: list[str], order: list[str], stop: Column) -> DataFrame:
-    """The rows before the first that stops its document."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("__stop", F.max(F.coalesce(stop, F.lit(False))).over(w))
-    return df.where(~F.col("__stop")).drop("__stop")
+    """The rows before the first that stops its document: the first stop is a
+    minimum, aggregated before the shuffle, so that no document is sorted.
+    Rows of equal order with the first stop are past it."""
+    first = df.where(F.coalesce(stop, F.lit(False))).groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.min(F.struct(*order)).alias("__stop"))
+    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    return df.join(first, on, "left").where(F.col("__stop").isNull() | (F.struct(*order) < F.col("__stop"))).select(*df.columns)
 
 
 def page_ranges(start: Column, end: Column, workers: int) -> Column:

@@ -7,11 +7,12 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from ..functions import columns as C
+from .carry import carry_last, carry_sum
 
 
 def _key(text: str) -> str:
@@ -115,10 +116,10 @@ def person_records(bindings: DataFrame) -> DataFrame:
     )
 
 
-def utterances(lines: DataFrame, doc: str, order: list[str], speaker: Column) -> DataFrame:
+def utterances(lines: DataFrame, doc: str, block: str, order: list[str], speaker: Column) -> DataFrame:
     """Add utterance (numbered from 1; null before the first speaker) and who,
-    the speaker last named."""
-    w = Window.partitionBy(doc).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    the speaker last named; by blocks of rows, not by documents."""
     df = lines.withColumn("__s", speaker)
-    df = df.withColumn("utterance", F.nullif(F.count("__s").over(w), F.lit(0))).withColumn("who", F.last("__s", True).over(w))
-    return df.drop("__s")
+    df = carry_sum(df, doc, block, order, F.col("__s").isNotNull().cast("int"), "utterance")
+    df = carry_last(df, doc, block, order, F.col("__s"), "who")
+    return df.withColumn("utterance", F.nullif(F.col("utterance"), F.lit(0))).drop("__s")

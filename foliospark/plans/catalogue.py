@@ -61,6 +61,11 @@ def character_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 RUNS = "R AS (SELECT * FROM character_run QUALIFY row_number() OVER (PARTITION BY run_id) = 1)"
 
 
+def by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the number of their day, the block of forward fills."""
+    return table(spark, sf_dir, "events").withColumn("day", F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")))
+
+
 # --- records and selectors ------------------------------------------------------
 
 
@@ -296,7 +301,7 @@ def line_grouping_downward(spark, sf_dir):
   I AS (SELECT *, CAST(sum(CAST(c AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS island FROM C)
   SELECT user_id, island, min(event_type) AS event_type, count(*) AS n, min(event_id) AS first_id FROM I GROUP BY user_id, island""")
 def run_islands(spark, sf_dir):
-    df = layout.islands(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], ["event_type"])
+    df = layout.block_islands(by_days(spark, sf_dir), "user_id", "day", ["ts", "event_id"], ["event_type"])
     return df.groupBy("user_id", "island").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"))
 
 
@@ -362,7 +367,7 @@ def merged_runs(spark, sf_dir):
 
 @query("""SELECT user_id, event_id, last_value(CASE WHEN event_type <> 'error' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM events""")
 def previous_in_flow(spark, sf_dir):
-    df = layout.previous_in_flow(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_id", F.col("event_type") == "error")
+    df = layout.previous_in_flow(by_days(spark, sf_dir), "user_id", "day", ["ts", "event_id"], "event_id", F.col("event_type") == "error")
     return df.select("user_id", "event_id", "previous")
 
 
@@ -733,7 +738,7 @@ def person_records(spark, sf_dir):
   SELECT doc_id, line_idx, nullif(count(s) OVER w, 0) AS utterance, last_value(s IGNORE NULLS) OVER w AS who FROM M WINDOW w AS (PARTITION BY doc_id ORDER BY line_idx)""")
 def utterances(spark, sf_dir):
     rule = line_rules().first_match(F.col("text"))
-    df = speakers.utterances(transcript(spark, sf_dir), "doc_id", ["line_idx"], F.when(rule == "SPEAKER", F.substring_index("text", ":", 1)))
+    df = speakers.utterances(transcript(spark, sf_dir).withColumn("block", F.floor(F.col("line_idx") / 64)), "doc_id", "block", ["line_idx"], F.when(rule == "SPEAKER", F.substring_index("text", ":", 1)))
     return df.select("doc_id", "line_idx", "utterance", "who")
 
 

@@ -98,6 +98,25 @@ def test_islands_and_lines(spark):
     assert layout.islands(df.limit(0), ["doc"], ["seq"], ["font"]).count() == 0
 
 
+def test_block_islands_and_sums_equal_a_loop(spark):
+    random.seed(4)
+    rows = [(d, i, random.choice("ab"), random.choice([None, 1, 2])) for d in ("x", "y", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc string, i int, v string, n int").withColumn("block", F.floor(F.col("i") / 7))
+    from foliospark.operators.carry import carry_sum
+
+    sums = {(r.doc, r.i): r.s for r in carry_sum(df, "doc", "block", ["i"], F.col("n"), "s", block=3).collect()}
+    got = {(r.doc, r.i): r.island for r in layout.block_islands(df, "doc", "block", ["i"], ["v"]).collect()}
+    for d in ("x", "y", None):
+        mine, island, total = [r for r in rows if r[0] == d], 0, 0
+        for k, r in enumerate(mine):
+            island += k > 0 and mine[k - 1][2] != r[2]
+            total += r[3] or 0
+            assert got[d, r[1]] == island and sums[d, r[1]] == total
+    assert layout.block_islands(df.limit(0), "doc", "block", ["i"], ["v"]).count() == 0
+    kept = layout.take_while(df, ["doc"], ["i"], F.col("i") == 5)
+    assert kept.count() == 15 and layout.take_while(df, ["doc"], ["i"], F.lit(None).cast("boolean")).count() == 180
+
+
 def test_anchor_clusters_equal_a_loop(spark):
     random.seed(2)
     xs = [round(random.uniform(0, 60), 1) for _ in range(40)]
