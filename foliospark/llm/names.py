@@ -208,18 +208,20 @@ def _cosines(at_a: pd.Series, w_a: pd.Series, at_b: pd.Series, w_b: pd.Series) -
     return pd.Series(np.bincount(ka[met] // BUCKETS, wa[met] * wb[to[met]], len(at_a)))
 
 
-def similar(left: DataFrame, right: DataFrame | None, least: float, nth: int = 0) -> DataFrame:
+def similar(left: DataFrame, right: DataFrame | None, least: float, nth: int = 0, same: bool = False) -> DataFrame:
     """a, b, cosine of all pairs of one block whose cosine is at least `least`,
-    from tables (id, block, at, w, k; `nth` says which k is for `least`), an id being in as many blocks as it has
-    rows; without `right` the pairs a < b within `left`. N-grams in more than HOT rows are spread
-    over SALTS tasks."""
+    from tables (id, block, at, w, k; `nth` says which k is for `least`), an id
+    being in as many blocks as it has rows; without `right`, and where both
+    have the `same` ids, each pair once, a < b. N-grams in more than HOT rows
+    are spread over SALTS tasks."""
     prefix = lambda df, name: df.select(F.col("id").alias(name), "block", F.explode(F.slice("at", 1, F.col("k")[nth])).alias("g"))
     a, b = prefix(left, "a"), prefix(left if right is None else right, "b")
     hot = b.groupBy("block", "g").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("block", "g", F.lit(SALTS).alias("salts"))
     salted = lambda df: df.join(hot, ["block", "g"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     a = salted(a).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).drop("salts")
     b = salted(b).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    pairs = a.join(b, ["block", "g", "salt"]).where("a < b" if right is None else "a <> b").select("a", "b").distinct()
+    pairs = a.join(b, ["block", "g", "salt"]).where("a < b" if right is None else "a <> b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct() if same else pairs.select("a", "b").distinct()
     once = lambda df: df.select("id", "at", "w").dropDuplicates(["id"])
     va = once(left).toDF("a", "at_a", "w_a")
     vb = once(left if right is None else right).toDF("b", "at_b", "w_b")
@@ -464,7 +466,7 @@ def linked(rows: DataFrame, id: str, side: Column | None = None) -> DataFrame:
     only = found.groupBy("a").agg(F.min("home").alias("home"), F.max("home").alias("other")).where("home = other")
     forms = forms.join(only.select(F.col("a").alias("id"), "home"), "id", "left")
     forms = checkpointed(forms.withColumn("home", F.when(F.col("org") == "", F.coalesce("home", F.lit(""))).otherwise(F.col("org"))))
-    pairs = similar(blocks(forms, "asks", "__side", "home"), blocks(forms, "answers", "__side", "home"), NAME)
+    pairs = similar(blocks(forms, "asks", "__side", "home"), blocks(forms, "answers", "__side", "home"), NAME, same=True)
     # only forms of one home and one first letter are ever paired
     places = forms.select(F.col("id").alias("a"), F.concat_ws("|", "__side", "home", F.left("first", F.lit(1))).alias("place"))
     forms = forms.join(grouped(pairs.join(places, "a"), NAME_LINKAGE, "place"), "id", "left").select("__side", "first", "last", "org", "home", F.coalesce("group", "id").alias("person"))
