@@ -5,8 +5,10 @@ by the number of shingles they hold, so that the containment of a short
 passage in a long document becomes a similarity of two sets of like size. Each
 block has one minimum for each of K hash functions; it is a candidate for a
 passage of an item if enough minima agree for the block's size class. Phrases
-usual among the items themselves take no part. Candidates are verified by
-exact shingle containment along the passage.
+usual among the items themselves take no part in the minima; where they leave a
+stretch of an item few shingles, which minima would often miss, each of these
+is looked up as it is. Candidates are verified by exact shingle containment
+along the passage.
 
 A block holds 36 words and begins every 8, a passage 24 words every 4, so that
 a copied passage of two dozen words lies within one block.
@@ -44,6 +46,9 @@ CONTAINMENT = 0.6
 #: Verified: words in agreement, share of the passage's shingles from the first
 #: to the last that are met, words in few items (places, figures) among them.
 MIN_WORDS, MIN_SHARE, MIN_RARE = 19, 0.4, 2
+#: In an item's stretches of a passage's length with fewer shingles that aren't
+#: usual, these propose candidates one by one.
+FEW = (PASSAGE - SHINGLE + 1) // 2
 #: Items that are searched at once; more are taken in so many rounds.
 ITEMS_PER_ROUND = 50_000
 KEPT_WORDS = 1_000_000
@@ -97,6 +102,15 @@ class Filter:
         return at[self.values[near] == v]
 
 
+def _few(told: np.ndarray) -> np.ndarray:
+    """Places of the shingles told, those that aren't usual, in stretches of
+    a passage's length that have fewer than FEW of them."""
+    n = min(PASSAGE - SHINGLE + 1, len(told))
+    sums = np.concatenate([[0], np.cumsum(told)])
+    poor = np.flatnonzero(sums[n:] - sums[: len(sums) - n] < FEW)
+    return np.intersect1d(np.flatnonzero(told), (poor[:, None] + np.arange(n)[None, :]).ravel())
+
+
 def _item_words(text: str, words: Words) -> np.ndarray:
     return np.array([h for h in map(words.__getitem__, text.split()) if h], np.uint64)
 
@@ -139,10 +153,16 @@ class Index:
         sets = {i: _shingles(w) for i, w in self.words.items()}
         self.usual = Filter(common[1])
         self.places = {i: _positions(s) for i, s in sets.items()}
-        mins, who = [], []
+        mins, who, few = [], [], [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        self.told, self.reach = {}, {}
         for i, s in sets.items():
             s = s.copy()
             s[self.usual.find(s)] = _TOP
+            self.told[i] = s != _TOP
+            single = np.unique(s[_few(self.told[i])])
+            few.append((single, np.full(len(single), i, np.int64)))
+            # blocks of usual phrases alone aren't candidates, but may belong to the passage
+            self.reach[i] = max(PASSAGE, len(self.words[i])) if self.told[i].sum() < len(s) else PASSAGE
             for at in range(0, max(1, len(s) - (PASSAGE - SHINGLE)), PASSAGE_STEP):
                 part = s[at : at + PASSAGE - SHINGLE + 1]
                 part = part[part != _TOP]
@@ -151,6 +171,9 @@ class Index:
                     who.append((i, len(np.unique(part))))
         self.size = np.array([n for _, n in who], np.int64)
         self.item = np.array([i for i, _ in who], np.int64)
+        singles, of = (np.concatenate(x) for x in zip(*few))
+        order = np.argsort(singles, kind="stable")
+        self.few = (Filter(singles), singles[order], of[order])
         table = np.array(mins, np.uint64).reshape(-1, HASHES)
         self.by_hash = []
         for k in range(HASHES):
@@ -187,8 +210,9 @@ class Index:
             if len(at):
                 within = np.arange(int(ends[-1])) - np.repeat(ends - count, count)
                 found.append(np.repeat(at, count) * len(self.item) + order[np.repeat(lo, count) + within])
+        alone = self._alone(flat, base)
         if not found:
-            return np.zeros((0, 3), np.int64)
+            return np.unique(alone, axis=0)
         pairs, agree = np.unique(np.concatenate(found), return_counts=True)
         block, passage = pairs // len(self.item), pairs % len(self.item)
         # size classes: containment c of q shingles in a block of u has similarity cq / (q + u - cq)
@@ -198,13 +222,26 @@ class Index:
         keep = (agree >= np.minimum(need, np.maximum(1, q)))
         block, item = block[keep], self.item[passage[keep]]
         text = np.searchsorted(base, block, side="right") - 1
-        return np.unique(np.stack([text, item, (block - base[text]) * STEP], 1), axis=0)
+        return np.unique(np.concatenate([np.stack([text, item, (block - base[text]) * STEP], 1), alone]), axis=0)
+
+    def _alone(self, flat: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Rows (text, item, first word of the block) of shingles that propose candidates one by one."""
+        quick, values, items = self.few
+        at = quick.find(flat)
+        lo, hi = np.searchsorted(values, flat[at]), np.searchsorted(values, flat[at], side="right")
+        count = hi - lo
+        within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        block, item = np.repeat(at // STEP, count), items[np.repeat(lo, count) + within]
+        text = np.searchsorted(base, block, side="right") - 1
+        return np.stack([text, item, (block - base[text]) * STEP], 1)
 
     def verify(self, words: np.ndarray, item: int, blocks: np.ndarray) -> tuple[float, int] | None:
         """(containment, words in agreement) of the best passage; None if it
         isn't one. Agreement is sought around the candidate blocks along the
-        item's order, with at most 4 words more or less between."""
-        lo, hi = max(0, int(blocks.min()) - 24), int(blocks.max()) + STEP * STEPS + 24
+        item's order, with at most 4 words more or less between. Where words in
+        few items don't tell, all words must agree in a row, and half of the
+        shingles must not be usual."""
+        lo, hi = max(0, int(blocks.min()) - self.reach[item]), int(blocks.max()) + STEP * STEPS + self.reach[item]
         near, at, whole = self.places[item], defaultdict(set), len(self.words[item])
         # of an item shorter than a passage all words must agree
         need, share = (MIN_WORDS, MIN_SHARE) if whole >= MIN_WORDS else (max(whole, SHINGLE), 1.0)
@@ -216,6 +253,11 @@ class Index:
                     at[i - j].add(i)
         best = None
         for d in at:
+            if len(at[d]) > need - SHINGLE:
+                same = np.array(sorted(at[d]))
+                for run in np.split(same, np.flatnonzero(np.diff(same) > 1) + 1):
+                    if len(run) > need - SHINGLE and 2 * self.told[item][run].sum() >= len(run):
+                        best = max(best or (0.0, 0), (len(run) / (whole - SHINGLE + 1), len(run) + SHINGLE - 1))
             if sum(len(at[e]) for e in range(d - 4, d + 5) if e in at) < fewest:
                 continue
             met = np.array(sorted(set().union(*(at[e] for e in range(d - 4, d + 5) if e in at))))

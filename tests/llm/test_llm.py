@@ -196,6 +196,20 @@ def test_near_equal_and_short_items(spark):
     assert rows(leakage.leaks(df, items), "doc_id", "item_id") == [(1, i) for i in range(6)] + [(2, 20)]
 
 
+def test_items_of_usual_phrases(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(6))
+    phrases = [[word() for _ in range(16)] for _ in range(40)]
+    ends = [word() for _ in range(12)]
+    # two usual phrases and two words of their own; all words usual, but no phrase of more than two of them
+    items = [p + q + [word(), word()] for p, q in rng.sample(list(permutations(phrases, 2)), 200)] + [[rng.choice(ends) for _ in range(24)] for _ in range(60)] + [[rng.choice(ends) for _ in range(9)]]
+    docs = [(i, " ".join([word() for _ in range(100)] + w + [word() for _ in range(100)])) for i, w in enumerate(items)]
+    it = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), it).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in range(len(items))]
+    assert all(r.n_words == len(items[r.item_id]) and r.containment == 1 for r in got)
+
+
 @pytest.mark.parametrize(("n", "altered", "least"), [(24, 0.05, 0.95), (30, 0.1, 0.9), (45, 0.1, 0.95)])
 def test_recall_of_altered_passages(spark, n, altered, least):
     rng = random.Random(9)
