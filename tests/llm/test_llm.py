@@ -6,6 +6,8 @@ ties, empty tables, and extra columns whose names the operators use themselves.
 
 import os
 import random
+import subprocess
+import threading
 from datetime import datetime
 from itertools import permutations
 
@@ -14,7 +16,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.llm import confusables, langid, leakage, matching, mixture, names, queries, readability, scans, transcripts
+from foliospark.llm import common, confusables, langid, leakage, matching, mixture, names, queries, readability, scans, transcripts
 
 SF = "/root/testdata/sf0.001"
 GRADED = "/root/testdata/sf0.01/graded_passage.parquet"
@@ -472,6 +474,27 @@ def test_similar_equals_brute_force(spark, monkeypatch):
         assert {(r.a, r.b) for r in names.similar(v, None, 0.4).collect()} == want
 
 
+@pytest.mark.parametrize(("held", "long"), [(20_000, 64), (20_000, 2), (7, 64)])
+def test_met_equals_brute_force(spark, monkeypatch, held, long):
+    monkeypatch.setattr(names, "HELD", held)
+    monkeypatch.setattr(names, "LONG", long)
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdeklmnorst") for _ in range(9)) for _ in range(30)]
+    texts = base + [t[:4] + t[5:] for t in base] + [t[:3] + "x" + t[4:] for t in base]
+    data = [(i, f"b{i % 2}", rng.random() < 0.7, rng.random() < 0.7, "ana" if i % 3 else "a", t, f"t{i}") for i, t in enumerate(texts)] + [(900, "alone", True, True, "ana", texts[0], "t")]
+    df = spark.createDataFrame(data, "id long, block string, ask boolean, answer boolean, first string, last string, tag string")
+    weights = names.rarity(df, ["first", "last"])
+    dense = np.zeros((len(data), names.BUCKETS))
+    for k, r in enumerate(data):
+        at, w = names.name_vector(weights, r[4], r[5])
+        dense[k, at] = w
+    cosine = dense @ dense.T
+    want = {(a[0], b[0], b[6], i % 3 > 0 and j % 3 > 0) for i, a in enumerate(data) for j, b in enumerate(data) if i != j and a[1] == b[1] and a[2] and b[3] and cosine[i, j] >= 0.5}
+    got = names.met(df, names.name_vector, weights, 0.5).collect()
+    assert {(r.a, r.b, r.tag, r.own) for r in got} == want and len(want) > 30
+    assert all(abs(r.cosine - cosine[[d[0] for d in data].index(r.a), [d[0] for d in data].index(r.b)]) < 1e-5 for r in got)
+
+
 def test_the_cosine_decides(spark):
     extra = [(1, "Ana Brodnikovec", "Zveza A"), (2, "Ana Brodinkovec", "Zveza A"), (3, "Ana Mofekanec", "Zveza A"), (5, "P. Brodnikovec", "Zveza A"), (6, "Helena Zorec", "Zveza A"), (7, "H. Zorec", "Zveza A")]
     assert linked_pairs(directory(spark, *extra)) == [(1, 2), (6, 7)]
@@ -543,6 +566,29 @@ def test_neighbours_equal_a_loop(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
+@pytest.mark.parametrize("name", ["p1_found"])
+def test_steps_leave_little_on_disk(spark, name):
+    common.checkpointed(spark.range(1))  # the folder is set
+    folders = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    folders.append(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    lying, over = [], threading.Event()
+
+    def watch():
+        while not over.wait(0.1):
+            sizes = subprocess.run(["du", "-sb", *folders], capture_output=True, text=True).stdout.split("\n")
+            lying.append(sum(int(x.split()[0]) for x in sizes if x))
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        assert queries.QUERIES[name](spark, "/root/testdata/sf0.1").count()
+    finally:
+        over.set()
+        watching.join()
+    assert max(lying) - lying[0] < 10_000_000
+
+
 # --- queries -----------------------------------------------------------------------
 
 
