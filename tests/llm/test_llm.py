@@ -567,8 +567,8 @@ def test_neighbours_equal_a_loop(spark, monkeypatch):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
-@pytest.mark.parametrize("name", ["p1_found"])
-def test_steps_leave_little_on_disk(spark, name):
+@pytest.mark.parametrize(("name", "most"), [("p1_found", 10_000_000), ("p5_found", 6_000_000)])
+def test_steps_leave_little_on_disk(spark, name, most):
     common.checkpointed(spark.range(1))  # the folder is set
     folders = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
     folders.append(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
@@ -586,7 +586,7 @@ def test_steps_leave_little_on_disk(spark, name):
     finally:
         over.set()
         watching.join()
-    assert max(lying) - lying[0] < 10_000_000
+    assert max(lying) - lying[0] < most
 
 
 # --- queries -----------------------------------------------------------------------
