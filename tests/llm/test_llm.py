@@ -495,6 +495,78 @@ def test_met_equals_brute_force(spark, monkeypatch, held, long):
     assert all(abs(r.cosine - cosine[[d[0] for d in data].index(r.a), [d[0] for d in data].index(r.b)]) < 1e-5 for r in got)
 
 
+def test_of_homes_only_the_nearest_two_are_given(spark):
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdeklmnorst") for _ in range(9)) for _ in range(12)]
+    texts = [t[:k] + rng.choice("xyz") + t[k + 1 :] for t in base for k in range(8)]
+    data = [(i, f"b{b}", i % 3 == 0, i % 3 > 0, "ana" if i % 4 else "a", t, f"t{i % 5}") for i, t in enumerate(texts) for b in range(1 + i % 2)]
+    df = spark.createDataFrame(data, "id long, block string, ask boolean, answer boolean, first string, last string, tag string")
+    weights = names.rarity(df, ["first", "last"])
+
+    def homes(found):
+        best = {}
+        for r in found:
+            best.setdefault(r.a, {})[r.tag] = max(best.get(r.a, {}).get(r.tag, (False, 0.0)), (r.own, round(r.cosine, 6)))
+        return {a: sorted(of.items(), key=lambda x: x[1])[::-1][:2] for a, of in best.items()}
+
+    want = homes(names.met(df, names.name_vector, weights, 0.4).collect())
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in (before, "7"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            few = names.met(df, names.name_vector, weights, 0.4, nearest=True).collect()
+            assert {a: [v for _, v in x] for a, x in homes(few).items()} == {a: [v for _, v in x] for a, x in want.items()}
+            assert any(len(x) > 1 for x in want.values()) and (batch == "7" or len(few) <= 4 * len(want))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def similar_names():
+    rng = random.Random(7)
+    base = ["".join(rng.choice("abcdeklmnorst") for _ in range(8)) for _ in range(10)]
+    return [(rng.choice(["ana", "anica", "a", "alma"]), t[:k] + rng.choice("xyz") + t[k + 1 :]) for t in base for k in range(8) for _ in range(2)]
+
+
+def groups_over_all_pairs(x, weights):
+    """Groups of the rows of one part each, by average linkage over all pairs that may meet."""
+    dense = np.zeros((len(x), names.BUCKETS))
+    for k, (f, z) in enumerate(zip(x["first"], x["last"])):
+        at, w = names.name_vector(weights, f, z)
+        dense[k, at] = w
+    cosine, first, rare, part = dense @ dense.T, list(x["first"]), list(x["rare"]), list(x["part"])
+    may = lambda i, j: first[i] == first[j] or min(len(first[i]), len(first[j])) < 2 or rare[i] or rare[j]
+    pairs = [(i, j) for i in range(len(x)) for j in range(i) if part[i] == part[j] and may(i, j) and cosine[i, j] >= 0.5]
+    a, b = np.array(pairs).T
+    return {tuple(np.flatnonzero(g)) for of in [names.average_linkage(len(x), a, b, cosine[a, b], 0.45)] for g in of == np.unique(of)[:, None]}
+
+
+@pytest.mark.parametrize(("lot", "at_once"), [(20_000, 200_000), (9, 4), (1, 1)])
+def test_names_linked_in_lots_equal_linkage_over_all_pairs(monkeypatch, lot, at_once):
+    monkeypatch.setattr(names, "LOT", lot)
+    monkeypatch.setattr(names, "LINKED", at_once)
+    x = pd.DataFrame(similar_names(), columns=["first", "last"])
+    x["part"], x["rare"] = np.arange(len(x)) % 3, x["first"] == "alma"
+    weights = np.ones(names.BUCKETS, np.float32)
+    group = names._linked_parts(x, lambda f, z: names.name_vector(weights, f, z), 0.5, 0.45)
+    got = {tuple(np.flatnonzero(group == g)) for g in np.unique(group)}
+    assert got == groups_over_all_pairs(x, weights) and 20 < len(got) < len(x)
+
+
+def test_parts_may_begin_and_end_within_a_batch(spark):
+    x = pd.DataFrame(similar_names(), columns=["first", "last"])
+    x["part"], x["rare"], x["id"], x["home"] = np.arange(len(x)) ** 2 % 23, x["first"] == "alma", np.arange(len(x)), "h"
+    weights = np.ones(names.BUCKETS, np.float32)
+    want = groups_over_all_pairs(x, weights)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in (before, "7", "1"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            got = names.linked_in_place(spark.createDataFrame(x), names.name_vector, weights, 0.5, 0.45).toPandas()
+            assert len(got) == len(x) and set(got["home"]) == {"h"} and {tuple(sorted(g)) for _, g in got.groupby("person")["id"]} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_the_cosine_decides(spark):
     extra = [(1, "Ana Brodnikovec", "Zveza A"), (2, "Ana Brodinkovec", "Zveza A"), (3, "Ana Mofekanec", "Zveza A"), (5, "P. Brodnikovec", "Zveza A"), (6, "Helena Zorec", "Zveza A"), (7, "H. Zorec", "Zveza A")]
     assert linked_pairs(directory(spark, *extra)) == [(1, 2), (6, 7)]
@@ -589,6 +661,32 @@ def test_steps_leave_little_on_disk(spark, name, most):
     assert max(lying) - lying[0] < most
 
 
+def test_pairs_of_alike_names_stay_off_the_disk(spark):
+    rng = random.Random(8)
+    stem = "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(12))
+    data = [(i, f"Ana {stem}{a}{b}", "Zveza A" if i % 8 else None) for i, (a, b) in enumerate((a, b) for a in "bdfgklmnprstvzhjc" for b in (x + y for x in "aeiou" for y in "bdfgklmnprst"))]
+    df = spark.createDataFrame(data, "speaker_id long, lookup_name string, organization string")
+    folders = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    common.checkpointed(spark.range(1))  # the folder is set
+    folders.append(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    lying, over = [], threading.Event()
+
+    def watch():
+        while not over.wait(0.02):
+            sizes = subprocess.run(["du", "-sb", *folders], capture_output=True, text=True).stdout.split("\n")
+            lying.append(sum(int(x.split()[0]) for x in sizes if x))
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        people = names.persons(df, "speaker_id", "lookup_name", "organization")
+        assert people.count() == len(data)
+    finally:
+        over.set()
+        watching.join()
+    assert max(lying) - lying[0] < 1_000_000
+
+
 # --- queries -----------------------------------------------------------------------
 
 
